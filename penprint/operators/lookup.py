@@ -1,0 +1,50 @@
+"""Joins of large row sets to lookup tables, safe for hot keys."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_BYTES = 256 * 1024 * 1024
+SALTS = 16
+
+
+def fits_broadcast(lookup: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether ``lookup`` is small enough to copy to every executor.
+
+    Counts at most one row more than the limit allows.
+    """
+    most = max(limit // max(row_bytes, 1), 1)
+    return lookup.limit(most + 1).count() <= most
+
+
+def lookup_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    on: list[str],
+    spread: list[str],
+    how: str = "inner",
+    row_bytes: int = 256,
+    limit: int = BROADCAST_BYTES,
+    salts: int = SALTS,
+    most_rows: int | None = None,
+) -> DataFrame:
+    """Join ``rows`` to ``lookup``, which holds each key of ``on`` at most once.
+
+    A lookup of checked size is broadcast, so ``rows`` never moves. A larger
+    one is joined by shuffle on the key plus a salt taken from the ``spread``
+    columns: the rows of one hot key then go to ``salts`` tasks, and each
+    lookup row is repeated once per salt. ``most_rows`` states a size the
+    caller already knows (a top-k list), so that nothing has to be counted.
+    """
+    if most_rows is not None:
+        small = most_rows * row_bytes <= limit
+    else:
+        small = fits_broadcast(lookup, row_bytes, limit)
+    if small:
+        return rows.join(F.broadcast(lookup), on, how)
+    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    salted_lookup = lookup.withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    )
+    return salted_rows.join(salted_lookup, [*on, "_salt"], how).drop("_salt")
