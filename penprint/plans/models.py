@@ -5,15 +5,15 @@ All read ``features`` and ``label`` and write ``prediction`` and ``probability``
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Pipeline
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     NaiveBayes,
-    OneVsRest,
     RandomForestClassifier,
 )
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,30 +31,57 @@ def gaussian(dims: int, classes: int) -> Estimator:
     return NaiveBayes(modelType="gaussian")
 
 
-def svm(dims: int, classes: int, iterations: int = 20) -> Estimator:
-    """Linear support vector machine; class probabilities from a logistic fit on the margins.
+class LinearMachines(Estimator):
+    """Linear support vector machines with class probabilities.
 
-    One machine per class when there are more than two.
+    One machine for two classes, one per class for more. A logistic fit on the
+    margins gives the probabilities, and with more than two classes the
+    prediction. The fitted model is a plain pipeline model.
     """
-    if classes <= 2:
-        machine = LinearSVC(
-            maxIter=iterations, regParam=0.01, rawPredictionCol="margin", predictionCol="prediction"
+
+    def __init__(self, classes: int, iterations: int = 20, reg_param: float = 0.01):
+        super().__init__()
+        self.classes = classes
+        self.iterations = iterations
+        self.reg_param = reg_param
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        two = self.classes <= 2
+        machines, temporary = [], []
+        for k in [1] if two else range(self.classes):
+            machine = LinearSVC(
+                labelCol="_is_class",
+                maxIter=self.iterations,
+                regParam=self.reg_param,
+                rawPredictionCol=f"_margin_{k}",
+                predictionCol="prediction" if two else f"_guess_{k}",
+            )
+            rows = dataset.withColumn("_is_class", (F.col("label") == k).cast("double"))
+            machines.append(machine.fit(rows))
+            temporary += [f"_margin_{k}"] if two else [f"_margin_{k}", f"_guess_{k}"]
+        margins = VectorAssembler(
+            inputCols=[c for c in temporary if c.startswith("_margin")], outputCol="_margins"
         )
-    else:
-        machine = OneVsRest(
-            classifier=LinearSVC(maxIter=iterations, regParam=0.01),
-            rawPredictionCol="margin",
-            predictionCol="prediction",
+        platt = LogisticRegression(
+            featuresCol="_margins",
+            predictionCol="_platt" if two else "prediction",
+            rawPredictionCol="_platt_raw",
+            probabilityCol="probability",
+            regParam=1e-6,
+            maxIter=50,
         )
-    platt = LogisticRegression(
-        featuresCol="margin",
-        predictionCol="margin_prediction",
-        rawPredictionCol="margin_raw",
-        probabilityCol="probability",
-        regParam=1e-6,
-        maxIter=50,
-    )
-    return Pipeline(stages=[machine, platt])
+        measured = PipelineModel([*machines, margins])
+        calibrated = platt.fit(measured.transform(dataset))
+        temporary += ["_margins", "_platt_raw"] + (["_platt"] if two else [])
+        tidy = SQLTransformer(
+            statement=f"SELECT * EXCEPT ({', '.join(temporary)}) FROM __THIS__"
+        )
+        return PipelineModel([*machines, margins, calibrated, tidy])
+
+
+def svm(dims: int, classes: int) -> Estimator:
+    """Support vector machine, linear kernel."""
+    return LinearMachines(classes)
 
 
 def mlp(dims: int, classes: int, hidden: int = 128, iterations: int = 10) -> Estimator:

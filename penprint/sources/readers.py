@@ -40,10 +40,9 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
 def read_texts(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
     """One row per file below ``folder``: ``file_path, text``."""
     return (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", pattern)
+        spark.read.option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
-        .text(folder)
+        .text(folder, wholetext=True)
         .select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("text"))
     )
 

@@ -16,9 +16,8 @@ def read_new_texts(spark: SparkSession, folder: str, pattern: str = "*.txt") ->
     """A stream with one row per new file: ``file_name, text``, prepared for scoring."""
     files = (
         spark.readStream.schema("value string")
-        .option("wholetext", True)
         .option("pathGlobFilter", pattern)
-        .text(folder)
+        .text(folder, wholetext=True)
     )
     tokens = tx.word_tokens(tx.clean(F.col("value"), lex.COMPACT_RULES), remove_stopwords=True)
     return files.select(
