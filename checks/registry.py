@@ -6,9 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from penprint.sources.readers import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
+# tables whose rows cost much work, with the column that tells them apart
+TEXT_TABLES = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
+
 
 def check(sql: str | None = None):
     """Register a query under its function name, with its SQL where there is one."""
@@ -23,4 +28,5 @@ def check(sql: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from penprint.functions import lexicon as lex
 
 
@@ -10,7 +12,9 @@ def quoted(value: str) -> str:
 
 
 def rules(expression: str, pairs, flags: str = "(?m)") -> str:
-    for pattern, replacement in pairs:
+    for pattern, replacement, *_ in pairs:
+        # no look-ahead here; the ones in the rules only save time
+        pattern = re.sub(r"^\(\?=(?:\\p\{Nd\}|\[\$£0-9\]\|.*?\[0-9\])\)", "", pattern)
         expression = "regexp_replace({}, {}, {}, 'g')".format(
             expression, quoted(flags + pattern), quoted(replacement)
         )
@@ -24,10 +28,10 @@ def strip_ends(expression: str) -> str:
 def contractions(expression: str) -> str:
     # the boundary is part of the match here, so each rule runs twice for neighbours
     edge = r"[^\p{L}\p{N}_]"
-    for pattern, replacement in lex.CONTRACTED_WORDS:
+    for pattern, replacement, _ in lex.CONTRACTED_WORDS:
         pair = (f"(^|{edge}){pattern}($|{edge})", replacement.replace("$1", r"\1\2") + r"\3")
         expression = rules(expression, [pair, pair], "")
-    for pattern, replacement in lex.CONTRACTED_ENDINGS:
+    for pattern, replacement, _ in lex.CONTRACTED_ENDINGS:
         pair = (f"{pattern}($|{edge})", replacement + r"\1")
         expression = rules(expression, [pair, pair], "")
     return expression

@@ -35,70 +35,90 @@ CONTENTS_CHAPTER = (
     r"\.? (.*?)\d{0,3}$"
 )
 
-# Normalising rules for books, applied in this order.
+# Normalising rules for books, applied in this order. The third
+# entry holds strings one of which is part of every match, so that a text
+# without them needs no search; empty = always search. A look-ahead at the
+# start of a pattern only rules out places early.
 NORMALIZE_RULES = (
-    (rf"^{SPACE}*[\s\x0B\x1C-\x1F\x{{85}}\p{{Z}}*]+$", ""),
-    (r"[“”]", '"'),
-    (r"[‘’]", "'"),
-    (r"[_‖•]", ""),
-    (r"[–—]", "--"),
-    (r"\[(?s:.*?)\]$", ""),
-    (r"\[(?s:.*?)\]", ""),
-    (r"\|(.*)\|", ""),
-    (rf"{SPACE}+\+-+\+", ""),
-    (rf"^{SPACE}+\.{{5,}}(?s:.*?)\.{{5,}}.*$", ""),
-    (r"\n{3,}", "\n\n"),
-    (r'"', ""),
-    (r"--", " -- "),
-    (r"^End of Project Gutenberg's .*$", ""),
-    (r"(\p{Nd}{4,}|\p{Nd}{1,3}-\p{Nd}{1,3}-\p{Nd}{1,3})", ""),
-    (r"\p{Nd}{2,}\.\p{Nd}{2}", ""),
-    (r"\p{Nd}{1,}(th|st|nd|rd)", ""),
-    (rf"(\$|£)?{SPACE}?([0-9]{{1,3}},)?([0-9]{{1,3}},)?([0-9]{{1,3}})", ""),
-    (r"vi{2,}", ""),
+    (rf"^{SPACE}*[\s\x0B\x1C-\x1F\x{{85}}\p{{Z}}*]+$", "", ()),
+    (r"[“”]", '"', ("“", "”")),
+    (r"[‘’]", "'", ("‘", "’")),
+    (r"[_‖•]", "", ("_", "‖", "•")),
+    (r"[–—]", "--", ("–", "—")),
+    (r"\[(?s:.*?)\]$", "", ("[",)),
+    (r"\[(?s:.*?)\]", "", ("[",)),
+    (r"\|(.*)\|", "", ("|",)),
+    (rf"{SPACE}+\+-+\+", "", ("+-",)),
+    (rf"^{SPACE}+\.{{5,}}(?s:.*?)\.{{5,}}.*$", "", (".....",)),
+    (r"\n{3,}", "\n\n", ("\n\n\n",)),
+    (r'"', "", ('"',)),
+    (r"--", " -- ", ("--",)),
+    (r"^End of Project Gutenberg's .*$", "", ("End of Project Gutenberg's ",)),
+    (r"(?=\p{Nd})(\p{Nd}{4,}|\p{Nd}{1,3}-\p{Nd}{1,3}-\p{Nd}{1,3})", "", ()),
+    (r"\p{Nd}{2,}\.\p{Nd}{2}", "", (".",)),
+    (r"\p{Nd}{1,}(th|st|nd|rd)", "", ("th", "st", "nd", "rd")),
+    (
+        rf"(?=[$£0-9]|{SPACE}[0-9])(\$|£)?{SPACE}?([0-9]{{1,3}},)?([0-9]{{1,3}},)?([0-9]{{1,3}})",
+        "",
+        tuple("0123456789"),
+    ),
+    (r"vi{2,}", "", ("vii",)),
 )
 
 # Normalising rules for texts to be scored, applied in this order.
 COMPACT_RULES = (
-    (rf"^{SPACE}*[\s\x0B\x1C-\x1F\x{{85}}\p{{Z}}*]+$", ""),
-    (r"[“”]", '"'),
-    (r"[‘’]", "'"),
-    (r"[–—]", "-"),
-    (r"\[(?s:.*?)\]$", ""),
-    (r"\[(?s:.*?)\]", ""),
-    (r"\|(.*)\|", ""),
-    (rf"{SPACE}+\+-+\+", ""),
-    (rf"^{SPACE}+\.{{5,}}(?s:.*?)\.{{5,}}.*$", ""),
-    (r"\n{3,}", "\n\n"),
-    (r'"', ""),
-    (r"--", ""),
-    (r"^End of Project Gutenberg's .*$", ""),
-    (r"(\p{Nd}{4,}|\p{Nd}{1,3}-\p{Nd}{1,3}-\p{Nd}{1,3})", ""),
-    (r"\p{Nd}{2,}\.\p{Nd}{2}", ""),
-    (r"\p{Nd}{1,}(th|st|nd|rd)", ""),
-    (rf"(\$|£)?{SPACE}?([0-9]{{1,3}},)*[0-9]{{1,3}}", ""),
-    (r"vi{2,}", ""),
+    (rf"^{SPACE}*[\s\x0B\x1C-\x1F\x{{85}}\p{{Z}}*]+$", "", ()),
+    (r"[“”]", '"', ("“", "”")),
+    (r"[‘’]", "'", ("‘", "’")),
+    (r"[–—]", "-", ("–", "—")),
+    (r"\[(?s:.*?)\]$", "", ("[",)),
+    (r"\[(?s:.*?)\]", "", ("[",)),
+    (r"\|(.*)\|", "", ("|",)),
+    (rf"{SPACE}+\+-+\+", "", ("+-",)),
+    (rf"^{SPACE}+\.{{5,}}(?s:.*?)\.{{5,}}.*$", "", (".....",)),
+    (r"\n{3,}", "\n\n", ("\n\n\n",)),
+    (r'"', "", ('"',)),
+    (r"--", "", ("--",)),
+    (r"^End of Project Gutenberg's .*$", "", ("End of Project Gutenberg's ",)),
+    (r"(?=\p{Nd})(\p{Nd}{4,}|\p{Nd}{1,3}-\p{Nd}{1,3}-\p{Nd}{1,3})", "", ()),
+    (r"\p{Nd}{2,}\.\p{Nd}{2}", "", (".",)),
+    (r"\p{Nd}{1,}(th|st|nd|rd)", "", ("th", "st", "nd", "rd")),
+    (
+        rf"(?=[$£0-9]|{SPACE}[0-9])(\$|£)?{SPACE}?([0-9]{{1,3}},)*[0-9]{{1,3}}",
+        "",
+        tuple("0123456789"),
+    ),
+    (r"vi{2,}", "", ("vii",)),
 )
 
-# Contractions that are whole words, then endings of any word.
+# Contractions that are whole words, then endings of any word: pattern,
+# replacement, and strings as above.
 CONTRACTED_WORDS = (
-    (r"([Cc]an)'t", "$1not"),
-    (r"([Ww])on't", "$1ill not"),
-    (r"([Ss]ha)n't", "$1ll not"),
-    (r"([Aa])in't", "$1re not"),
-    (r"([Ll]et)'s", "$1 us"),
-    (r"([Ii]t|[Hh]e|[Ss]he|[Tt]hat|[Tt]here|[Hh]ere|[Ww]hat|[Ww]here|[Ww]ho|[Hh]ow)'s", "$1 is"),
-    (r"([Ii])'m", "$1 am"),
-    (r"([Ii]|[Yy]ou|[Hh]e|[Ss]he|[Ii]t|[Ww]e|[Tt]hey|[Tt]hat|[Tt]here|[Ww]ho)'d", "$1 would"),
-    (r"([Oo])'clock", "$1f the clock"),
-    (r"([Mm])a'am", "$1adam"),
-    (r"([Yy])'all", "$1ou all"),
+    (r"([Cc]an)'t", "$1not", ("an't",)),
+    (r"([Ww])on't", "$1ill not", ("on't",)),
+    (r"([Ss]ha)n't", "$1ll not", ("han't",)),
+    (r"([Aa])in't", "$1re not", ("in't",)),
+    (r"([Ll]et)'s", "$1 us", ("et's",)),
+    (
+        r"([Ii]t|[Hh]e|[Ss]he|[Tt]hat|[Tt]here|[Hh]ere|[Ww]hat|[Ww]here|[Ww]ho|[Hh]ow)'s",
+        "$1 is",
+        ("t's", "e's", "o's", "w's"),
+    ),
+    (r"([Ii])'m", "$1 am", ("'m",)),
+    (
+        r"([Ii]|[Yy]ou|[Hh]e|[Ss]he|[Ii]t|[Ww]e|[Tt]hey|[Tt]hat|[Tt]here|[Ww]ho)'d",
+        "$1 would",
+        ("'d",),
+    ),
+    (r"([Oo])'clock", "$1f the clock", ("'clock",)),
+    (r"([Mm])a'am", "$1adam", ("a'am",)),
+    (r"([Yy])'all", "$1ou all", ("'all",)),
 )
 CONTRACTED_ENDINGS = (
-    (r"n't", " not"),
-    (r"'re", " are"),
-    (r"'ve", " have"),
-    (r"'ll", " will"),
+    (r"n't", " not", ("n't",)),
+    (r"'re", " are", ("'re",)),
+    (r"'ve", " have", ("'ve",)),
+    (r"'ll", " will", ("'ll",)),
 )
 
 # Not inside a word, before and after.

@@ -15,9 +15,35 @@ def strip_ends(text: Column) -> Column:
     return F.btrim(text, F.lit(lex.WHITESPACE))
 
 
+def bound(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def contains_any(text: Column, pieces) -> Column:
+    """Whether one of the strings is part of the text."""
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(p)) for p in pieces])
+
+
 def apply_rules(text: Column, rules, flags: str = lex.FLAGS) -> Column:
-    """Apply (pattern, replacement) rules one after the other."""
-    return reduce(lambda c, rule: F.regexp_replace(c, flags + rule[0], rule[1]), rules, text)
+    """Apply (pattern, replacement, needed strings) rules one after the other.
+
+    A plain search for the needed strings is much cheaper than the pattern, so
+    a rule that cannot match a text is skipped for it.
+    """
+
+    def step(value, rule):
+        pattern, replacement, needed = rule
+        if not needed:
+            return F.regexp_replace(value, flags + pattern, replacement)
+        return bound(
+            value,
+            lambda t: F.when(
+                contains_any(t, needed), F.regexp_replace(t, flags + pattern, replacement)
+            ).otherwise(t),
+        )
+
+    return reduce(step, rules, text)
 
 
 def normalize(text: Column, rules=lex.NORMALIZE_RULES) -> Column:
@@ -31,10 +57,15 @@ def normalize_compact(text: Column) -> Column:
 
 
 def expand_contractions(text: Column) -> Column:
-    """``don't`` to ``do not`` and the like, by rule."""
-    words = [(lex.WORD_START + p + lex.WORD_END, r) for p, r in lex.CONTRACTED_WORDS]
-    endings = [(p + lex.WORD_END, r) for p, r in lex.CONTRACTED_ENDINGS]
-    return apply_rules(text, words + endings, flags="")
+    """``don't`` to ``do not`` and the like, by rule; texts without an apostrophe pass as they are."""
+    words = [(lex.WORD_START + p + lex.WORD_END, r, n) for p, r, n in lex.CONTRACTED_WORDS]
+    endings = [(p + lex.WORD_END, r, n) for p, r, n in lex.CONTRACTED_ENDINGS]
+    return bound(
+        text,
+        lambda t: F.when(
+            F.contains(t, F.lit("'")), apply_rules(t, words + endings, flags="")
+        ).otherwise(t),
+    )
 
 
 def clean(text: Column, rules=lex.NORMALIZE_RULES) -> Column:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from penprint.session import staged
+
 SAMPLE_ROWS = 4096
 MOST_RANGES = 512
 
@@ -53,7 +55,9 @@ def running_totals(
 
     Rows are ordered by ``key`` inside ``group``. Key values should be unique
     in a group, or the order among equal ones is open; add up ties beforehand.
+    The rows are written once first, as they are read three times.
     """
+    df = staged(df, "ordered")
     points = split_points(df, key, sample_rows)
     order = F.desc(key) if descending else F.asc(key)
     sums = {name: F.col(c) if isinstance(c, str) else c for name, c in sums.items()}

@@ -11,6 +11,7 @@ from penprint.functions import text as tx
 from penprint.operators import lookup
 from penprint.operators.rows import unnest
 from penprint.operators.vocabulary import corpus_counts, idf
+from penprint.session import staged
 
 
 def weighted_mean(value: Column, weight: Column) -> Column:
@@ -130,7 +131,7 @@ def weighted_vectors(
     """
     documents = df.agg(F.count("*").alias("n")).scalar()
     idfs = word_weights(df, words, documents)
-    table = vectors.join(idfs, "word")
+    table = staged(vectors.join(idfs, "word"), "weighted-words")
     placed = df.select(key, words).repartition(key)
     counts = (
         word_rows(placed, words, [key]).groupBy(key, "word").agg(F.count("*").alias("n"))
@@ -145,15 +146,21 @@ def remove_words(
 ) -> DataFrame:
     """``key, text``: the terms of each text without the listed words, in order.
 
-    ``word_list`` has one distinct ``word`` per row.
+    ``word_list`` has one distinct ``word`` per row. Each text's listed words
+    are looked up first, once per distinct word; the texts then meet their own
+    short list and are filtered in place.
     """
-    rows = df.select(key, F.posexplode_outer(tx.terms(F.col(text))).alias("pos", "word"))
-    marked = _join_words(
-        rows, word_list.select("word", F.lit(True).alias("listed")), [key], "left", limit, 64
+    terms = df.select(key, tx.terms(F.col(text)).alias("_terms"))
+    rows = unnest(terms, F.array_distinct("_terms"), [key], "word")
+    listed = (
+        _join_words(rows, word_list.select("word"), [key], "inner", limit, 64)
+        .groupBy(key)
+        .agg(F.collect_set("word").alias("_listed"))
     )
-    kept = F.collect_list(F.when(F.col("listed").isNull() & F.col("word").isNotNull(), F.struct("pos", "word")))
-    joined = F.array_join(F.transform(F.array_sort(kept), lambda p: p["word"]), " ")
-    return marked.groupBy(key).agg(joined.alias("text"))
+    kept = F.when(F.col("_listed").isNull(), F.col("_terms")).otherwise(
+        F.filter("_terms", lambda w: ~F.array_contains(F.col("_listed"), w))
+    )
+    return terms.join(listed, key, "left").select(key, F.array_join(kept, " ").alias("text"))
 
 
 def encode_fixed_length(

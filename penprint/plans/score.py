@@ -30,26 +30,32 @@ class Scorer:
         return texts.select(key, F.array_join(tokens, " ").alias("text"))
 
     def score(self, texts: DataFrame, key: str, text: str) -> DataFrame:
-        """``key, pred_model0, pred_model1, ...``: one prediction per fitted model."""
+        """``key, pred_model0, pred_model1, ...``: one prediction per fitted model.
+
+        The models are applied to the same rows one after the other.
+        """
+        kinds = {cell.feature_type for cell in self.cells}
         ready = self.prepare(texts, key, text)
-        feature_tables = {}
-        if any(c.feature_type == "glove" for c in self.cells):
+        rows = ready
+        if "tfidf" in kinds:
+            rows = self.features.tfidf.transform(ready).withColumnRenamed("features", "_tfidf")
+        if "glove" in kinds:
             words = ready.select(key, F.split("text", " ").alias("words"))
             pooled = wordvectors.mean_vectors(
                 words, "words", self.vectors, key, self.vector_dims
             )
-            feature_tables["glove"] = pooled.select(
-                key, models.as_vector(F.col("vector")).alias("features")
+            rows = rows.join(
+                pooled.select(key, models.as_vector(F.col("vector")).alias("_glove")), key
             )
-        if any(c.feature_type == "tfidf" for c in self.cells):
-            feature_tables["tfidf"] = self.features.tfidf.transform(ready).select(key, "features")
-        result = None
+        names = []
         for i, cell in enumerate(self.cells):
-            scored = cell.model.transform(feature_tables[cell.feature_type]).select(
-                key, F.col("prediction").cast("int").alias(f"pred_model{i}")
+            kept = [c for c in rows.columns if c != "features"]
+            scored = cell.model.transform(
+                rows.select(*kept, F.col(f"_{cell.feature_type}").alias("features"))
             )
-            result = scored if result is None else result.join(scored, key)
-        return result
+            names.append(f"pred_model{i}")
+            rows = scored.select(*kept, F.col("prediction").cast("int").alias(names[-1]))
+        return rows.select(key, *names)
 
 
 def tfidf_scorer(features: Features, cell: Cell, text: str = "text") -> PipelineModel:

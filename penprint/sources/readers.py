@@ -16,6 +16,12 @@ CATALOG = (
 )
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread the rows of a few unsplittable files over all cores; large inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A CSV table with a header; quoted fields may hold commas, quotes and line ends."""
     return (
