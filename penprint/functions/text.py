@@ -133,8 +133,34 @@ def ngrams(words: Column, low: int, high: int) -> Column:
         grams = F.zip_with(
             F.slice(grams, F.lit(1), count),
             F.slice(words, F.lit(n), count),
-            lambda head, word: F.concat_ws(" ", head, word),
+            lambda head, word: F.concat(head, F.lit(" "), word),
         )
         if n >= low:
             sizes.append(grams)
     return F.concat(*sizes) if len(sizes) > 1 else sizes[0]
+
+
+def term_frequencies(terms: Column) -> Column:
+    """Array of (term, n): each distinct term with its number of occurrences.
+
+    The counting stays inside the row: the list is sorted and cut into runs.
+    """
+
+    def runs(ordered):
+        places = F.sequence(F.lit(1), F.size(ordered))
+        starts = F.filter(
+            places, lambda i: (i == 1) | (F.get(ordered, i - 1) != F.get(ordered, i - 2))
+        )
+
+        def count(starts):
+            return F.transform(
+                starts,
+                lambda start, k: F.struct(
+                    F.get(ordered, start - 1).alias("term"),
+                    (F.coalesce(F.get(starts, k + 1), F.size(ordered) + 1) - start).alias("n"),
+                ),
+            )
+
+        return F.when(F.size(ordered) > 0, bound(starts, count))
+
+    return bound(F.sort_array(terms), runs)

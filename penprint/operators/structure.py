@@ -123,25 +123,35 @@ def locate_headers(content: Column, entries: Column, pattern: Column) -> Column:
     """
 
     def step(state, item):
-        rest = F.substring(content, state["at"], F.length(content))
         regex = header_pattern(pattern, item["name"])
-        hit = F.regexp_instr(rest, regex)
-        start = F.when(hit > 0, state["at"] + hit - 1)
-        stop = start + F.length(F.regexp_substr(rest, regex))
-        found = F.struct(
-            item["section_num"].alias("section_num"),
-            item["chapter_num"].alias("chapter_num"),
-            item["name"].alias("name"),
-            start.alias("start"),
-            stop.alias("stop"),
-        )
-        return F.struct(
-            stop.cast("int").alias("at"),
-            F.concat(state["hits"], F.array(found)).alias("hits"),
+        # the text before and after the header; an empty title stands where the search starts
+        parts = F.when(regex == header_pattern(F.lit("{00}"), F.lit("")), F.array(F.lit(""), state["rest"])).otherwise(
+            F.split(state["rest"], regex, 2)
         )
 
+        def move(p):
+            hit = F.size(p) == 2
+            start = F.when(hit, state["place"] + F.length(p[0]))
+            stop = F.when(hit, F.length(content) + 1 - F.length(p[1]))
+            found = F.struct(
+                item["section_num"].alias("section_num"),
+                item["chapter_num"].alias("chapter_num"),
+                item["name"].alias("name"),
+                start.alias("start"),
+                stop.alias("stop"),
+            )
+            return F.struct(
+                F.get(p, F.lit(1)).alias("rest"),
+                stop.alias("place"),
+                F.concat(state["hits"], F.array(found)).alias("hits"),
+            )
+
+        return tx.bound(parts, move)
+
     begin = F.struct(
-        F.lit(1).alias("at"), F.array().cast(f"array<{HEADER}>").alias("hits")
+        content.alias("rest"),
+        F.lit(1).alias("place"),
+        F.array().cast(f"array<{HEADER}>").alias("hits"),
     )
     return F.aggregate(entries, begin, step, lambda state: state["hits"])
 

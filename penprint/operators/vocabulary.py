@@ -32,22 +32,12 @@ def with_terms(df: DataFrame, text: str, low: int = 1, high: int = 2) -> DataFra
 def corpus_counts(df: DataFrame, terms: str = "terms") -> DataFrame:
     """``term, cf, df``: occurrences and texts per term.
 
-    Occurrences and distinct terms of a text leave the row together, so both
-    counts need one shuffle, after adding up inside each task.
+    A text gives one row per distinct term, already counted, so both figures
+    need one shuffle, after adding up inside each task.
     """
-    tagged = F.concat(
-        F.transform(
-            F.col(terms), lambda t: F.struct(t.alias("term"), F.lit(1).alias("a"), F.lit(0).alias("d"))
-        ),
-        F.transform(
-            F.array_distinct(F.col(terms)),
-            lambda t: F.struct(t.alias("term"), F.lit(0).alias("a"), F.lit(1).alias("d")),
-        ),
-    )
-    return (
-        unnest_structs(df, tagged, [], "term")
-        .groupBy("term")
-        .agg(F.sum("a").alias("cf"), F.sum("d").alias("df"))
+    counted = unnest_structs(df, tx.term_frequencies(F.col(terms)), [], "term")
+    return counted.groupBy("term").agg(
+        F.sum("n").alias("cf"), F.count("*").alias("df")
     )
 
 
@@ -86,7 +76,7 @@ def _term_stages(text: str, low: int, high: int) -> list[SQLTransformer]:
         count = f"greatest(size(_words) - {n - 1}, 0)"
         grams = (
             f"zip_with(slice({grams}, 1, {count}), slice(_words, {n}, {count}), "
-            "(head, word) -> concat_ws(' ', head, word))"
+            "(head, word) -> concat(head, ' ', word))"
         )
         if n >= low:
             sizes.append(grams)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from penprint.functions import text as tx
 from penprint.operators import lookup
-from penprint.operators.rows import unnest
+from penprint.operators.rows import unnest, unnest_structs
 from penprint.operators.vocabulary import corpus_counts, idf
 from penprint.session import staged
 
@@ -20,7 +20,7 @@ def weighted_mean(value: Column, weight: Column) -> Column:
 
 
 def plain_mean(value: Column, weight: Column) -> Column:
-    """Mean over occurrences, whatever their weight."""
+    """Mean over distinct words, however often they occur."""
     return F.avg(value)
 
 
@@ -86,6 +86,14 @@ def _with_zero_rows(df: DataFrame, pooled: DataFrame, key: str, dims: int) -> Da
     )
 
 
+def _known_counts(df, words, vectors, key, dims, limit) -> DataFrame:
+    """``key, word, n`` and the columns of ``vectors``, for the distinct known words of each text."""
+    counted = unnest_structs(df, tx.term_frequencies(F.col(words)), [key], "term")
+    return _join_words(
+        counted.withColumnRenamed("term", "word"), vectors, [key], "inner", limit, 72 + 8 * dims
+    )
+
+
 def mean_vectors(
     df: DataFrame,
     words: str,
@@ -97,12 +105,10 @@ def mean_vectors(
 ) -> DataFrame:
     """``key, vector``: the pooled word vectors of each text, zeros when no word is known.
 
-    ``pool`` combines the values of one dimension; it gets value and weight
-    (1 per occurrence here).
+    ``pool`` combines the values of one dimension; it gets value and weight,
+    here the number of occurrences of the word.
     """
-    known = known_occurrences(df, words, vectors, [key], dims, limit).withColumn(
-        "weight", F.lit(1.0)
-    )
+    known = _known_counts(df, words, vectors, key, dims, limit).withColumnRenamed("n", "weight")
     return _with_zero_rows(df, _pooled(known, key, dims, pool), key, dims)
 
 
@@ -126,17 +132,12 @@ def weighted_vectors(
 
     The weight of a word in a text is n * idf, and each of its n occurrences
     counts, which gives n * n * idf per distinct word. The norm of the TF-IDF
-    row cancels out in the mean. Texts are moved once, before they are taken
-    apart, so that both groupings find their rows in place.
+    row cancels out in the mean.
     """
     documents = df.agg(F.count("*").alias("n")).scalar()
     idfs = word_weights(df, words, documents)
     table = staged(vectors.join(idfs, "word"), "weighted-words")
-    placed = df.select(key, words).repartition(key)
-    counts = (
-        word_rows(placed, words, [key]).groupBy(key, "word").agg(F.count("*").alias("n"))
-    )
-    known = _join_words(counts, table, [key], "inner", limit, 72 + 8 * dims)
+    known = _known_counts(df, words, table, key, dims, limit)
     weighted = known.withColumn("weight", F.col("n") * F.col("n") * F.col("idf"))
     return _with_zero_rows(df, _pooled(weighted, key, dims, pool), key, dims)
 

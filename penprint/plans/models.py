@@ -52,6 +52,7 @@ class LinearMachines(Estimator):
             machine = LinearSVC(
                 labelCol="_is_class",
                 maxIter=self.iterations,
+                tol=1e-3,
                 regParam=self.reg_param,
                 rawPredictionCol=f"_margin_{k}",
                 predictionCol="prediction" if two else f"_guess_{k}",
@@ -69,6 +70,7 @@ class LinearMachines(Estimator):
             probabilityCol="probability",
             regParam=1e-6,
             maxIter=50,
+            tol=1e-4,
         )
         measured = PipelineModel([*machines, margins])
         calibrated = platt.fit(measured.transform(dataset))
