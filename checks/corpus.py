@@ -35,7 +35,8 @@ WITH books AS (SELECT source, doc_id, sum({WC}) AS wc FROM documents GROUP BY so
 ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rank FROM books)
 SELECT CASE source WHEN 'src0' THEN 'Source Zero' WHEN 'src1' THEN 'Source One' ELSE source END AS source,
   {", ".join(f"CAST(sum(CASE WHEN rank = {i} THEN wc END) AS BIGINT) AS book_{i}" for i in range(1, 5))},
-  CAST(sum(wc) AS BIGINT) AS total_wc
+  CAST(sum(wc) AS BIGINT) AS total_wc,
+  CASE source WHEN 'src0' THEN 1 WHEN 'src1' THEN 2 END AS place
 FROM ranked GROUP BY source""")
 def author_book_pivot(spark, sf):
     return reports.author_book_pivot(

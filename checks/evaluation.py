@@ -247,6 +247,14 @@ def mlp(spark, sf):
     return _rows(_predict("lstm", features, dims))
 
 
+@check()
+def training_loss(spark, sf):
+    """Loss per iteration of the network on word vectors."""
+    features = text_vectors(spark, sf)
+    model = models.mlp(DIMS, len(CLASSES)).fit(features.where("is_train"))
+    return models.loss_history(features, model)
+
+
 def _features(spark, sf, settings, kinds=("glove", "glove-tfidf", "tfidf")):
     chunks = documents(spark, sf).select(F.col("doc_id").alias("chunk_id"), "lang", "text")
     labelled = grid.labelled(chunks, settings, "lang", CLASSES, "fr")

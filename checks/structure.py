@@ -233,7 +233,7 @@ def _structured(spark, sf):
 
 def _found(spark, sf):
     patterns = spark.createDataFrame(list(PATTERNS), "lang string, pattern string")
-    return st.find_headers(_structured(spark, sf), F.broadcast(patterns), "lang")
+    return st.find_headers(_structured(spark, sf), patterns, "lang")
 
 
 def _entries(spark, sf):

@@ -94,6 +94,17 @@ def normalize_text(spark, sf):
     return documents(spark, sf).select("doc_id", tx.normalize(F.col("text")).alias("text"))
 
 
+@check(f"""
+SELECT conv_id, turn, text, len(list_filter(string_split(text, ' '), lambda x: {q.strip_ends('x')} <> '')) AS wc
+FROM (SELECT conv_id, turn, {q.clean('text')} AS text FROM conversations)""")
+def turn_table(spark, sf):
+    """Conversations as books, their turns as chapters: normalised text and word count."""
+    turns = table(spark, sf, "conversations").select(
+        "conv_id", "turn", tx.clean(F.col("text")).alias("text")
+    )
+    return turns.withColumn("wc", tx.naive_word_count(F.col("text")).cast("long"))
+
+
 @check(f"SELECT doc_id, {q.strip_ends(q.rules('text', lex.COMPACT_RULES))} AS text FROM documents")
 def normalize_compact(spark, sf):
     return documents(spark, sf).select(

@@ -21,7 +21,8 @@ def author_book_pivot(
 ) -> DataFrame:
     """One row per author with the words of its first ``books`` books, and their total over all.
 
-    ``counts`` has one row per book.
+    ``counts`` has one row per book. With ``names`` authors get their display
+    name, and ``place`` their place in its order.
     """
     ranked = row_numbers(counts, book, "rank", group=(author,))
     columns = [
@@ -30,7 +31,10 @@ def author_book_pivot(
     ]
     wide = ranked.groupBy(author).agg(*columns, F.sum("wc").alias("total_wc"))
     if names:
-        wide = wide.withColumn(author, keys.display_name(F.col(author), names))
+        order = F.array_position(F.array(*[F.lit(a) for a in names]), F.col(author))
+        wide = wide.withColumn("place", F.nullif(order, F.lit(0)).cast("int")).withColumn(
+            author, keys.display_name(F.col(author), names)
+        )
     return wide
 
 

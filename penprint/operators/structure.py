@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from penprint.functions import lexicon as lex
 from penprint.functions import text as tx
+from penprint.operators.lookup import lookup_join
 from penprint.operators.rows import computed_once, unnest_structs
 
 ENTRY = "struct<section_num:int,chapter_num:int,name:string>"
@@ -159,10 +160,10 @@ def locate_headers(content: Column, entries: Column, pattern: Column) -> Column:
 def find_headers(books: DataFrame, patterns: DataFrame, on: str) -> DataFrame:
     """Add ``headers`` to books with ``content`` and ``entries``.
 
-    ``patterns`` is a small table (``on``, ``pattern``), one row per kind of book.
-    A book without a contents block needs no pattern: its one chapter is the text.
+    ``patterns`` (``on``, ``pattern``) has one row per book or kind of book. A
+    book without a contents block needs no pattern: its one chapter is the text.
     """
-    matched = books.join(patterns, on, "left")
+    matched = lookup_join(books, patterns, [on], spread=["content"], how="left")
     whole = F.transform(
         F.col("entries"),
         lambda e: F.struct(

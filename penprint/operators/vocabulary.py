@@ -21,6 +21,7 @@ from penprint.operators.ordering import row_numbers
 from penprint.operators.rows import unnest_structs
 
 MAX_FEATURES = 10_000
+MOST_FEATURES = 500_000
 
 
 def with_terms(df: DataFrame, text: str, low: int = 1, high: int = 2) -> DataFrame:
@@ -124,6 +125,8 @@ def fit_tfidf(
     The corpus is read once for the counts. The driver holds the vocabulary,
     at most ``max_features`` rows; applying the model moves no data.
     """
+    if max_features > MOST_FEATURES:
+        raise ValueError(f"a model holds at most {MOST_FEATURES} terms")
     counts = corpus_counts(with_terms(df, text, low, high))
     rows = sorted(top_terms(counts, max_features).collect(), key=lambda r: r["term"])
     rows = [

@@ -112,6 +112,12 @@ def class_at(threshold: float = 0.5, inclusive: bool = False) -> Column:
     return (p >= threshold if inclusive else p > threshold).cast("int")
 
 
+def loss_history(df: DataFrame, model) -> DataFrame:
+    """``iteration, loss`` of a fitted network; one row per iteration."""
+    losses = [(i, float(x)) for i, x in enumerate(model.summary().objectiveHistory)]
+    return df.sparkSession.createDataFrame(losses, "iteration int, loss double")
+
+
 def fit_and_predict(
     features: DataFrame, estimator: Estimator, keep: list[str]
 ) -> tuple[object, DataFrame]:

@@ -11,6 +11,7 @@ from penprint import settings as st
 from penprint.operators import chunks as ck
 from penprint.operators import structure
 from penprint.plans import grid
+from penprint.session import staged
 from penprint.settings import Settings
 
 
@@ -24,23 +25,23 @@ class Run:
     rejected: DataFrame
 
 
-def book_chunks(books: DataFrame, patterns: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
-    """Chunks of raw books and the rejected books.
+CHAPTER_KEY = ["author", "book", "section_num", "chapter_num", "name"]
+
+
+def book_chapters(books: DataFrame, patterns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Chapters of raw books and the rejected books.
 
     ``books``: ``author, book, raw``; ``patterns``: ``book, pattern``.
-    Chunks: ``chunk_id, author, book, section_num, chapter_num, name, text``.
     """
     found = structure.find_headers(structure.read_structure(books), patterns, "book")
-    keep = ["author", "book", "section_num", "chapter_num", "name"]
     chapters = structure.split_chapters(found, ["author", "book"])
-    pieces = ck.prepare_chunks(
-        chapters.where(F.col("chapter_num") > 0), settings, "text", keep
-    ).where(F.col("text") != "")
+    rejected = structure.rejected_books(found, ["author", "book"])
+    return chapters.where(F.col("chapter_num") > 0), rejected
+
+
+def _with_id(pieces: DataFrame) -> DataFrame:
     chunk_id = F.concat_ws("/", "author", "book", "section_num", "chapter_num", "chunk")
-    return (
-        pieces.withColumn("chunk_id", chunk_id),
-        structure.rejected_books(found, ["author", "book"]),
-    )
+    return pieces.where(F.col("text") != "").withColumn("chunk_id", chunk_id)
 
 
 def run_workflow(
@@ -55,7 +56,8 @@ def run_workflow(
     max_features: int = grid.vocabulary.MAX_FEATURES,
 ) -> Run:
     """Raw books to chunks, features, fitted models and metrics."""
-    chunks, rejected = book_chunks(books, patterns, settings)
+    chapters, rejected = book_chapters(books, patterns)
+    chunks = _with_id(ck.prepare_chunks(chapters, settings, "text", CHAPTER_KEY))
     rows = grid.labelled(chunks, settings, "author", classes, target)
     features = grid.make_features(
         rows, vectors, vector_dims, settings, max_features=max_features
@@ -63,3 +65,36 @@ def run_workflow(
     count = len(classes) if settings.multiclass else 2
     cells = grid.fit_grid(features, count, model_names)
     return Run(grid.metrics_table(cells, settings), cells, features, rejected)
+
+
+def run_sweep(
+    books: DataFrame,
+    patterns: DataFrame,
+    vectors: DataFrame,
+    vector_dims: int,
+    runs: dict[str, Settings] | None = None,
+    classes: dict[str, int] = st.AUTHOR_CLASSES,
+    target: str = st.TARGET_AUTHOR,
+    model_names: tuple[str, ...] = tuple(grid.models.MODELS),
+    max_features: int = grid.vocabulary.MAX_FEATURES,
+) -> DataFrame:
+    """Metrics of all runs of a settings sweep, with their ``settings_id``.
+
+    The books are read and cut once for all runs.
+    """
+    runs = runs or st.sweep()
+    chapters, _ = book_chapters(books, patterns)
+    pieces = ck.sweep_chunks(chapters, runs, "text", CHAPTER_KEY)
+    all_chunks = staged(_with_id(pieces), "sweep", partition_by=("settings_id",))
+    table = None
+    for name, settings in runs.items():
+        chunks = all_chunks.where(F.col("settings_id") == name)
+        rows = grid.labelled(chunks, settings, "author", classes, target)
+        features = grid.make_features(
+            rows, vectors, vector_dims, settings, max_features=max_features
+        )
+        count = len(classes) if settings.multiclass else 2
+        metrics = grid.metrics_table(grid.fit_grid(features, count, model_names), settings)
+        metrics = metrics.withColumn("settings_id", F.lit(name))
+        table = metrics if table is None else table.unionByName(metrics)
+    return table

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -25,6 +26,11 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="penprint-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
@@ -35,9 +41,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="penprint-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -45,12 +49,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/penprint/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where several jobs read one costly result: columns stay prunable and
     a lost executor costs a re-read, not a recomputation.
     """
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
