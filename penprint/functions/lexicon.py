@@ -38,9 +38,10 @@ CONTENTS_CHAPTER = (
 # Normalising rules for books, applied in this order. The third
 # entry holds strings one of which is part of every match, so that a text
 # without them needs no search; empty = always search. A look-ahead at the
-# start of a pattern only rules out places early.
+# start of a pattern only rules out places early, and the first rule is
+# written so that long runs of spaces are read once.
 NORMALIZE_RULES = (
-    (rf"^{SPACE}*[\s\x0B\x1C-\x1F\x{{85}}\p{{Z}}*]+$", "", ()),
+    (r"^[\s\x0B\x1C-\x1F\x{85}\p{Z}*]+$", "", ()),
     (r"[“”]", '"', ("“", "”")),
     (r"[‘’]", "'", ("‘", "’")),
     (r"[_‖•]", "", ("_", "‖", "•")),
@@ -67,7 +68,7 @@ NORMALIZE_RULES = (
 
 # Normalising rules for texts to be scored, applied in this order.
 COMPACT_RULES = (
-    (rf"^{SPACE}*[\s\x0B\x1C-\x1F\x{{85}}\p{{Z}}*]+$", "", ()),
+    (r"^[\s\x0B\x1C-\x1F\x{85}\p{Z}*]+$", "", ()),
     (r"[“”]", '"', ("“", "”")),
     (r"[‘’]", "'", ("‘", "’")),
     (r"[–—]", "-", ("–", "—")),

@@ -10,12 +10,8 @@ SALTS = 16
 
 
 def fits_broadcast(lookup: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether ``lookup`` is small enough to copy to every executor.
-
-    Counts at most one row more than the limit allows.
-    """
-    most = max(limit // max(row_bytes, 1), 1)
-    return lookup.limit(most + 1).count() <= most
+    """Whether ``lookup`` is small enough to copy to every executor."""
+    return lookup.count() * row_bytes <= limit
 
 
 def lookup_join(

@@ -12,7 +12,7 @@ from pyspark.ml.feature import (
     SQLTransformer,
 )
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from penprint.functions import lexicon as lex
@@ -169,15 +169,16 @@ def class_term_gaps(
     entries = sparse_entries(model.transform(df), output, [author])
     sums = entries.groupBy(author, "idx").agg(F.sum("value").alias("s"))
     sizes = df.groupBy(author).agg(F.count("*").alias("n"))
-    overall = sums.groupBy("idx").agg(F.sum("s").alias("all_s"))
     documents = sizes.agg(F.sum("n").alias("n")).scalar()
+    # one row per author and term by now, so a term's window holds a row per author
+    rest = F.sum("s").over(Window.partitionBy("idx")) - F.col("s")
     names = vocabulary_table(df, vocabulary_rows).select("idx", "term")
     gap = F.col("s") / F.col("n") - F.coalesce(
-        F.try_divide(F.col("all_s") - F.col("s"), F.col("all_n") - F.col("n")), F.lit(0.0)
+        F.try_divide(F.col("rest"), documents - F.col("n")), F.lit(0.0)
     )
     return (
-        sums.join(overall, "idx")
-        .join(sizes.withColumn("all_n", documents), author)
+        sums.withColumn("rest", rest)
+        .join(sizes, author)
         .join(F.broadcast(names), "idx")
         .select(author, "term", gap.alias("gap"))
     )

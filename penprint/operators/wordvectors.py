@@ -147,21 +147,21 @@ def remove_words(
 ) -> DataFrame:
     """``key, text``: the terms of each text without the listed words, in order.
 
-    ``word_list`` has one distinct ``word`` per row. Each text's listed words
-    are looked up first, once per distinct word; the texts then meet their own
-    short list and are filtered in place.
+    ``word_list`` has one distinct ``word`` per row. The texts are placed by key
+    before they are taken apart, so that they are put together again in place.
     """
-    terms = df.select(key, tx.terms(F.col(text)).alias("_terms"))
-    rows = unnest(terms, F.array_distinct("_terms"), [key], "word")
-    listed = (
-        _join_words(rows, word_list.select("word"), [key], "inner", limit, 64)
-        .groupBy(key)
-        .agg(F.collect_set("word").alias("_listed"))
+    placed = df.select(key, text).repartition(key)
+    rows = unnest(placed, tx.terms(F.col(text)), [key], "word", "pos")
+    kept = lookup.lookup_join(
+        rows, word_list.select("word"), ["word"], [key, "pos"], "left_anti", 64, limit
     )
-    kept = F.when(F.col("_listed").isNull(), F.col("_terms")).otherwise(
-        F.filter("_terms", lambda w: ~F.array_contains(F.col("_listed"), w))
+    words = F.array_sort(F.collect_list(F.struct("pos", "word")))
+    joined = kept.groupBy(key).agg(
+        F.array_join(F.transform(words, lambda p: p["word"]), " ").alias("text")
+    )
+    return df.select(key).join(joined, key, "left").select(
+        key, F.coalesce("text", F.lit("")).alias("text")
     )
-    return terms.join(listed, key, "left").select(key, F.array_join(kept, " ").alias("text"))
 
 
 def encode_fixed_length(

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +72,16 @@ def test_guards_do_not_change_results(spark, sf):
         assert same.where(~F.col("s")).count() == 0
 
 
+def test_blank_line_rule_equals_its_longer_form(spark):
+    longer = rf"^{lex.SPACE}*[\s\x0B\x1C-\x1F\x{{85}}\p{{Z}}*]+$"
+    rng = random.Random(1)
+    texts = ["".join(rng.choice(" \n\t*ax") for _ in range(rng.randint(0, 40))) for _ in range(2000)]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    short, replacement, needed = lex.NORMALIZE_RULES[0]
+    a = df.select(tx.apply_rules(F.col("v"), [(short, replacement, needed)])).collect()
+    assert a == df.select(tx.apply_rules(F.col("v"), [(longer, "", ())])).collect()
+
+
 def test_every_needed_string_list_covers_its_pattern(spark):
     samples = [
         "“a” ‘b’ _c_ –d— [e]\n|f| +--+ x\n  .....\n .....\n\n\n\n \"q\" -- 1905 10.30 3rd 21st 2nd 5th $5 viii",
