@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 256 * 1024 * 1024
+MOST_BLOCKS = 16
 SALTS = 16
 
 
-def fits_broadcast(lookup: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether ``lookup`` is small enough to copy to every executor."""
-    return lookup.count() * row_bytes <= limit
+def lookup_bytes(lookup: DataFrame, row_bytes: int) -> int:
+    """Estimated size of a lookup table, from its counted rows."""
+    return lookup.count() * row_bytes
 
 
 def lookup_join(
@@ -27,18 +31,55 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``rows`` to ``lookup``, which holds each key of ``on`` at most once.
 
-    A lookup of checked size is broadcast, so ``rows`` never moves. A larger
-    one is joined by shuffle on the key plus a salt taken from the ``spread``
-    columns: the rows of one hot key then go to ``salts`` tasks, and each
-    lookup row is repeated once per salt. ``most_rows`` states a size the
-    caller already knows (a top-k list), so that nothing has to be counted.
+    The lookup table is measured first. Up to ``limit`` bytes it is broadcast;
+    up to ``MOST_BLOCKS`` times that, it is cut into blocks below the limit
+    that are broadcast one by one. In both cases ``rows`` never moves. A still
+    larger table is joined by shuffle on key and salt. ``most_rows`` states a
+    size the caller already knows (a top-k list), so that nothing is counted.
+
+    ``how``: inner, left, left_semi or left_anti.
     """
-    if most_rows is not None:
-        small = most_rows * row_bytes <= limit
-    else:
-        small = fits_broadcast(lookup, row_bytes, limit)
-    if small:
+    size = most_rows * row_bytes if most_rows is not None else lookup_bytes(lookup, row_bytes)
+    if size <= limit:
         return rows.join(F.broadcast(lookup), on, how)
+    # hashed keys fill the blocks evenly; a quarter more leaves room
+    blocks = math.ceil(1.25 * size / limit)
+    if blocks <= MOST_BLOCKS:
+        return blocked_join(rows, lookup, on, how, blocks)
+    return salted_join(rows, lookup, on, spread, how, salts)
+
+
+def blocked_join(
+    rows: DataFrame, lookup: DataFrame, on: list[str], how: str, blocks: int
+) -> DataFrame:
+    """Join to one broadcast block of the lookup table after the other, in one stage."""
+    block = F.pmod(F.xxhash64(*on), F.lit(blocks))
+    parts = [lookup.where(block == b) for b in range(blocks)]
+    if how == "left_anti":
+        return reduce(lambda r, part: r.join(F.broadcast(part), on, how), parts, rows)
+    values = [c for c in lookup.columns if c not in on]
+    found = F.struct(F.lit(True).alias("_hit"), *values)
+    for b, part in enumerate(parts):
+        packed = part.select(*on, found.alias(f"_found_{b}"))
+        rows = rows.join(F.broadcast(packed), on, "left")
+    names = [f"_found_{b}" for b in range(blocks)]
+    # a key is in one block at most
+    rows = rows.withColumn("_found", F.coalesce(*names)).drop(*names)
+    if how != "left":
+        rows = rows.where(F.col("_found").isNotNull())
+    if how != "left_semi":
+        rows = rows.select("*", *[F.col("_found")[c].alias(c) for c in values])
+    return rows.drop("_found")
+
+
+def salted_join(
+    rows: DataFrame, lookup: DataFrame, on: list[str], spread: list[str], how: str, salts: int
+) -> DataFrame:
+    """Join by shuffle on the key plus a salt taken from the ``spread`` columns.
+
+    The rows of one hot key go to ``salts`` tasks; each lookup row is repeated
+    once per salt.
+    """
     salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     salted_lookup = lookup.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))

@@ -11,23 +11,33 @@ from penprint.operators import wordvectors as wv
 from penprint.settings import Settings, sweep
 
 
-def test_lookup_join_salted_equals_broadcast(spark):
+def test_lookup_join_ways_are_equal(spark):
     # one key holds most rows
     rows = spark.range(3000).select(
         "id", F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k")
     )
-    table = spark.createDataFrame([("hot", 1), ("k0", 2), ("k9", 3), ("none", 4)], "k string, v int")
+    table = spark.createDataFrame(
+        [("hot", 1, None), ("k0", 2, "x"), ("k9", 3, "y"), ("none", 4, "z")], "k string, v int, w string"
+    )
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
     for how in ("inner", "left", "left_anti", "left_semi"):
         small = lookup.lookup_join(rows, table, ["k"], ["id"], how)
+        blocks = lookup.lookup_join(rows, table, ["k"], ["id"], how, row_bytes=10, limit=15)
         salted = lookup.lookup_join(rows, table, ["k"], ["id"], how, limit=1, salts=4)
-        assert sorted(map(str, small.collect())) == sorted(map(str, salted.collect())), how
-        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+        expected = sorted(map(str, small.collect()))
+        for other in (blocks, salted):
+            assert other.columns == small.columns
+            assert sorted(map(str, other.collect())) == expected, how
+        assert "BroadcastHashJoin" in plan(small)
+        assert plan(blocks).count("BroadcastHashJoin") >= 4
+        assert "Exchange hashpartitioning" not in plan(blocks)
 
 
-def test_lookup_size_is_checked(spark):
-    table = spark.range(100)
-    assert lookup.fits_broadcast(table, row_bytes=10, limit=1000)
-    assert not lookup.fits_broadcast(table, row_bytes=10, limit=999)
+def test_lookup_size_is_counted(spark):
+    assert lookup.lookup_bytes(spark.range(100), row_bytes=10) == 1000
 
 
 @pytest.mark.parametrize("descending", [False, True])
@@ -177,7 +187,7 @@ def tiny_vectors(spark):
     return docs, vectors
 
 
-@pytest.mark.parametrize("limit", [lookup.BROADCAST_BYTES, 1])
+@pytest.mark.parametrize("limit", [lookup.BROADCAST_BYTES, 100, 1])
 def test_vectors_by_hand(spark, tiny_vectors, limit):
     docs, vectors = tiny_vectors
     mean = wv.mean_vectors(docs, "words", vectors, "id", 2, limit=limit)
