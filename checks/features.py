@@ -139,6 +139,17 @@ def oov_rate(spark, sf):
     return rate.withColumn("unknown_per_text", F.round("unknown_per_text", 6))
 
 
+@check(f"""WITH {q.VECTORS}
+SELECT CAST(u + b AS BIGINT) AS unknown_words, round((u + b) / (SELECT n FROM size), 6) AS unknown_per_text
+FROM (SELECT sum(n) AS u FROM doc_words ANTI JOIN vectors USING (word)),
+  (SELECT sum(greatest(len(w) - 1, 0) + greatest(len(w) - 2, 0)) AS b FROM words)""")
+def oov_rate_ngrams(spark, sf):
+    """Pairs and triples never have a vector, so they all count as unknown."""
+    rows = vo.with_terms(documents(spark, sf), "text", 1, 3)
+    rate = wv.unknown_word_rate(rows, "terms", word_vectors(spark, sf), "doc_id")
+    return rate.withColumn("unknown_per_text", F.round("unknown_per_text", 6))
+
+
 @check(f"WITH {q.MEANS} SELECT doc_id, dim, round(value, 6) + 0.0 AS value FROM means")
 def mean_doc_vector(spark, sf):
     return long_vectors(

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from penprint.functions import text as tx
 from penprint.operators import lookup
@@ -30,6 +31,12 @@ def _join_words(rows, table, keep, how, limit, row_bytes, most_rows=None):
     )
 
 
+def _row_bytes(vectors: DataFrame, dims: int) -> int:
+    """Size of a row of the vector table: the values, the word and some room."""
+    single = isinstance(vectors.schema["vec"].dataType.elementType, T.FloatType)
+    return 128 + dims * (4 if single else 8)
+
+
 def word_rows(df: DataFrame, words: str, keep: list[str]) -> DataFrame:
     """One row per occurrence: ``keep, word``."""
     return unnest(df, F.col(words), keep, "word")
@@ -44,7 +51,8 @@ def known_occurrences(
     limit: int = lookup.BROADCAST_BYTES,
 ) -> DataFrame:
     """Occurrences that have a vector: ``keep, word, vec``."""
-    return _join_words(word_rows(df, words, keep), vectors, keep, "inner", limit, 64 + 8 * dims)
+    rows = word_rows(df, words, keep)
+    return _join_words(rows, vectors, keep, "inner", limit, _row_bytes(vectors, dims))
 
 
 def unknown_occurrences(
@@ -89,9 +97,8 @@ def _with_zero_rows(df: DataFrame, pooled: DataFrame, key: str, dims: int) -> Da
 def _known_counts(df, words, vectors, key, dims, limit) -> DataFrame:
     """``key, word, n`` and the columns of ``vectors``, for the distinct known words of each text."""
     counted = unnest_structs(df, tx.term_frequencies(F.col(words)), [key], "term")
-    return _join_words(
-        counted.withColumnRenamed("term", "word"), vectors, [key], "inner", limit, 72 + 8 * dims
-    )
+    rows = counted.withColumnRenamed("term", "word")
+    return _join_words(rows, vectors, [key], "inner", limit, _row_bytes(vectors, dims))
 
 
 def mean_vectors(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from penprint.functions import keys
+from penprint.functions.text import strip_ends
 
 SOURCES = "author string, title string, url string"
 CHAPTERS = "section_num int, chapter_num int, name string, text string, wc int"
@@ -95,7 +96,7 @@ def read_word_vectors(spark: SparkSession, path: str, dims: int) -> DataFrame:
     skipped; of several lines for a word the last one counts.
     """
     lines = spark.read.text(path).select(
-        F.split(F.trim("value"), " ").alias("parts"),
+        F.split(strip_ends(F.col("value")), " ").alias("parts"),
         F.struct(
             F.col("_metadata.file_path"),
             F.col("_metadata.file_block_start"),
@@ -116,7 +117,7 @@ def read_word_list(spark: SparkSession, path: str) -> DataFrame:
     """Distinct lower-case words, one per line."""
     return (
         spark.read.text(path)
-        .select(F.lower(F.trim("value")).alias("word"))
+        .select(F.lower(strip_ends(F.col("value"))).alias("word"))
         .where(F.col("word") != "")
         .distinct()
     )
