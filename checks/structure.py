@@ -319,7 +319,5 @@ framed AS (
   FROM chapters)
 SELECT doc_id, section_num, string_agg(part, '' ORDER BY chapter_num) AS value FROM framed GROUP BY doc_id, section_num""")
 def section_dump(spark, sf):
-    chapters = st.split_chapters(_found(spark, sf), ["doc_id"])
-    return st.section_dump(chapters, "doc_id").withColumn(
-        "section_num", F.col("section_num").cast("long")
-    )
+    dump = st.section_dump(_found(spark, sf), ["doc_id"], prepare=lambda text: text)
+    return dump.withColumn("section_num", F.col("section_num").cast("long"))

@@ -6,6 +6,8 @@ are worked on in parallel and nothing is shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -197,10 +199,10 @@ def rejected_books(books: DataFrame, key: list[str]) -> DataFrame:
     ).where(F.col("reason").isNotNull())
 
 
-def split_chapters(books: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per entry: ``keep, section_num, chapter_num, name, text``.
+def chapter_array() -> Column:
+    """The entries of a complete book with their ``text``; null for other books.
 
-    A chapter runs from its header to the next one. Section rows have an empty
+    A chapter runs from its header to the next one. Sections have an empty
     text, and text before the first chapter of a section is left out.
     """
     headers, content = F.col("headers"), F.col("content")
@@ -217,8 +219,12 @@ def split_chapters(books: DataFrame, keep: list[str]) -> DataFrame:
             text.alias("text"),
         )
 
-    chapters = F.when(content.isNotNull() & _complete(headers), F.transform(headers, chapter))
-    return unnest_structs(books, chapters, keep, "section_num")
+    return F.when(content.isNotNull() & _complete(headers), F.transform(headers, chapter))
+
+
+def split_chapters(books: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per entry of the complete books: ``keep, section_num, chapter_num, name, text``."""
+    return unnest_structs(books, chapter_array(), keep, "section_num")
 
 
 def chapter_table(books: DataFrame, keep: list[str], rules=lex.NORMALIZE_RULES) -> DataFrame:
@@ -229,23 +235,37 @@ def chapter_table(books: DataFrame, keep: list[str], rules=lex.NORMALIZE_RULES)
     )
 
 
-def section_dump(chapters: DataFrame, book: str) -> DataFrame:
-    """One readable text per section of a book: framed chapters in order.
+def section_dump(
+    books: DataFrame, keep: list[str], prepare: Callable[[Column], Column] = tx.clean
+) -> DataFrame:
+    """One readable text per section: ``keep, section_num, value``, chapters framed and in order.
 
-    A section is a piece of one book, so its chapters fit in one row.
+    Made inside the row of the book; ``prepare`` is applied to each chapter.
     """
     pad = "-" * 25
-    framed = F.when(
-        F.col("chapter_num") == 0, F.format_string(f"{pad} SECTION %s {pad}\n", F.col("name"))
-    ).otherwise(
-        F.format_string(
-            f"{pad} BEGIN CHAPTER %s {pad}\n%s\n{pad} END CHAPTER %s {pad}\n",
-            F.col("name"),
-            F.col("text"),
-            F.col("name"),
+
+    def line(before, name):
+        return F.concat(F.lit(f"{pad} {before} "), name, F.lit(f" {pad}\n"))
+
+    def framed(c):
+        chapter = F.concat(
+            line("BEGIN CHAPTER", c["name"]),
+            prepare(c["text"]),
+            F.lit("\n"),
+            line("END CHAPTER", c["name"]),
         )
-    )
-    parts = F.array_sort(F.collect_list(F.struct("chapter_num", framed.alias("part"))))
-    return chapters.groupBy(book, "section_num").agg(
-        F.array_join(F.transform(parts, lambda p: p["part"]), "").alias("value")
-    )
+        return F.when(c["chapter_num"] == 0, line("SECTION", c["name"])).otherwise(chapter)
+
+    def dump(chapters):
+        sections = F.array_distinct(F.transform(chapters, lambda c: c["section_num"]))
+        return F.transform(
+            sections,
+            lambda s: F.struct(
+                s.alias("section_num"),
+                F.array_join(
+                    F.transform(F.filter(chapters, lambda c: c["section_num"] == s), framed), ""
+                ).alias("value"),
+            ),
+        )
+
+    return unnest_structs(books, tx.bound(chapter_array(), dump), keep, "section_num")

@@ -30,13 +30,19 @@ def with_terms(df: DataFrame, text: str, low: int = 1, high: int = 2) -> DataFra
     return words.withColumn("terms", tx.ngrams(F.col("_words"), low, high)).drop("_words")
 
 
-def corpus_counts(df: DataFrame, terms: str = "terms") -> DataFrame:
+def corpus_counts(df: DataFrame, terms: str = "terms", with_total: bool = False) -> DataFrame:
     """``term, cf, df``: occurrences and texts per term.
 
     A text gives one row per distinct term, already counted, so both figures
-    need one shuffle, after adding up inside each task.
+    need one shuffle, after adding up inside each task. ``with_total`` adds a
+    row for the empty term, whose ``df`` is the number of texts.
     """
-    counted = unnest_structs(df, tx.term_frequencies(F.col(terms)), [], "term")
+    pairs = tx.term_frequencies(F.col(terms))
+    if with_total:
+        own = F.array(F.struct(F.lit("").alias("term"), F.lit(1).alias("n")))
+        none = F.array().cast("array<struct<term:string,n:int>>")
+        pairs = F.concat(own, F.coalesce(pairs, none))
+    counted = unnest_structs(df, pairs, [], "term")
     return counted.groupBy("term").agg(
         F.sum("n").alias("cf"), F.count("*").alias("df")
     )
@@ -127,12 +133,18 @@ def fit_tfidf(
     """
     if max_features > MOST_FEATURES:
         raise ValueError(f"a model holds at most {MOST_FEATURES} terms")
-    counts = corpus_counts(with_terms(df, text, low, high))
-    rows = sorted(top_terms(counts, max_features).collect(), key=lambda r: r["term"])
+    counts = corpus_counts(with_terms(df, text, low, high), with_total=True)
+    total_first = (F.col("term") != "").asc()
+    best = counts.orderBy(total_first, F.desc("cf"), F.asc("term")).limit(max_features + 1)
+    found = best.collect()
+    if len(found) < 2:
+        raise ValueError("empty vocabulary: the texts hold no terms")
+    total, *terms = found
     rows = [
-        {"term": r["term"], "cf": r["cf"], "df": r["df"], "idx": i} for i, r in enumerate(rows)
+        {"term": r["term"], "cf": r["cf"], "df": r["df"], "idx": i}
+        for i, r in enumerate(sorted(terms, key=lambda r: r["term"]))
     ]
-    return tfidf_model(rows, df.count(), text, output, low, high), rows
+    return tfidf_model(rows, total["df"], text, output, low, high), rows
 
 
 def vocabulary_table(df: DataFrame, rows: list) -> DataFrame:

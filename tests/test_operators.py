@@ -176,6 +176,14 @@ def test_tfidf_by_hand(spark):
     assert got[1, "bb"] == pytest.approx(1.0) and (1, "cc") not in got
 
 
+def test_tfidf_without_terms_is_an_error(spark):
+    for texts in ([], [(1, "a . b")]):
+        with pytest.raises(ValueError, match="empty vocabulary"):
+            vo.fit_tfidf(spark.createDataFrame(texts, "id int, text string"))
+    with pytest.raises(ValueError, match="at most"):
+        vo.fit_tfidf(spark.createDataFrame([], "text string"), max_features=10**9)
+
+
 @pytest.fixture()
 def tiny_vectors(spark):
     vectors = spark.createDataFrame(
