@@ -39,7 +39,7 @@ class LinearMachines(Estimator):
     prediction. The fitted model is a plain pipeline model.
     """
 
-    def __init__(self, classes: int, iterations: int = 20, reg_param: float = 0.01):
+    def __init__(self, classes: int, iterations: int = 10, reg_param: float = 0.01):
         super().__init__()
         self.classes = classes
         self.iterations = iterations
