@@ -324,13 +324,15 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, name: str, width: int = WID
     """Add the column ``name``: n_words, n_hit, items and merged spans (of words) of each text.
 
     ``docs`` needs ``text``, ``benchmark`` needs ``item_id`` and ``text``; all other
-    columns of ``docs`` are kept. A null text has no words, an empty benchmark hits none.
+    columns of ``docs`` are kept, but one called ``name`` is replaced. A null text has no words, an empty benchmark hits none.
     """
     spark = docs.sparkSession
     blocks = [spark.sparkContext.broadcast(b) for b in benchmark_blocks(benchmark, width, block_bytes)]
     if len(blocks) == 1:
         return docs.withColumn(name, _searcher(blocks[0])("text"))
     row = name + "_row"
+    while row in docs.columns:
+        row = "_" + row
     numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     parts = None
     for block in blocks:

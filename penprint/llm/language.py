@@ -52,7 +52,7 @@ def load_pieces(path: str = PIECES) -> dict[str, int]:
 
 def letter_words(text: str | None) -> list[str]:
     """Runs of letters in lower case."""
-    return [w for w in _LETTERS.findall(text.lower()) if not w.isascii() or w.isalpha()] if text else []
+    return _LETTERS.findall(text.lower()) if text else []
 
 
 def has_letter(words: list[str]) -> bool:
@@ -196,7 +196,8 @@ def predicted(docs: DataFrame, use: Column, name: str = "language", pieces_path:
 
     ``docs`` needs ``doc_id``, ``text`` and ``lang``; ``lang`` is read only where ``use``
     (a condition on ``doc_id``) holds and it is not null. Null texts and texts without a
-    letter get ``und`` and 0, as do all texts when nothing can be learned.
+    letter get ``und`` and 0, as do all texts when nothing can be learned. All columns of
+    ``docs`` are kept, but one called ``name`` is replaced.
     """
     pieces = load_pieces(pieces_path)
     langs, prior, table = train(docs, use, pieces)

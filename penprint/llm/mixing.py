@@ -142,45 +142,54 @@ def mix(
     """
     added = ["mix_tokens", "mix_epoch", "mix_block", "mix_place"]
     own = [c for c in docs.columns if c not in added]
-    rows = docs.select(*own).withColumn("mix_tokens", tokens_of(F.col("text"))).withColumn("mix_key", source_key(F.col("source")))
-    sizes = rows.groupBy(F.col("mix_key").alias("key")).agg(F.sum("mix_tokens").alias("n")).where("n > 0")
-    weights = staged(source_weights(staged(sizes, "sizes"), entropy_share, most_repeats, budget), "weights")
+    p = "mix_"
+    while any(c.startswith(p) for c in own):
+        p = "_" + p
+    tokens, key, n, quota, start = (f"{p}{c}" for c in ("tokens", "key", "n", "quota", "start"))
+    epoch, block = f"{p}epoch", f"{p}block"
+    rows = docs.select(
+        *own, tokens_of(F.col("text")).alias(tokens), source_key(F.col("source")).alias(key)
+    )
+    sizes = staged(
+        rows.groupBy(F.col(key).alias("key")).agg(F.sum(tokens).alias("n")).where("n > 0"), "sizes"
+    )
+    weights = staged(source_weights(sizes, entropy_share, most_repeats, budget), "weights")
     per_source = weights.select(
-        F.col("key").alias("mix_key"),
-        F.col("n").alias("mix_n"),
-        F.col("quota").alias("mix_quota"),
-        F.ceil(F.col("n") / block_tokens).alias("mix_blocks"),
-        F.ceil(F.col("budget") / block_tokens).alias("mix_places"),
+        F.col("key").alias(key),
+        F.col("n").alias(n),
+        F.col("quota").alias(quota),
+        F.ceil(F.col("n") / block_tokens).alias(f"{p}blocks"),
+        F.ceil(F.col("budget") / block_tokens).alias(f"{p}places"),
     )
     number = F.conv(F.substring(_order(F.col("doc_id")), 1, 15), 16, 10).cast("long")
-    dealt = rows.join(per_source, "mix_key").withColumn("mix_block", number % F.col("mix_blocks"))
-    last = F.floor((F.col("mix_quota") - 1) / F.col("mix_n"))
+    dealt = rows.join(per_source, key).withColumn(block, number % F.col(f"{p}blocks"))
+    last = F.floor((F.col(quota) - 1) / F.col(n))
     epochs = F.sequence(F.lit(0).cast("long"), F.greatest(last, F.lit(0)).cast("long"))
 
     # where each block of each epoch starts
-    blocks = dealt.groupBy("mix_key", "mix_n", "mix_quota", "mix_block").agg(F.sum("mix_tokens").alias("size"))
-    blocks = blocks.select("*", F.explode(epochs).alias("mix_epoch"))
+    blocks = dealt.groupBy(key, n, quota, block).agg(F.sum(tokens).alias("size"))
+    blocks = blocks.select("*", F.explode(epochs).alias(epoch))
     earlier = (
-        Window.partitionBy("mix_key", "mix_epoch")
-        .orderBy(_order(F.col("mix_key"), F.col("mix_epoch"), F.col("mix_block")), "mix_block")
+        Window.partitionBy(key, epoch)
+        .orderBy(_order(F.col(key), F.col(epoch), F.col(block)), block)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = blocks.select(
-        "mix_key", "mix_epoch", "mix_block",
-        (F.col("mix_epoch") * F.col("mix_n") + F.coalesce(F.sum("size").over(earlier), F.lit(0))).alias("mix_start"),
+    before = F.coalesce(F.sum("size").over(earlier), F.lit(0))
+    starts = staged(
+        blocks.select(key, epoch, block, (F.col(epoch) * F.col(n) + before).alias(start)), "blocks"
     )
-    starts = staged(starts, "blocks")
 
-    copies = dealt.select("*", F.explode(epochs).alias("mix_epoch"))
+    copies = dealt.select("*", F.explode(epochs).alias(epoch))
     inside = (
-        Window.partitionBy("mix_key", "mix_epoch", "mix_block")
-        .orderBy(_order(F.col("doc_id"), F.col("mix_epoch")), "doc_id")
+        Window.partitionBy(key, epoch, block)
+        .orderBy(_order(F.col("doc_id"), F.col(epoch)), "doc_id")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = (
-        copies.join(starts, ["mix_key", "mix_epoch", "mix_block"])
-        .withColumn("mix_start", F.col("mix_start") + F.coalesce(F.sum("mix_tokens").over(inside), F.lit(0)))
-        .where(F.col("mix_start") < F.col("mix_quota"))
+        copies.join(starts, [key, epoch, block])
+        .withColumn(start, F.col(start) + F.coalesce(F.sum(tokens).over(inside), F.lit(0)))
+        .where(F.col(start) < F.col(quota))
     )
-    place = F.floor(F.col("mix_start").cast("double") / F.col("mix_quota") * F.col("mix_places"))
-    return placed.withColumn("mix_place", place.cast("long")).select(*own, *added)
+    place = F.floor(F.col(start).cast("double") / F.col(quota) * F.col(f"{p}places"))
+    found = (F.col(tokens), F.col(epoch), F.col(block), place.cast("long"))
+    return placed.select(*own, *[c.alias(name) for c, name in zip(found, added)])

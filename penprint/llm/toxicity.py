@@ -165,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, train_rows: int = TRA
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
     one = rows.repartition(1).sortWithinPartitions(F.xxhash64("doc_id", F.lit(7)), "doc_id", "text")
     fitted = one.select("text", "label").mapInArrow(_fit_task, "weights binary, squares binary, intercept double").first()
-    return tuple(fitted)
+    return tuple(fitted or (bytes(4 << BITS), bytes(4 << BITS), -50.0))
 
 
 def toxic_score(model: tuple):
@@ -194,7 +194,8 @@ def scored(docs: DataFrame, labels: DataFrame, name: str = "score", folds: int =
     """Add the probability that each text is toxic.
 
     ``docs`` needs ``doc_id`` and ``text``, ``labels`` needs ``doc_id`` and ``toxic``;
-    other columns are neither read for the score nor lost. Labels whose ids are in fold
+    other columns are neither read for the score nor lost, but one called ``name`` is
+    replaced. Labels whose ids are in fold
     ``fold`` of ``folds`` are not learned. Null and empty texts get the share of toxic
     texts among those learned; without any label all scores are zero.
     """
