@@ -12,7 +12,7 @@ where it lies, whole.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +24,14 @@ from penprint.llm.common import fold_of
 from penprint.llm.optimise import minimise
 
 BITS = 20
-ORDERS = (3, 4, 5)
-TRAIN_ROWS = 8_000
-TRAIN_CHARS = 24_000_000
-LEAST_TEXTS = 4
-LEAST_RATIO = 1.2
+ORDERS = (3, 5, 7, 9)
+TRAIN_ROWS = 20_000
+TRAIN_CHARS = 64_000_000
+LEAST_TEXTS = 8
+LEAST_RATIO = 1.5
 SMOOTH = 1.0
 # strength of the prior on the coefficients, per training row
-PENALTY = 1 / 6000
+PENALTY = 1 / 60_000
 STEPS = 25
 THRESHOLD = 0.3
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -67,8 +67,11 @@ class Hasher:
         return all_of[self.stamp[all_of] == places]
 
 
-def log_ratios(features: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Log-count ratio of each feature; zero below ``LEAST_TEXTS`` texts or ``LEAST_RATIO``."""
+def log_ratios(features: Iterable[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """Log-count ratio of each feature; zero if it is rare or the ratio is below ``LEAST_RATIO``.
+
+    A rare feature is one in fewer than ``LEAST_TEXTS`` texts, less for a small sample.
+    """
     size = 1 << BITS
     toxic = np.zeros(size)
     other = np.zeros(size)
@@ -76,14 +79,17 @@ def log_ratios(features: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
         (toxic if y else other)[f] += 1
     p, q = toxic + SMOOTH, other + SMOOTH
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
-    ratio[(toxic + other < LEAST_TEXTS) | (np.abs(ratio) < LEAST_RATIO)] = 0
+    least = min(LEAST_TEXTS, max(3, len(labels) // 300))
+    ratio[(toxic + other < least) | (np.abs(ratio) < LEAST_RATIO)] = 0
     return ratio
 
 
-def fit(features: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+def fit(read: Callable[[], Iterable[np.ndarray]], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """Weights of the features (ratio times coefficient), squares of the ratios, and the intercept.
 
-    With one class only every text gets the share of that class; without any row, zero.
+    ``read`` gives the features of the texts; it is called twice, so that only those that
+    take part are held. With one class only every text gets the share of that class;
+    without any row, zero.
     """
     if not len(labels):
         return np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, np.float32), -50.0
@@ -92,13 +98,14 @@ def fit(features: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.
     start = float(np.log(share / (1 - share)))
     if not labels.any() or labels.all():
         return np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, np.float32), start
-    ratio = log_ratios(features, labels)
+    ratio = log_ratios(read(), labels)
     # only features with a ratio take part
     used = np.flatnonzero(ratio)
+    if not len(used):
+        return np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, np.float32), start
     number = np.full(1 << BITS, -1, np.int32)
     number[used] = np.arange(len(used))
-    own = [number[f] for f in features]
-    own = [f[f >= 0] for f in own]
+    own = [found[found >= 0] for found in (number[f] for f in read())]
     sizes = np.array([len(f) for f in own])
     column = np.concatenate(own)
     row = np.repeat(np.arange(len(own), dtype=np.int32), sizes)
@@ -137,14 +144,14 @@ def probability(found: np.ndarray, weights: np.ndarray, squares: np.ndarray, int
 
 
 def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher, features, labels, read = Hasher(), [], [], 0
+    hasher, texts, labels, read = Hasher(), [], [], 0
     for batch in batches:
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             read += len(text)
             if read <= TRAIN_CHARS:
-                features.append(hasher.features(text))
+                texts.append(text)
                 labels.append(label)
-    weights, squares, intercept = fit(features, np.array(labels))
+    weights, squares, intercept = fit(lambda: map(hasher.features, texts), np.array(labels))
     yield pa.RecordBatch.from_arrays(
         [pa.array([weights.tobytes()]), pa.array([squares.tobytes()]), pa.array([intercept])],
         ["weights", "squares", "intercept"],
