@@ -157,27 +157,36 @@ def dataset_build(spark, sf):
     return rows.withColumn("chunk", F.col("chunk").cast("long"))
 
 
-@check("""
-WITH counts AS (SELECT source, doc_id, count(text) AS n FROM documents GROUP BY source, doc_id),
-hashed AS (SELECT *, md5('42|' || source || '|' || CAST(doc_id AS VARCHAR)) AS h FROM counts),
-firsts AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY h) = 1 AS first FROM hashed),
-running AS (SELECT *, sum(n) OVER (ORDER BY CASE WHEN first THEN 0 ELSE 1 END, h ROWS UNBOUNDED PRECEDING) AS upto FROM firsts)
-SELECT source, doc_id, NOT (first OR upto <= (SELECT sum(n) FROM counts) * 0.2) AS is_train FROM running""")
+def _greedy(table_name, author, book):
+    """Books in hash order, each taken if it fits into what is left; one of each author first."""
+    return f"""
+counts AS (SELECT {author}, {book}, count(text) AS n FROM {table_name} GROUP BY {author}, {book}),
+hashed AS (SELECT *, md5('42|' || {author} || '|' || CAST({book} AS VARCHAR)) AS h FROM counts),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY {author} ORDER BY h) = 1 AS first FROM hashed),
+ordered AS (SELECT *, row_number() OVER (ORDER BY h) AS i FROM firsts WHERE NOT first),
+fill(i, room, taken) AS (
+  SELECT 0::BIGINT, (floor(sum(n) * 0.2) - sum(CASE WHEN first THEN n ELSE 0 END))::BIGINT, false FROM firsts
+  UNION ALL
+  SELECT o.i, CASE WHEN n <= room THEN room - n ELSE room END, n <= room FROM fill JOIN ordered o ON o.i = fill.i + 1),
+chosen AS (
+  SELECT {author}, {book}, n, first OR coalesce(taken, false) AS test
+  FROM firsts LEFT JOIN ordered USING ({author}, {book}) LEFT JOIN fill ON fill.i = ordered.i)"""
+
+
+GREEDY_ROLES = _greedy("conversations", "role", "conv_id").replace("n, first OR", "firsts.n, firsts.first OR")
+GREEDY_SOURCES = _greedy("documents", "source", "doc_id").replace("n, first OR", "firsts.n, firsts.first OR")
+
+
+@check(f"WITH RECURSIVE {GREEDY_SOURCES} SELECT source, doc_id, NOT test AS is_train FROM chosen")
 def book_split(spark, sf):
-    rows = split.split_by_book(documents(spark, sf), "source", "doc_id", spread="doc_id")
+    rows = split.split_by_book(documents(spark, sf), "source", "doc_id", margin=0.01)
     return rows.select("source", "doc_id", "is_train")
 
 
-@check("""
-WITH counts AS (SELECT conv_id, role, count(text) AS n FROM conversations GROUP BY conv_id, role),
-hashed AS (SELECT *, md5('42|' || role || '|' || CAST(conv_id AS VARCHAR)) AS h FROM counts),
-firsts AS (SELECT *, row_number() OVER (PARTITION BY role ORDER BY h) = 1 AS first FROM hashed),
-running AS (SELECT *, sum(n) OVER (ORDER BY CASE WHEN first THEN 0 ELSE 1 END, h ROWS UNBOUNDED PRECEDING) AS upto FROM firsts)
-SELECT round(sum(CASE WHEN first OR upto <= (SELECT sum(n) FROM counts) * 0.2 THEN n ELSE 0 END) / sum(n), 6) AS test_share FROM running""")
+@check(f"""WITH RECURSIVE {GREEDY_ROLES}
+SELECT round(sum(CASE WHEN test THEN n ELSE 0 END) / sum(n), 6) AS test_share FROM chosen""")
 def book_split_share(spark, sf):
-    rows = split.split_by_book(
-        table(spark, sf, "conversations"), "role", "conv_id", spread="turn"
-    )
+    rows = split.split_by_book(table(spark, sf, "conversations"), "role", "conv_id")
     return split.test_share(rows).select(F.round("test_share", 6).alias("test_share"))
 
 

@@ -111,12 +111,12 @@ def top_terms_by_author(spark, sf):
 @check(f"""WITH {q.VECTORS}
 SELECT doc_id, word, n, round(CAST(vec[1] AS DOUBLE), 6) AS first_value FROM doc_words JOIN vectors USING (word)""")
 def word_vector_join(spark, sf):
-    known = wv.known_occurrences(
-        doc_words(spark, sf), "words", word_vectors(spark, sf), ["doc_id"], DIMS
-    )
-    return known.groupBy("doc_id", "word").agg(
-        F.count("*").alias("n"),
-        F.round(F.max(F.col("vec")[0].cast("double")), 6).alias("first_value"),
+    known = wv.known_counts(doc_words(spark, sf), "words", word_vectors(spark, sf), ["doc_id"])
+    return known.select(
+        "doc_id",
+        "word",
+        F.col("n").cast("long").alias("n"),
+        F.round(F.col("vec")[0].cast("double"), 6).alias("first_value"),
     )
 
 
@@ -133,9 +133,7 @@ def oov_words(spark, sf):
 SELECT CAST(sum(n) AS BIGINT) AS unknown_words, round(sum(n) / (SELECT n FROM size), 6) AS unknown_per_text
 FROM doc_words ANTI JOIN vectors USING (word)""")
 def oov_rate(spark, sf):
-    rate = wv.unknown_word_rate(
-        doc_words(spark, sf), "words", word_vectors(spark, sf), "doc_id"
-    )
+    rate = wv.unknown_word_rate(doc_words(spark, sf), "words", word_vectors(spark, sf))
     return rate.withColumn("unknown_per_text", F.round("unknown_per_text", 6))
 
 
@@ -146,7 +144,7 @@ FROM (SELECT sum(n) AS u FROM doc_words ANTI JOIN vectors USING (word)),
 def oov_rate_ngrams(spark, sf):
     """Pairs and triples never have a vector, so they all count as unknown."""
     rows = vo.with_terms(documents(spark, sf), "text", 1, 3)
-    rate = wv.unknown_word_rate(rows, "terms", word_vectors(spark, sf), "doc_id")
+    rate = wv.unknown_word_rate(rows, "terms", word_vectors(spark, sf))
     return rate.withColumn("unknown_per_text", F.round("unknown_per_text", 6))
 
 
@@ -173,19 +171,36 @@ def max_doc_vector(spark, sf):
     return long_vectors(rows)
 
 
-@check(f"""WITH {q.VECTORS},
-weights AS (SELECT word, ln((1 + (SELECT n FROM size)) / (1 + count(*))) + 1 AS idf FROM doc_words GROUP BY word),
+def _weighted_sql(fitted: str) -> str:
+    """Vectors weighted by the idf of the texts in ``fitted``."""
+    return f"""WITH {q.VECTORS},
+fitted AS (SELECT * FROM doc_words WHERE {fitted}),
+weights AS (
+  SELECT word, ln((1 + (SELECT count(*) FROM documents WHERE {fitted})) / (1 + count(*))) + 1 AS idf FROM fitted GROUP BY word),
 sums AS (
   SELECT doc_id, dim, sum(n * n * idf * CAST(vec[dim + 1] AS DOUBLE)) / sum(n * n * idf) AS value
   FROM doc_words JOIN vectors USING (word) JOIN weights USING (word), dims GROUP BY doc_id, dim)
 SELECT doc_id, dim, round(coalesce(value, 0), 6) + 0.0 AS value
-FROM (SELECT doc_id, dim FROM documents, dims) LEFT JOIN sums USING (doc_id, dim)""")
+FROM (SELECT doc_id, dim FROM documents, dims) LEFT JOIN sums USING (doc_id, dim)"""
+
+
+@check(_weighted_sql("true"))
 def weighted_doc_vector(spark, sf):
     return long_vectors(
         wv.weighted_vectors(doc_words(spark, sf), "words", word_vectors(spark, sf), "doc_id", DIMS)
     )
 
 
+@check(_weighted_sql(f"{q.bucket('doc_id', '100')} < 80"))
+def weighted_doc_vector_train(spark, sf):
+    """The idf comes from the training rows alone."""
+    words = doc_words(spark, sf)
+    train = words.where(keys.is_train_row(F.col("doc_id")))
+    return long_vectors(
+        wv.weighted_vectors(words, "words", word_vectors(spark, sf), "doc_id", DIMS, fit=train)
+    )
+
+
 @check(f"""WITH {q.VECTORS},
 known AS (SELECT doc_id, word, i FROM (
   SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM words) SEMI JOIN vectors USING (word)),
@@ -196,7 +211,7 @@ SELECT doc_id, coalesce(text, '') AS text FROM documents LEFT JOIN kept USING (d
 def remove_oov(spark, sf):
     vectors = word_vectors(spark, sf)
     unknown = (
-        wv.unknown_occurrences(doc_words(spark, sf), "words", vectors, ["doc_id"])
+        wv.unknown_counts(doc_words(spark, sf), "words", vectors, [])
         .select("word")
         .distinct()
     )

@@ -63,7 +63,7 @@ def terms(expression: str = "text") -> str:
 
 
 def bucket(key: str, buckets: str) -> str:
-    return f"(('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8))::BIGINT % {buckets})"
+    return f"(('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 15))::BIGINT % {buckets})"
 
 
 def grams(words: str, n: int) -> str:

@@ -307,9 +307,7 @@ def encode_fixed_length(spark, sf):
     docs = documents(spark, sf)
     top = vocabulary.vocabulary(vocabulary.with_terms(docs, "text", 1, 2))
     rows = docs.select("doc_id", tx.terms(F.col("text")).alias("w"))
-    encoded = wordvectors.encode_fixed_length(
-        rows, "w", top, "doc_id", 128, vocabulary_rows=vocabulary.MAX_FEATURES
-    )
+    encoded = wordvectors.encode_fixed_length(rows, "w", top, "doc_id", 128)
     return encoded.select(
         "doc_id",
         F.array_join(F.transform("input_ids", lambda x: x.cast("string")), " ").alias("input_ids"),

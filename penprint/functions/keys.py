@@ -23,7 +23,7 @@ def path_part(path: Column, from_end: int) -> Column:
 
 def code_from_id(book_id: Column) -> Column:
     """``PG123`` to 123."""
-    return F.substring(book_id, 3, 20).cast("int")
+    return F.substring(book_id, F.lit(3), F.length(book_id)).cast("int")
 
 
 def binary_label(author: Column, target: str) -> Column:
@@ -47,13 +47,13 @@ def display_name(author: Column, names: dict[str, str]) -> Column:
 
 
 def hash_key(*parts: Column) -> Column:
-    """32 hexadecimal digits that depend only on the values of ``parts``."""
-    return F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
+    """32 hexadecimal digits that depend only on the values of ``parts``; a null has its own place."""
+    return F.md5(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]))
 
 
 def hash_bucket(key: Column, buckets: int | Column) -> Column:
     """A bucket number below ``buckets`` that depends only on the key."""
-    digits = F.substring(hash_key(key), 1, 8)
+    digits = F.substring(hash_key(key), 1, 15)
     return F.conv(digits, 16, 10).cast("long") % buckets
 
 

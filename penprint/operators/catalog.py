@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from penprint.functions import keys
 from penprint.operators.chunks import chunk_by_length
-from penprint.operators.lookup import lookup_join
 from penprint.operators.ordering import row_numbers
 
 # Author entries that name nobody.
@@ -46,13 +45,13 @@ def assign_ids(df: DataFrame) -> DataFrame:
     """
     authors = row_numbers(df.select("author").distinct(), "author", "author_id", start=0)
     books = row_numbers(df, "pg_code", "book_id", group=("author",), start=0)
-    return lookup_join(books, authors, ["author"], spread=["pg_code"])
+    return books.join(authors, "author")
 
 
 def multi_book_authors(df: DataFrame) -> DataFrame:
     """Keep the rows of authors with more than one book."""
     several = df.groupBy("author").count().where(F.col("count") > 1).select("author")
-    return lookup_join(df, several, ["author"], spread=["pg_code"], how="left_semi")
+    return df.join(several, "author", "left_semi")
 
 
 def build_catalog(df: DataFrame, **filters) -> DataFrame:
@@ -85,5 +84,5 @@ def build_dataset(
     side, so texts stay where they were read unless it is too large to copy.
     """
     ids = catalog.select("pg_code", "author_id", "book_id")
-    matched = lookup_join(books.select("pg_code", "tokens"), ids, ["pg_code"], spread=["pg_code"])
+    matched = books.select("pg_code", "tokens").join(ids, "pg_code")
     return chunk_by_length(matched, "tokens", ["author_id", "book_id"], length, drop_tail=False)

@@ -1,8 +1,9 @@
 """Exact running totals and row numbers over ordered sets of any size.
 
 A window without partitions, or with one very large partition, would sort all
-its rows in one task. Here the order is cut into ranges first: each range is
-summed on its own, and the totals of earlier ranges are added afterwards.
+its rows in one task. Here Spark's range partitioning cuts the order first: each
+range is summed on its own, and the totals of earlier ranges are added afterwards.
+Ranges go by group and key together, so a large group is cut as well.
 """
 
 from __future__ import annotations
@@ -12,35 +13,7 @@ from pyspark.sql import functions as F
 
 from penprint.session import staged
 
-SAMPLE_ROWS = 4096
-MOST_RANGES = 512
-
-
-def split_points(df: DataFrame, key: str, sample_rows: int = SAMPLE_ROWS) -> list:
-    """Values that cut ``key`` into ranges of similar size.
-
-    They come from a hash-ordered sample of at most ``sample_rows`` keys.
-    Empty when the whole set fits in the sample. The result of a running total
-    does not depend on them, only its balance does.
-    """
-    sample = (
-        df.select(F.col(key).alias("k"))
-        .where(F.col("k").isNotNull())
-        .orderBy(F.xxhash64("k"))
-        .limit(sample_rows)
-        .collect()
-    )
-    if len(sample) < sample_rows:
-        return []
-    ranges = min(MOST_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    keys = sorted({row.k for row in sample})
-    step = max(len(keys) // max(ranges, 2), 1)
-    return keys[step::step]
-
-
-def range_number(key: Column, points: list) -> Column:
-    """How many split points lie below ``key``."""
-    return F.size(F.filter(F.array(*[F.lit(p) for p in points]), lambda p: p < key))
+RANGE_ROWS = 1_000_000
 
 
 def running_totals(
@@ -49,18 +22,21 @@ def running_totals(
     sums: dict[str, str | Column],
     group: tuple[str, ...] = (),
     descending: bool = False,
-    sample_rows: int = SAMPLE_ROWS,
+    range_rows: int = RANGE_ROWS,
+    written: bool = False,
 ) -> DataFrame:
     """Add to each row the total of ``sums`` over all rows up to and including it.
 
     Rows are ordered by ``key`` inside ``group``. Key values should be unique
     in a group, or the order among equal ones is open; add up ties beforehand.
-    The rows are written once first, as they are read three times.
+    The rows are written first (unless ``written`` says that they are a written
+    table); their number gives the number of ranges.
     """
-    df = staged(df, "ordered")
-    points = split_points(df, key, sample_rows)
+    df = df if written else staged(df, "ordered")
+    ranges = -(-df.count() // range_rows)
     order = F.desc(key) if descending else F.asc(key)
     sums = {name: F.col(c) if isinstance(c, str) else c for name, c in sums.items()}
+    out = [c for c in df.columns if c not in sums]
 
     def up_to(*part):
         return (
@@ -69,23 +45,28 @@ def running_totals(
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
 
-    if not points:
-        return df.select("*", *[F.sum(c).over(up_to(*group)).alias(n) for n, c in sums.items()])
+    if ranges <= 1:
+        return df.select(*out, *[F.sum(c).over(up_to(*group)).alias(n) for n, c in sums.items()])
 
+    # written again, so that both readers below see the same ranges
+    cut = df.repartitionByRange(ranges, *group, order)
+    ranged = staged(cut.withColumn("_range", F.spark_partition_id()), "ranges")
     part = [*group, "_range"]
-    ranged = df.withColumn("_range", range_number(F.col(key), points))
-    inside = ranged.select("*", *[F.sum(c).over(up_to(*part)).alias(n) for n, c in sums.items()])
+    inside = ranged.select(
+        *out, "_range", *[F.sum(c).over(up_to(*part)).alias(n) for n, c in sums.items()]
+    )
     per_range = ranged.groupBy(*part).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     earlier = (
         Window.partitionBy(*group)
-        .orderBy(F.desc("_range") if descending else F.asc("_range"))
+        .orderBy("_range")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     before = per_range.select(
-        *part, *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_{n}") for n in sums]
+        *[F.col(c).alias(f"_of_{c}") for c in part],
+        *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_{n}") for n in sums],
     )
-    out = [c for c in df.columns if c not in sums]
-    return inside.join(before, part).select(
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in part]
+    return inside.join(before, same).select(
         *out, *[(F.col(n) + F.col(f"_{n}")).alias(n) for n in sums]
     )
 
@@ -96,8 +77,8 @@ def row_numbers(
     name: str,
     group: tuple[str, ...] = (),
     start: int = 1,
-    sample_rows: int = SAMPLE_ROWS,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Number the rows of each group in the order of ``key``."""
-    numbered = running_totals(df, key, {name: F.lit(1)}, group, sample_rows=sample_rows)
+    numbered = running_totals(df, key, {name: F.lit(1)}, group, range_rows=range_rows)
     return numbered.withColumn(name, (F.col(name) + (start - 1)).cast("long"))

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from penprint.functions import keys
 from penprint.functions import lexicon as lex
 from penprint.functions import text as tx
-from penprint.operators.ordering import row_numbers
 
 
 def word_counts(chapters: DataFrame, author: str, book: str, wc: str = "wc") -> DataFrame:
@@ -24,12 +23,18 @@ def author_book_pivot(
     ``counts`` has one row per book. With ``names`` authors get their display
     name, and ``place`` their place in its order.
     """
-    ranked = row_numbers(counts, book, "rank", group=(author,))
+    order = Window.partitionBy(author).orderBy(book)
+    # of each author only the first few books reach the window
+    first = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= books)
     columns = [
         F.sum(F.when(F.col("rank") == i, F.col("wc"))).alias(f"book_{i}")
         for i in range(1, books + 1)
     ]
-    wide = ranked.groupBy(author).agg(*columns, F.sum("wc").alias("total_wc"))
+    totals = counts.groupBy(author).agg(F.sum("wc").alias("total_wc"))
+    wide = first.groupBy(F.col(author).alias("_author")).agg(*columns)
+    wide = wide.join(totals, F.col("_author").eqNullSafe(F.col(author))).select(
+        author, *[f"book_{i}" for i in range(1, books + 1)], "total_wc"
+    )
     if names:
         order = F.array_position(F.array(*[F.lit(a) for a in names]), F.col(author))
         wide = wide.withColumn("place", F.nullif(order, F.lit(0)).cast("int")).withColumn(

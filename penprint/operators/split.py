@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from penprint.functions import keys
-from penprint.operators.lookup import lookup_join
 from penprint.operators.ordering import running_totals
+from penprint.session import staged
 
 
 def split_rows(df: DataFrame, key: str, percent: int = 80) -> DataFrame:
@@ -25,20 +28,42 @@ def book_row_counts(
 def choose_test_books(
     counts: DataFrame, author: str, book: str, test_share: float = 0.2, seed: int = 42
 ) -> DataFrame:
-    """Test books: one of each author, then more in hash order up to the share of rows.
+    """Test books: one of each author, then more in hash order as long as the share of rows allows.
 
-    ``counts`` has one row per book with ``n_rows``.
+    ``counts`` has one row per book with ``n_rows``. A book that would exceed the share
+    is skipped and smaller ones after it are still taken. In each round a running total
+    takes all books up to the first that does not fit; books too large for what is left
+    do not come back, so a few rounds reach the end of the order.
     """
-    hashed = counts.withColumn("_h", keys.hash_key(F.lit(seed), F.col(author), F.col(book)))
-    first = hashed.groupBy(author).agg(F.min("_h").alias("_h"), F.lit("0").alias("_first"))
-    ordered = hashed.join(first, [author, "_h"], "left").withColumn(
-        "_key", F.concat(F.coalesce("_first", F.lit("1")), "_h")
+    hashed = staged(
+        counts.withColumn("_h", keys.hash_key(F.lit(seed), F.col(author), F.col(book))), "books"
     )
-    running = running_totals(ordered, "_key", {"_up_to": "n_rows"})
-    total = counts.agg(F.sum("n_rows").alias("n")).scalar()
-    return running.where(
-        F.col("_first").isNotNull() | (F.col("_up_to") <= total * F.lit(test_share))
-    ).select(author, book)
+    first = hashed.groupBy(F.col(author).alias("_author")).agg(F.min("_h").alias("_first"))
+    same = F.col(author).eqNullSafe(F.col("_author")) & (F.col("_h") == F.col("_first"))
+    marked = staged(hashed.join(first, same, "left").drop("_author"), "books")
+    total, fixed = marked.agg(
+        F.coalesce(F.sum("n_rows"), F.lit(0)),
+        F.coalesce(F.sum(F.when(F.col("_first").isNotNull(), F.col("n_rows"))), F.lit(0)),
+    ).first()
+    taken = [marked.where(F.col("_first").isNotNull()).select(author, book)]
+    left, after = math.floor(total * test_share) - fixed, ""
+    while left >= 0:
+        open_books = marked.where(
+            F.col("_first").isNull() & (F.col("_h") > after) & (F.col("n_rows") <= left)
+        ).select(author, book, "_h", "n_rows")
+        running = staged(running_totals(open_books, "_h", {"_up_to": "n_rows"}), "filled")
+        fits = running.where(F.col("_up_to") <= left)
+        used, next_book = running.agg(
+            F.max(F.when(F.col("_up_to") <= left, F.col("_up_to"))),
+            F.min(F.when(F.col("_up_to") > left, F.col("_h"))),
+        ).first()
+        if used is not None:
+            taken.append(fits.select(author, book))
+            left -= used
+        if next_book is None:
+            break
+        after = next_book
+    return reduce(DataFrame.union, taken)
 
 
 def split_by_book(
@@ -46,25 +71,32 @@ def split_by_book(
     author: str = "author_id",
     book: str = "book_id",
     text: str = "text",
-    spread: str | None = None,
     test_share: float = 0.2,
     seed: int = 42,
+    margin: float | None = None,
 ) -> DataFrame:
     """Add ``is_train``: all rows of a book are on the same side.
 
-    Every author has a test book. ``spread`` names a column that tells the
-    rows of one book apart, in case the list of test books is too long to copy.
+    Every author has a test book. With a ``margin`` a share of test rows that is further
+    from ``test_share`` is an error.
     """
     counts = book_row_counts(df, author, book, text)
-    chosen = choose_test_books(counts, author, book, test_share, seed)
-    flagged = lookup_join(
-        df,
-        chosen.withColumn("_test", F.lit(True)),
-        [author, book],
-        spread=[spread or text],
-        how="left",
-    )
-    return flagged.withColumn("is_train", F.col("_test").isNull()).drop("_test")
+    chosen = staged(choose_test_books(counts, author, book, test_share, seed), "test-books")
+    if margin is not None:
+        reached = _share(counts, chosen, author, book)
+        if reached is not None and abs(reached - test_share) > margin:
+            raise ValueError(f"the test books hold {reached:.4f} of the rows, not {test_share} within {margin}")
+    picked = chosen.select(F.col(author).alias("_author"), F.col(book).alias("_book"))
+    same = F.col(author).eqNullSafe(F.col("_author")) & F.col(book).eqNullSafe(F.col("_book"))
+    flagged = df.join(picked.withColumn("_test", F.lit(True)), same, "left")
+    return flagged.withColumn("is_train", F.col("_test").isNull()).drop("_test", "_author", "_book")
+
+
+def _share(counts: DataFrame, chosen: DataFrame, author: str, book: str) -> float | None:
+    picked = chosen.select(F.col(author).alias("_author"), F.col(book).alias("_book"))
+    same = F.col(author).eqNullSafe(F.col("_author")) & F.col(book).eqNullSafe(F.col("_book"))
+    test = counts.join(picked, same, "left_semi").agg(F.sum("n_rows").alias("n")).scalar()
+    return counts.agg(F.try_divide(F.coalesce(test, F.lit(0)), F.sum("n_rows"))).first()[0]
 
 
 def test_share(split: DataFrame) -> DataFrame:

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from penprint.functions import lexicon as lex
 from penprint.functions import text as tx
-from penprint.operators.lookup import lookup_join
 from penprint.operators.rows import computed_once, unnest_structs
 
 ENTRY = "struct<section_num:int,chapter_num:int,name:string>"
@@ -114,7 +114,9 @@ def read_structure(books: DataFrame, raw: str = "raw") -> DataFrame:
 
 def header_pattern(pattern: Column, name: Column) -> Column:
     """The pattern with the title, taken literally, put in for ``{00}``; case is ignored."""
-    quoted = F.concat(F.lit(r"\Q"), F.replace(name, F.lit("  "), F.lit(" ")), F.lit(r"\E"))
+    # a title may hold the sign that ends a quotation
+    literal = F.replace(F.replace(name, F.lit("  "), F.lit(" ")), F.lit(r"\E"), F.lit(r"\E\\E\Q"))
+    quoted = F.concat(F.lit(r"\Q"), literal, F.lit(r"\E"))
     return F.concat(F.lit("(?mdiu)"), F.replace(pattern, F.lit("{00}"), quoted))
 
 
@@ -159,13 +161,30 @@ def locate_headers(content: Column, entries: Column, pattern: Column) -> Column:
     return F.aggregate(entries, begin, step, lambda state: state["hits"])
 
 
+def _broken(patterns: DataFrame) -> list[str]:
+    """Patterns that do not compile. The table is small: a row per book, few distinct patterns."""
+    regex = patterns.sparkSession._jvm.java.util.regex.Pattern
+    broken = []
+    for (pattern,) in patterns.select("pattern").where("pattern IS NOT NULL").distinct().collect():
+        try:
+            regex.compile("(?mdiu)" + pattern.replace("{00}", "x"))
+        except Py4JJavaError:
+            broken.append(pattern)
+    return broken
+
+
 def find_headers(books: DataFrame, patterns: DataFrame, on: str) -> DataFrame:
     """Add ``headers`` to books with ``content`` and ``entries``.
 
     ``patterns`` (``on``, ``pattern``) has one row per book or kind of book. A
-    book without a contents block needs no pattern: its one chapter is the text.
+    book without a contents block needs no pattern: its one chapter is the text. A
+    pattern that does not compile counts as missing; ``bad_pattern`` tells so.
     """
-    matched = lookup_join(books, patterns, [on], spread=["content"], how="left")
+    bad = F.coalesce(F.col("pattern").isin(_broken(patterns)), F.lit(False))
+    checked = patterns.select(
+        on, F.when(~bad, F.col("pattern")).alias("pattern"), bad.alias("bad_pattern")
+    )
+    matched = books.join(checked, on, "left")
     whole = F.transform(
         F.col("entries"),
         lambda e: F.struct(
@@ -191,10 +210,11 @@ def rejected_books(books: DataFrame, key: list[str]) -> DataFrame:
     missing = F.element_at(F.filter(F.col("headers"), lambda h: h["start"].isNull()), 1)["name"]
     reason = (
         F.when(F.col("content").isNull(), F.lit("start or end marker missing"))
+        .when(F.col("has_contents") & F.col("bad_pattern"), F.lit("header pattern does not compile"))
         .when(F.col("has_contents") & F.col("pattern").isNull(), F.lit("no header pattern"))
         .when(~_complete(F.col("headers")), F.concat(F.lit("header not found: "), missing))
     )
-    return computed_once(books.select(*key, "content", "has_contents", "pattern", "headers"), reason=reason).select(
+    return computed_once(books.select(*key, "content", "has_contents", "pattern", "bad_pattern", "headers"), reason=reason).select(
         *key, "reason"
     ).where(F.col("reason").isNotNull())
 

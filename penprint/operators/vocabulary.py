@@ -63,7 +63,11 @@ def vocabulary(
 ) -> DataFrame:
     """``term, cf, df, idx``; all terms when ``max_features`` is None."""
     counts = corpus_counts(df, terms)
-    return index_terms(counts if max_features is None else top_terms(counts, max_features))
+    if max_features is None:
+        return index_terms(counts)
+    # a bounded list: one window holds it
+    place = F.row_number().over(Window.orderBy("term")) - 1
+    return top_terms(counts, max_features).withColumn("idx", place.cast("long"))
 
 
 def idf(documents: Column, df: Column) -> Column:

@@ -1,89 +1,74 @@
-"""Word vectors: lookups, unknown words, pooled text vectors."""
+"""Word vectors: lookups, unknown words, pooled text vectors.
+
+Words are counted inside each text first, so a join with the vectors moves one row per
+text and word. Joins are left to Spark: it copies a vector table that it has measured to
+be small, and otherwise splits the rows of a word that most texts hold.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from penprint.functions import text as tx
-from penprint.operators import lookup
-from penprint.operators.rows import unnest, unnest_structs
+from penprint.operators.rows import unnest_structs
 from penprint.operators.vocabulary import corpus_counts, idf
 from penprint.session import staged
 
 
-def weighted_mean(value: Column, weight: Column) -> Column:
-    """The usual pooling: sum of weight times value over sum of weights."""
-    return F.sum(value * weight) / F.sum(weight)
-
-
 def plain_mean(value: Column, weight: Column) -> Column:
     """Mean over distinct words, however often they occur."""
     return F.avg(value)
 
 
-def _join_words(rows, table, keep, how, limit, row_bytes, most_rows=None):
-    return lookup.lookup_join(
-        rows, table, ["word"], spread=keep, how=how, row_bytes=row_bytes, limit=limit, most_rows=most_rows
-    )
-
-
-def _row_bytes(vectors: DataFrame, dims: int) -> int:
-    """Size of a row of the vector table: the values, the word and some room."""
-    single = isinstance(vectors.schema["vec"].dataType.elementType, T.FloatType)
-    return 128 + dims * (4 if single else 8)
+def word_counts(df: DataFrame, words: str, keep: list[str]) -> DataFrame:
+    """``keep, word, n``: the distinct words of each text with their occurrences."""
+    counted = unnest_structs(df, tx.term_frequencies(F.col(words)), keep, "term")
+    return counted.withColumnRenamed("term", "word")
 
 
-def word_rows(df: DataFrame, words: str, keep: list[str]) -> DataFrame:
-    """One row per occurrence: ``keep, word``."""
-    return unnest(df, F.col(words), keep, "word")
+def known_counts(df: DataFrame, words: str, vectors: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep, word, n, vec`` of the words that have a vector."""
+    return word_counts(df, words, keep).join(vectors, "word")
 
 
-def known_occurrences(
-    df: DataFrame,
-    words: str,
-    vectors: DataFrame,
-    keep: list[str],
-    dims: int,
-    limit: int = lookup.BROADCAST_BYTES,
-) -> DataFrame:
-    """Occurrences that have a vector: ``keep, word, vec``."""
-    rows = word_rows(df, words, keep)
-    return _join_words(rows, vectors, keep, "inner", limit, _row_bytes(vectors, dims))
+def unknown_counts(df: DataFrame, words: str, vectors: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep, word, n`` of the words without a vector."""
+    counted = word_counts(df, words, keep)
+    return counted.join(vectors.select("word"), "word", "left_anti").select(*keep, "word", "n")
 
 
-def unknown_occurrences(
-    df: DataFrame, words: str, vectors: DataFrame, keep: list[str], limit: int = lookup.BROADCAST_BYTES
-) -> DataFrame:
+def unknown_occurrences(df: DataFrame, words: str, vectors: DataFrame, keep: list[str]) -> DataFrame:
     """Occurrences without a vector: ``keep, word``, repeats included."""
-    known = vectors.select("word")
-    return _join_words(word_rows(df, words, keep), known, keep, "left_anti", limit, 64)
+    unknown = unknown_counts(df, words, vectors, keep)
+    return unknown.select(*keep, F.explode(F.array_repeat("word", F.col("n").cast("int"))).alias("word"))
 
 
-def unknown_word_rate(
-    df: DataFrame, words: str, vectors: DataFrame, key: str, limit: int = lookup.BROADCAST_BYTES
-) -> DataFrame:
+def unknown_word_rate(df: DataFrame, words: str, vectors: DataFrame) -> DataFrame:
     """One row: unknown occurrences and their mean per text."""
-    unknown = unknown_occurrences(df, words, vectors, [key], limit).agg(
-        F.count("*").alias("unknown_words")
+    unknown = unknown_counts(df, words, vectors, []).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("unknown_words")
     )
     texts = df.agg(F.count("*").alias("n")).scalar()
     return unknown.select(
-        "unknown_words", (F.col("unknown_words") / texts).alias("unknown_per_text")
+        "unknown_words", F.try_divide("unknown_words", texts).alias("unknown_per_text")
     )
 
 
-def _pooled(occurrences: DataFrame, key: str, dims: int, pool) -> DataFrame:
-    """Pool each dimension in a plain hash aggregate: sums add up inside each task first."""
-    pooled = occurrences.groupBy(key).agg(
-        *[
-            pool(F.col("vec")[i].cast("double"), F.col("weight")).alias(f"v{i}")
-            for i in range(dims)
-        ]
-    )
+def _pooled(known: DataFrame, key: str, dims: int, pool) -> DataFrame:
+    """Pool the vectors of a text: the weighted mean of whole vectors, or ``pool`` for each dimension."""
+    if pool is None:
+        mean = Summarizer.mean(array_to_vector("vec"), F.col("weight").cast("double"))
+        pooled = known.groupBy(key).agg(mean.alias("mean"))
+        return pooled.select(key, vector_to_array("mean").alias("vector"))
+    columns = [
+        pool(F.col("vec")[i].cast("double"), F.col("weight")).alias(f"v{i}") for i in range(dims)
+    ]
+    pooled = known.groupBy(key).agg(*columns)
     return pooled.select(key, F.array(*[F.col(f"v{i}") for i in range(dims)]).alias("vector"))
 
 
@@ -94,28 +79,20 @@ def _with_zero_rows(df: DataFrame, pooled: DataFrame, key: str, dims: int) -> Da
     )
 
 
-def _known_counts(df, words, vectors, key, dims, limit) -> DataFrame:
-    """``key, word, n`` and the columns of ``vectors``, for the distinct known words of each text."""
-    counted = unnest_structs(df, tx.term_frequencies(F.col(words)), [key], "term")
-    rows = counted.withColumnRenamed("term", "word")
-    return _join_words(rows, vectors, [key], "inner", limit, _row_bytes(vectors, dims))
-
-
 def mean_vectors(
     df: DataFrame,
     words: str,
     vectors: DataFrame,
     key: str,
     dims: int,
-    pool: Callable[[Column, Column], Column] = weighted_mean,
-    limit: int = lookup.BROADCAST_BYTES,
+    pool: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
-    """``key, vector``: the pooled word vectors of each text, zeros when no word is known.
+    """``key, vector``: the mean word vector of each text, zeros when no word is known.
 
-    ``pool`` combines the values of one dimension; it gets value and weight,
-    here the number of occurrences of the word.
+    ``key`` tells texts apart. ``pool`` combines the values of one dimension in another
+    way; it gets value and weight, here the number of occurrences of the word.
     """
-    known = _known_counts(df, words, vectors, key, dims, limit).withColumnRenamed("n", "weight")
+    known = known_counts(df, words, vectors, [key]).withColumnRenamed("n", "weight")
     return _with_zero_rows(df, _pooled(known, key, dims, pool), key, dims)
 
 
@@ -132,52 +109,42 @@ def weighted_vectors(
     vectors: DataFrame,
     key: str,
     dims: int,
-    pool: Callable[[Column, Column], Column] = weighted_mean,
-    limit: int = lookup.BROADCAST_BYTES,
+    pool: Callable[[Column, Column], Column] | None = None,
+    fit: DataFrame | None = None,
 ) -> DataFrame:
     """``key, vector``: word vectors weighted by TF-IDF, per occurrence.
 
     The weight of a word in a text is n * idf, and each of its n occurrences
     counts, which gives n * n * idf per distinct word. The norm of the TF-IDF
-    row cancels out in the mean.
+    row cancels out in the mean. The idf comes from the texts of ``fit``, by
+    default all; words that these do not hold have no weight.
     """
-    documents = df.agg(F.count("*").alias("n")).scalar()
-    idfs = word_weights(df, words, documents)
-    table = staged(vectors.join(idfs, "word"), "weighted-words")
-    known = _known_counts(df, words, table, key, dims, limit)
+    fit = df if fit is None else fit
+    documents = fit.agg(F.count("*").alias("n")).scalar()
+    table = staged(vectors.join(word_weights(fit, words, documents), "word"), "weighted-words")
+    known = known_counts(df, words, table, [key])
     weighted = known.withColumn("weight", F.col("n") * F.col("n") * F.col("idf"))
     return _with_zero_rows(df, _pooled(weighted, key, dims, pool), key, dims)
 
 
-def remove_words(
-    df: DataFrame, text: str, word_list: DataFrame, key: str, limit: int = lookup.BROADCAST_BYTES
-) -> DataFrame:
+def remove_words(df: DataFrame, text: str, word_list: DataFrame, key: str) -> DataFrame:
     """``key, text``: the terms of each text without the listed words, in order.
 
-    ``word_list`` has one distinct ``word`` per row. The texts are placed by key
-    before they are taken apart, so that they are put together again in place.
+    ``key`` tells texts apart; ``word_list`` has one distinct ``word`` per row. Only the
+    distinct words of a text are looked up; its terms are filtered inside the row.
     """
-    placed = df.select(key, text).repartition(key)
-    rows = unnest(placed, tx.terms(F.col(text)), [key], "word", "pos")
-    kept = lookup.lookup_join(
-        rows, word_list.select("word"), ["word"], [key, "pos"], "left_anti", 64, limit
-    )
-    words = F.array_sort(F.collect_list(F.struct("pos", "word")))
-    joined = kept.groupBy(key).agg(
-        F.array_join(F.transform(words, lambda p: p["word"]), " ").alias("text")
-    )
-    return df.select(key).join(joined, key, "left").select(
-        key, F.coalesce("text", F.lit("")).alias("text")
+    terms = df.select(key, tx.terms(F.col(text)).alias("_terms"))
+    listed = word_counts(terms, "_terms", [key]).join(word_list.select("word"), "word", "left_semi")
+    per_text = listed.groupBy(F.col(key).alias("_key")).agg(F.collect_set("word").alias("_listed"))
+    kept = F.filter("_terms", lambda t: ~F.array_contains("_listed", t))
+    return terms.join(per_text, F.col(key).eqNullSafe(F.col("_key")), "left").select(
+        key,
+        F.array_join(F.when(F.col("_listed").isNull(), F.col("_terms")).otherwise(kept), " ").alias("text"),
     )
 
 
 def encode_fixed_length(
-    df: DataFrame,
-    words: str,
-    vocabulary: DataFrame,
-    key: str,
-    max_length: int = 128,
-    vocabulary_rows: int | None = None,
+    df: DataFrame, words: str, vocabulary: DataFrame, key: str, max_length: int = 128
 ) -> DataFrame:
     """``key, input_ids, attention_mask``: word numbers cut or padded to ``max_length``.
 
@@ -186,7 +153,7 @@ def encode_fixed_length(
     numbers = vocabulary.select(F.col("term").alias("word"), (F.col("idx") + 2).alias("number"))
     first = df.select(key, F.slice(words, 1, max_length).alias("_w"))
     rows = first.select(key, F.posexplode_outer("_w").alias("pos", "word"))
-    found = _join_words(rows, numbers, [key], "left", lookup.BROADCAST_BYTES, 64, vocabulary_rows)
+    found = rows.join(numbers, "word", "left")
     number = F.coalesce(F.col("number").cast("int"), F.lit(1))
     pairs = F.array_sort(
         F.collect_list(F.when(F.col("word").isNotNull(), F.struct("pos", number.alias("number"))))

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 SEED = 42
 
 
-def random_forest(dims: int, classes: int, trees: int = 100, depth: int = 10) -> Estimator:
-    """Random forest; ``depth`` is bounded, as unbounded trees do not spread."""
+def random_forest(dims: int, classes: int, trees: int = 100, depth: int = 30) -> Estimator:
+    """Random forest; trees grow to ``depth``, of which Spark allows 30."""
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, maxMemoryInMB=512)
 
 
@@ -39,8 +39,11 @@ class LinearMachines(Estimator):
     prediction. The fitted model is a plain pipeline model.
     """
 
-    def __init__(self, classes: int, iterations: int = 10, reg_param: float = 0.01):
+    def __init__(
+        self, classes: int, iterations: int = 200, reg_param: float = 0.01, tolerance: float = 1e-4
+    ):
         super().__init__()
+        self.tolerance = tolerance
         self.classes = classes
         self.iterations = iterations
         self.reg_param = reg_param
@@ -52,7 +55,7 @@ class LinearMachines(Estimator):
             machine = LinearSVC(
                 labelCol="_is_class",
                 maxIter=self.iterations,
-                tol=1e-3,
+                tol=self.tolerance,
                 regParam=self.reg_param,
                 rawPredictionCol=f"_margin_{k}",
                 predictionCol="prediction" if two else f"_guess_{k}",
@@ -69,8 +72,8 @@ class LinearMachines(Estimator):
             rawPredictionCol="_platt_raw",
             probabilityCol="probability",
             regParam=1e-6,
-            maxIter=50,
-            tol=1e-4,
+            maxIter=self.iterations,
+            tol=self.tolerance,
         )
         measured = PipelineModel([*machines, margins])
         calibrated = platt.fit(measured.transform(dataset))
@@ -81,15 +84,19 @@ class LinearMachines(Estimator):
         return PipelineModel([*machines, margins, calibrated, tidy])
 
 
-def svm(dims: int, classes: int) -> Estimator:
-    """Support vector machine, linear kernel."""
-    return LinearMachines(classes)
+def svm(
+    dims: int, classes: int, iterations: int = 200, reg_param: float = 0.01, tolerance: float = 1e-4
+) -> Estimator:
+    """Support vector machine, linear kernel, solved to a tolerance."""
+    return LinearMachines(classes, iterations, reg_param, tolerance)
 
 
-def mlp(dims: int, classes: int, hidden: int = 128, iterations: int = 10) -> Estimator:
+def mlp(
+    dims: int, classes: int, hidden: int = 128, iterations: int = 200, tolerance: float = 1e-4
+) -> Estimator:
     """One hidden layer of 128 units: what an LSTM over a sequence of length one comes to."""
     return MultilayerPerceptronClassifier(
-        layers=[dims, hidden, classes], maxIter=iterations, seed=SEED, blockSize=32
+        layers=[dims, hidden, classes], maxIter=iterations, tol=tolerance, seed=SEED, blockSize=32
     )
 
 

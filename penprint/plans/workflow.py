@@ -77,13 +77,13 @@ def run_sweep(
     target: str = st.TARGET_AUTHOR,
     model_names: tuple[str, ...] = tuple(grid.models.MODELS),
     max_features: int = grid.vocabulary.MAX_FEATURES,
-) -> DataFrame:
-    """Metrics of all runs of a settings sweep, with their ``settings_id``.
+) -> tuple[DataFrame, DataFrame]:
+    """Metrics of all runs of a settings sweep, with their ``settings_id``, and the rejected books.
 
     The books are read and cut once for all runs.
     """
     runs = runs or st.sweep()
-    chapters, _ = book_chapters(books, patterns)
+    chapters, rejected = book_chapters(books, patterns)
     pieces = ck.sweep_chunks(chapters, runs, "text", CHAPTER_KEY)
     all_chunks = staged(_with_id(pieces), "sweep", partition_by=("settings_id",))
     table = None
@@ -97,4 +97,4 @@ def run_sweep(
         metrics = grid.metrics_table(grid.fit_grid(features, count, model_names), settings)
         metrics = metrics.withColumn("settings_id", F.lit(name))
         table = metrics if table is None else table.unionByName(metrics)
-    return table
+    return table, rejected

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import shutil
 import tempfile
 import uuid
 
@@ -17,6 +19,7 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.files.maxPartitionBytes", "16m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
@@ -28,7 +31,10 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
 
 @functools.cache
 def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix="penprint-")
+    """A temporary folder of this process, removed when it ends."""
+    folder = tempfile.mkdtemp(prefix="penprint-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:

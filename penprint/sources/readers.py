@@ -17,12 +17,6 @@ CATALOG = (
 )
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread the rows of a few unsplittable files over all cores; large inputs stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A CSV table with a header; quoted fields may hold commas, quotes and line ends."""
     return (
@@ -79,8 +73,11 @@ def read_chapter_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Token files ``PG<code>_tokens.txt``, one token per line: ``pg_code, tokens``."""
-    files = read_texts(spark, folder)
+    """Token files ``PG<code>_tokens.txt``, one token per line: ``pg_code, tokens``.
+
+    The name may be that of the file or of its folder; other files are left out.
+    """
+    files = read_texts(spark, folder).where(F.regexp_like("file_path", F.lit(r"PG\d+_tokens[./]")))
     lines = F.split("text", r"\R")
     tokens = F.when(F.element_at(lines, -1) == "", F.slice(lines, F.lit(1), F.size(lines) - 1))
     return files.select(

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def write_chapters(chapters: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Chapter table, one folder per author and book."""
-    chapters.write.mode(mode).partitionBy("author", "book").parquet(path)
+    """Chapter table, one folder per author and book; a book's rows are put together first."""
+    chapters.repartition("author", "book").write.mode(mode).partitionBy("author", "book").parquet(path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -37,8 +37,8 @@ def write_predictions(predictions: DataFrame, path: str) -> None:
 
 
 def write_section_texts(sections: DataFrame, path: str, book: str) -> None:
-    """Readable section texts, one folder per book."""
-    sections.select(F.col(book), "value").write.mode("overwrite").partitionBy(book).text(path)
+    """Readable section texts, one folder per book; a book's rows are put together first."""
+    sections.select(F.col(book), "value").repartition(book).write.mode("overwrite").partitionBy(book).text(path)
 
 
 def write_corpus(chapters: DataFrame, path: str) -> None:

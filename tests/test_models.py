@@ -24,7 +24,7 @@ def raw_book(rng, own, chapters=6, words=240):
     body = ""
     for i in range(chapters):
         text = " ".join(rng.choice(own + COMMON) for _ in range(words))
-        body += f"Chapter {i + 1}.\nTitle {chr(65 + i)}\n{text}\n"
+        body += f"== Part {i + 1}: Title {chr(65 + i)} ==\n{text}\n"
     return f"x\n{START}\nContents\n{toc}\n\n\n\n{body}{END}\n"
 
 
@@ -36,7 +36,7 @@ def corpus(spark):
     ]
     df = spark.createDataFrame(books, "author string, book string, raw string")
     patterns = spark.createDataFrame(
-        [(b, r"^Chapter \d+\.\n{00}\n") for _, b, _ in books], "book string, pattern string"
+        [(b, r"^== Part \d+: {00} ==\n") for _, b, _ in books], "book string, pattern string"
     )
     vocabulary = sorted(set(COMMON).union(*AUTHORS.values()) - {"needle"})
     vectors = spark.createDataFrame(
@@ -74,11 +74,12 @@ def test_sweep_metrics(corpus):
         "short": Settings(group_by_length=True, group_length=30),
         "classes": Settings(group_by_length=True, group_length=60, multiclass=True),
     }
-    table = workflow.run_sweep(
+    table, rejected = workflow.run_sweep(
         df, patterns, vectors, 8, runs, classes={a: i for i, a in enumerate(AUTHORS)},
         model_names=("gaussian",), max_features=100,
     )
     rows = {(r["settings_id"], r["embedding_type"]): r for r in table.collect()}
+    assert rejected.count() == 0
     assert len(rows) == 6 and all(r["accuracy"] > 0.8 for r in rows.values())
     assert rows["classes", "tfidf"]["multiclass"] and rows["short", "tfidf"]["group_length"] == 30
 
@@ -101,17 +102,32 @@ def test_curves_of_all_cells(run):
     assert ends.count() == 4
 
 
-def test_failing_cell_is_left_out(run, monkeypatch):
-    result, _, _ = run
+def test_failing_cell_keeps_its_error(run, monkeypatch):
+    result, _, settings = run
 
-    def broken(dims, classes):
+    def broken(dims, classes, **options):
         raise RuntimeError("no such model")
 
     monkeypatch.setitem(models.MODELS, "rf", broken)
     features = result.features
     only = grid.Features({"glove": features.tables["glove"]}, features.dims, features.tfidf, [])
     cells = grid.fit_grid(only, 2, ("rf", "gaussian"))
-    assert [c.name for c in cells] == ["gaussian"]
+    rows = {r["model"]: r for r in grid.metrics_table(cells, settings).collect()}
+    assert "no such model" in rows["rf"]["error"] and rows["rf"]["accuracy"] is None
+    assert rows["gaussian"]["error"] is None and rows["rf"]["group_length"] == 30
+    assert grid.pr_curves(cells, 2).select("model").distinct().collect() == [("gaussian",)]
+    failed = grid.metrics_table(cells[:1], settings)
+    assert failed.count() == 1
+    with pytest.raises(ValueError):
+        grid.pr_curves(cells[:1], 2)
+
+
+def test_options_reach_the_models(run):
+    result, _, _ = run
+    features = result.features
+    only = grid.Features({"glove": features.tables["glove"]}, features.dims, features.tfidf, [])
+    cells = grid.fit_grid(only, 2, ("rf",), options={"rf": {"trees": 3, "depth": 2}})
+    assert cells[0].model.getNumTrees == 3 and max(t.depth for t in cells[0].model.trees) <= 2
 
 
 def test_fit_on_train_leaves_test_terms_out(spark):
@@ -130,6 +146,18 @@ def test_fit_on_train_leaves_test_terms_out(spark):
     assert made["all"].dims["tfidf"] == 2 * 60 + 1
 
 
+def test_weights_of_train_rows_leave_test_words_out(spark):
+    rows = [(f"c{i}", i % 2, f"shared word{i:03d}") for i in range(60)]
+    chunks = spark.createDataFrame(rows, "chunk_id string, label int, text string")
+    vectors = spark.createDataFrame(
+        [("shared", [1.0, 0.0]), *[(f"word{i:03d}", [0.0, 1.0]) for i in range(60)]], "word string, vec array<float>"
+    )
+    made = grid.make_features(chunks, vectors, 2, Settings(), kinds=("glove", "glove-tfidf"), fit_on="train")
+    for r in made.tables["glove-tfidf"].collect():
+        assert (r["features"][1] > 0) == r["is_train"]
+    assert all(r["features"][1] == 0.5 for r in made.tables["glove"].collect())
+
+
 def test_many_classes(spark):
     rng = random.Random(2)
     rows = []

@@ -5,41 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from penprint.functions import text as tx
-from penprint.operators import catalog, chunks, lookup, metrics, ordering, split
+from penprint.operators import catalog, chunks, metrics, ordering, reports, split
 from penprint.operators import vocabulary as vo
 from penprint.operators import wordvectors as wv
 from penprint.settings import Settings, sweep
 
 
-def test_lookup_join_ways_are_equal(spark):
-    # one key holds most rows
-    rows = spark.range(3000).select(
-        "id", F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k")
-    )
-    table = spark.createDataFrame(
-        [("hot", 1, None), ("k0", 2, "x"), ("k9", 3, "y"), ("none", 4, "z")], "k string, v int, w string"
-    )
-
-    def plan(df):
-        return df._jdf.queryExecution().executedPlan().toString()
-
-    for how in ("inner", "left", "left_anti", "left_semi"):
-        small = lookup.lookup_join(rows, table, ["k"], ["id"], how)
-        blocks = lookup.lookup_join(rows, table, ["k"], ["id"], how, row_bytes=10, limit=15)
-        salted = lookup.lookup_join(rows, table, ["k"], ["id"], how, limit=1, salts=4)
-        expected = sorted(map(str, small.collect()))
-        for other in (blocks, salted):
-            assert other.columns == small.columns
-            assert sorted(map(str, other.collect())) == expected, how
-        assert "BroadcastHashJoin" in plan(small)
-        assert plan(blocks).count("BroadcastHashJoin") >= 4
-        assert "Exchange hashpartitioning" not in plan(blocks)
-
-
-def test_lookup_size_is_counted(spark):
-    assert lookup.lookup_bytes(spark.range(100), row_bytes=10) == 1000
-
-
 @pytest.mark.parametrize("descending", [False, True])
 @pytest.mark.parametrize("group", [(), ("g",)])
 def test_running_totals_in_ranges(spark, descending, group):
@@ -47,7 +18,7 @@ def test_running_totals_in_ranges(spark, descending, group):
     data = [(rng.choice("aab"), float(k), rng.randint(0, 9)) for k in range(500)]
     rng.shuffle(data)
     df = spark.createDataFrame(data, "g string, key double, v int")
-    got = ordering.running_totals(df, "key", {"t": "v"}, group, descending, sample_rows=50)
+    got = ordering.running_totals(df, "key", {"t": "v"}, group, descending, range_rows=50)
     totals = {}
     expected = {}
     for g, key, v in sorted(data, key=lambda r: r[1], reverse=descending):
@@ -60,12 +31,37 @@ def test_running_totals_in_ranges(spark, descending, group):
 def test_row_numbers_of_strings(spark):
     names = [f"src{i}" for i in range(300)]
     df = spark.createDataFrame([(n,) for n in names], "name string")
-    got = ordering.row_numbers(df, "name", "n", start=0, sample_rows=32)
+    got = ordering.row_numbers(df, "name", "n", start=0, range_rows=32)
     assert {r["name"]: r["n"] for r in got.collect()} == {n: i for i, n in enumerate(sorted(names))}
 
 
-def test_split_points_empty_for_small_input(spark):
-    assert ordering.split_points(spark.range(10).toDF("k"), "k") == []
+def test_one_large_group_is_cut(spark):
+    rows = [("hot", i) for i in range(2000)] + [(f"a{i}", 0) for i in range(500)]
+    df = spark.createDataFrame(rows, "author string, book long")
+    got = ordering.row_numbers(df, "book", "n", ("author",), start=0, range_rows=300)
+    assert sorted(map(tuple, got.collect())) == sorted((a, b, b) for a, b in rows)
+    largest = df.repartitionByRange(9, "author", F.asc("book")).groupBy(F.spark_partition_id()).count()
+    assert largest.agg(F.max("count")).first()[0] < 1000
+
+
+def test_pivot_of_a_large_author(spark):
+    rows = [("hot", i, 1) for i in range(3000)] + [(None, 5, 7), ("x", 1, 2)]
+    counts = spark.createDataFrame(rows, "author string, book long, wc long")
+    got = {r["author"]: tuple(r)[1:] for r in reports.author_book_pivot(counts, "author", "book").collect()}
+    assert got == {"hot": (1, 1, 1, 1, 3000), None: (7, None, None, None, 7), "x": (2, None, None, None, 2)}
+
+
+def test_split_skips_a_large_book(spark):
+    rows = [("a", "big", 300), *[("b" if i % 2 else "c", f"k{i}", 10) for i in range(70)]]
+    counts = spark.createDataFrame(rows, "author string, book string, n_rows long")
+    n = {(a, b): k for a, b, k in rows}
+    taken = {tuple(r) for r in split.choose_test_books(counts, "author", "book", 0.5).collect()}
+    assert {a for a, _ in taken} == {"a", "b", "c"} and sum(n[t] for t in taken) == 500
+    df = spark.createDataFrame([(a, b, "t") for a, b, k in rows for _ in range(k)], "author string, book string, text string")
+    rows = split.split_by_book(df, "author", "book", test_share=0.4, margin=0.01)
+    assert split.test_share(rows).first()[0] == pytest.approx(0.4)
+    with pytest.raises(ValueError):
+        split.split_by_book(df, "author", "book", test_share=0.1, margin=0.01)
 
 
 def test_chunks_are_a_prefix_of_the_tokens(spark):
@@ -151,7 +147,7 @@ def test_results_do_not_depend_on_partitions(spark, sf):
     results = []
     for parts in (2, 7):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
-        rows = split.split_by_book(docs.repartition(parts), "source", "doc_id", spread="doc_id")
+        rows = split.split_by_book(docs.repartition(parts), "source", "doc_id")
         results.append(sorted((r["doc_id"], r["is_train"]) for r in rows.select("doc_id", "is_train").collect()))
     spark.conf.set("spark.sql.shuffle.partitions", 4)
     assert results[0] == results[1]
@@ -195,28 +191,53 @@ def tiny_vectors(spark):
     return docs, vectors
 
 
-@pytest.mark.parametrize("limit", [lookup.BROADCAST_BYTES, 100, 1])
-def test_vectors_by_hand(spark, tiny_vectors, limit):
+def test_vectors_by_hand(spark, tiny_vectors):
     docs, vectors = tiny_vectors
-    mean = wv.mean_vectors(docs, "words", vectors, "id", 2, limit=limit)
+    mean = wv.mean_vectors(docs, "words", vectors, "id", 2)
     got = {r["id"]: r["vector"] for r in mean.collect()}
     assert got[0] == pytest.approx([2 / 3, 2 / 3]) and got[1] == [0, 0] and got[2] == [0, 0]
-    weighted = wv.weighted_vectors(docs, "words", vectors, "id", 2, limit=limit)
+    weighted = wv.weighted_vectors(docs, "words", vectors, "id", 2)
     got = {r["id"]: r["vector"] for r in weighted.collect()}
     idf = math.log(4 / 2) + 1
     aa, bb = 2 * 2 * idf, idf
     assert got[0] == pytest.approx([aa / (aa + bb), 2 * bb / (aa + bb)]) and got[1] == [0, 0]
-    unknown = wv.unknown_occurrences(docs, "words", vectors, ["id"], limit)
+    unknown = wv.unknown_occurrences(docs, "words", vectors, ["id"])
     assert sorted((r["id"], r["word"]) for r in unknown.collect()) == [(0, "zz"), (1, "zz")]
 
 
 def test_remove_words_keeps_order_and_empty_texts(spark, tiny_vectors):
     docs, _ = tiny_vectors
     listed = spark.createDataFrame([("bb",), ("zz",)], "word string")
-    for limit in (lookup.BROADCAST_BYTES, 1):
-        got = {r["id"]: r["text"] for r in wv.remove_words(docs, "text", listed, "id", limit).collect()}
-        assert got == {0: "aa aa", 1: "", 2: ""}
+    got = {r["id"]: r["text"] for r in wv.remove_words(docs, "text", listed, "id").collect()}
+    assert got == {0: "aa aa", 1: "", 2: ""}
+
 
+def test_one_word_holds_half_of_all_rows(spark):
+    docs = spark.range(2000).select("id", F.array(F.lit("hot"), F.concat(F.lit("w"), F.col("id") % 7)).alias("words"))
+    rows = [("hot", [1.0, 3.0]), *[(f"w{i}", [float(i), 0.0]) for i in range(6)]]
+    vectors = spark.createDataFrame(rows, "word string, vec array<float>")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    results = []
+    try:
+        for threshold in (before, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            got = wv.mean_vectors(docs, "words", vectors, "id", 2).collect()
+            results.append({r["id"]: tuple(r["vector"]) for r in got})
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert results[0] == results[1] and len(results[0]) == 2000
+    assert results[0][3] == (2.0, 1.5) and results[0][6] == (1.0, 3.0)
+
+
+def test_vector_file_is_read_once(spark, tmp_path):
+    from penprint.sources import readers
+
+    (tmp_path / "v.txt").write_text("aa 1 2\nbb 3 4\n")
+    docs = spark.createDataFrame([(1, ["aa", "bb"])], "id int, words array<string>")
+    vectors = readers.read_word_vectors(spark, str(tmp_path), 2)
+    known = wv.known_counts(docs, "words", vectors, ["id"])
+    assert known._jdf.queryExecution().executedPlan().toString().count("FileScan text") == 1
+    assert known.count() == 2
 
 def test_encode_fixed_length(spark, tiny_vectors):
     docs, _ = tiny_vectors
@@ -245,12 +266,12 @@ def test_metrics_by_hand(spark):
     assert row["accuracy"] == pytest.approx(8 / 11)
 
 
-@pytest.mark.parametrize("sample_rows", [4096, 20])
-def test_curves_against_brute_force(spark, sample_rows):
+@pytest.mark.parametrize("range_rows", [4096, 20])
+def test_curves_against_brute_force(spark, range_rows):
     rng = random.Random(7)
     data = [(round(rng.random(), 2), rng.randint(0, 1)) for _ in range(400)]
     df = spark.createDataFrame(data, "score double, label int")
-    curve = metrics.pr_curve(df, "score", "label", sample_rows=sample_rows).collect()
+    curve = metrics.pr_curve(df, "score", "label", range_rows=range_rows).collect()
     positives = sum(y for _, y in data)
     for r in curve:
         if r["threshold"] is None:
@@ -263,5 +284,5 @@ def test_curves_against_brute_force(spark, sample_rows):
     wins = sum(
         (a > b) + 0.5 * (a == b) for a, y in data if y for b, z in data if not z
     )
-    area = metrics.roc_auc(df, "score", "label", sample_rows=sample_rows).first()["auc"]
+    area = metrics.roc_auc(df, "score", "label", range_rows=range_rows).first()["auc"]
     assert area == pytest.approx(wins / (positives * (len(data) - positives)))
