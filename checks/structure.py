@@ -16,7 +16,7 @@ ROMAN = "I II III IV V VI VII VIII IX X XI XII XIII XIV XV XVI XVII XVIII XIX XX
 # how the headers of each kind of book look; the kind is the language
 PATTERNS = (
     ("en", r"^(PART|CHAPTER) \w+\n\n{00}"),
-    ("fr", r"^Chapter \d+\.\n{00}\n"),
+    ("fr", r"^=+ \d+ =+\n{00}\n"),
     ("es", r"{00}"),
 )
 
@@ -53,7 +53,7 @@ def raw_books(spark, sf):
         return F.concat((i + 1).cast("string"), F.lit(". "), t, F.lit("\n"))
 
     def body_fr(x, i):
-        head = F.concat(F.lit("Chapter "), (i + 1).cast("string"), F.lit(".\n"), F.get("titles", i))
+        head = F.concat(F.lit("== "), (i + 1).cast("string"), F.lit(" ==\n"), F.get("titles", i))
         return F.concat(head, F.lit("\n"), x, F.lit("\n"))
 
     def toc_es(t, i):
@@ -132,7 +132,7 @@ content AS (
       || array_to_string(list_transform(t, lambda x, i: CAST(i AS VARCHAR) || '. ' || x || {_NL}), '')
       || repeat({_NL}, 5)
       || array_to_string(list_transform(l, lambda x, i:
-           'Chapter ' || CAST(i AS VARCHAR) || '.' || {_NL} || t[i] || {_NL} || x || {_NL}), '')
+           '== ' || CAST(i AS VARCHAR) || ' ==' || {_NL} || t[i] || {_NL} || x || {_NL}), '')
     WHEN 'es' THEN 'Contents' || {_NL}
       || array_to_string(list_transform(t, lambda x: '  ' || x || {_NL}), '')
       || repeat({_NL}, 5)
@@ -314,10 +314,10 @@ WITH RECURSIVE {CHAPTERS},
 framed AS (
   SELECT doc_id, section_num, chapter_num, CASE WHEN chapter_num = 0
     THEN repeat('-', 25) || ' SECTION ' || name || ' ' || repeat('-', 25) || {_NL}
-    ELSE repeat('-', 25) || ' BEGIN CHAPTER ' || name || ' ' || repeat('-', 25) || {_NL} || text || {_NL}
+    ELSE repeat('-', 25) || ' BEGIN CHAPTER ' || name || ' ' || repeat('-', 25) || {_NL} || {q.clean('text')} || {_NL}
       || repeat('-', 25) || ' END CHAPTER ' || name || ' ' || repeat('-', 25) || {_NL} END AS part
   FROM chapters)
 SELECT doc_id, section_num, string_agg(part, '' ORDER BY chapter_num) AS value FROM framed GROUP BY doc_id, section_num""")
 def section_dump(spark, sf):
-    dump = st.section_dump(_found(spark, sf), ["doc_id"], prepare=lambda text: text)
+    dump = st.section_dump(_found(spark, sf), ["doc_id"])
     return dump.withColumn("section_num", F.col("section_num").cast("long"))

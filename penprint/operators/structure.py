@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from py4j.protocol import Py4JJavaError
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -168,7 +168,7 @@ def _broken(patterns: DataFrame) -> list[str]:
     for (pattern,) in patterns.select("pattern").where("pattern IS NOT NULL").distinct().collect():
         try:
             regex.compile("(?mdiu)" + pattern.replace("{00}", "x"))
-        except Py4JJavaError:
+        except IllegalArgumentException:
             broken.append(pattern)
     return broken
 

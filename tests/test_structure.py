@@ -22,29 +22,30 @@ TWO_PARTS = book(
   PART II. The End
   CHAPTER I. A Turn 40
 """,
-    """PART I.
+    """<PART I>
 The Crime
 dropped
-CHAPTER I.
+<CHAPTER I>
 A Start
 first text, about The Clue
-CHAPTER II.
+<CHAPTER II>
 The Clue
 second text
-PART II.
+<PART II>
 The End
-CHAPTER I.
+<CHAPTER I>
 A Turn
 third text""",
 )
 NUMBERED = book(
     "Chapter 1. Who (was) [it]? \n Chapter 2. O'Brien ",
-    "Chapter 1.\nWHO (WAS) [IT]?\none\nChapter 2.\nO'Brien\ntwo",
+    "== 1 ==\nWHO (WAS) [IT]?\none\n== 2 ==\nO'Brien\ntwo",
 )
 LINES = book("\n The Blue Cross\n\n The Garden\n", "THE BLUE CROSS\nalpha\nThe Garden\nbeta")
 NO_CONTENTS = book("", "only text here")
 ONE_MARKER = f"{START}\nno end"
-LOST = book("Chapter 1. Here\nChapter 2. Gone", "Chapter 1.\nHere\nx")
+LOST = book("Chapter 1. Here\nChapter 2. Gone", "== 1 ==\nHere\nx")
+QUOTED = book(r"Chapter 1. A \E. (b" + "\nChapter 2. C", "== 1 ==\nA \\E. (b\none\n== 2 ==\nC\ntwo")
 TAIL = f"{START}\nbody\n   THE END\nnotes\n{END}\n"
 
 BOOKS = {
@@ -55,13 +56,17 @@ BOOKS = {
     "one_marker": ONE_MARKER,
     "lost": LOST,
     "no_pattern": NUMBERED,
+    "broken": NUMBERED,
+    "quoted": QUOTED,
     "tail": TAIL,
 }
 PATTERNS = {
-    "two_parts": r"^(PART|CHAPTER) \w{1,3}.\n{00}",
-    "numbered": r"^Chapter \d+\.\n{00}\n",
+    "two_parts": r"^<\w+ \w+>\n{00}",
+    "numbered": r"^=+ \d+ =+\n{00}\n",
     "lines": "{00}",
-    "lost": r"^Chapter \d+\.\n{00}\n",
+    "quoted": r"^=+ \d+ =+\n{00}\n",
+    "broken": r"^(=+ {00}",
+    "lost": r"^=+ \d+ =+\n{00}\n",
 }
 
 
@@ -97,6 +102,10 @@ def test_numbered_titles_are_taken_literally(found):
     ]
 
 
+def test_a_title_that_ends_a_quotation(found):
+    assert chapters(found, "quoted") == [(0, 1, r"A \E. (b", "one"), (0, 2, "C", "two")]
+
+
 def test_contents_without_numbers(found):
     assert chapters(found, "lines") == [
         (0, 1, "The Blue Cross", "alpha"),
@@ -118,12 +127,13 @@ def test_rejected_books(found):
         "one_marker": "start or end marker missing",
         "lost": "header not found: Gone",
         "no_pattern": "no header pattern",
+        "broken": "header pattern does not compile",
     }
 
 
 def test_rejected_books_have_no_chapters(found):
     names = {r["book"] for r in st.split_chapters(found, ["book"]).collect()}
-    assert names == {"two_parts", "numbered", "lines", "none", "tail"}
+    assert names == {"two_parts", "numbered", "lines", "none", "tail", "quoted"}
 
 
 def test_chapter_table_and_dump(found):
