@@ -71,6 +71,28 @@ def tfidf_features(spark, sf):
     return entries.withColumn("tfidf", F.round("tfidf", 6))
 
 
+@check(f"""
+WITH words AS (SELECT doc_id, lang, {q.terms()} AS w FROM documents),
+doc_terms AS (
+  SELECT doc_id, term, count(*) AS tf FROM (
+    SELECT doc_id, unnest(w) AS term FROM words UNION ALL SELECT doc_id, unnest({q.grams('w', 2)}) FROM words
+    UNION ALL SELECT doc_id, unnest({q.grams('w', 3)}) FROM words) GROUP BY ALL),
+counts AS (SELECT term, count(*) AS df FROM doc_terms GROUP BY term),
+weighted AS (
+  SELECT doc_id, term, tf * (ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1) AS x
+  FROM doc_terms JOIN counts USING (term)),
+scaled AS (SELECT doc_id, term, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS tfidf FROM weighted)
+SELECT doc_id, count(*) AS terms, round(max(tfidf), 6) AS largest, round(sum(tfidf), 5) AS total FROM scaled GROUP BY doc_id""")
+def tfidf_all_terms(spark, sf):
+    """TF-IDF over all terms of one to three words, without a model."""
+    entries = vo.joined_tfidf(documents(spark, sf), ["doc_id"], low=1, high=3)
+    return entries.groupBy("doc_id").agg(
+        F.count("*").alias("terms"),
+        F.round(F.max("tfidf"), 6).alias("largest"),
+        F.round(F.sum("tfidf"), 5).alias("total"),
+    )
+
+
 @check(f"""
 WITH {q.DOC_TERMS},
 size AS (SELECT count(*) AS n FROM documents),

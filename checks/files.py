@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks import sqltext as q
-from checks.corpus import CATALOG, raw_catalog
-from checks.features import word_vectors
+from checks.corpus import CATALOG, DATASET, dataset_build, raw_catalog
+from checks.evaluation import GAUSSIAN, gaussian_nb, metrics_table
+from checks.features import DIMS, doc_words, long_vectors, tfidf_features, word_vectors
 from checks.registry import check, table
 from penprint.functions import text as tx
 from penprint.operators import catalog
 from penprint.operators import vocabulary as vo
+from penprint.operators import wordvectors as wv
 from penprint.session import new_path
 from penprint.sources import readers, writers
 
@@ -136,3 +139,89 @@ def texts_table(spark, sf):
     )
     read = spark.read.schema("doc_id long, text string, author string, book string").parquet(path)
     return read.select("doc_id", F.col("author").alias("lang"), F.col("book").alias("source"), "text")
+
+
+@check(f"WITH {DATASET} SELECT author_id, book_id, CAST(chunk AS INTEGER) AS chunk, text FROM dataset")
+def dataset_sink(spark, sf):
+    """The chunk dataset, written and read by its declared schema."""
+    path = new_path(spark, "dataset")
+    writers.write_table(dataset_build(spark, sf).withColumn("chunk", F.col("chunk").cast("int")), path)
+    return readers.read_dataset(spark, path)
+
+
+@check(f"WITH {q.TFIDF} SELECT doc_id, term, round(tfidf, 6) AS tfidf FROM tfidf")
+def features_sink(spark, sf):
+    path = new_path(spark, "features")
+    writers.write_table(tfidf_features(spark, sf), path)
+    return spark.read.schema("doc_id long, term string, tfidf double").parquet(path)
+
+
+@check(f"WITH {q.DOC_TERMS} SELECT term FROM vocab")
+def vocabulary_sink(spark, sf):
+    path = new_path(spark, "vocabulary")
+    writers.write_vocabulary(vo.vocabulary(vo.with_terms(documents(spark, sf), "text", 1, 2)), path)
+    return spark.read.text(path).select(F.col("value").alias("term"))
+
+
+@check(f"WITH {q.MEANS} SELECT doc_id, dim, round(value, 6) + 0.0 AS value FROM means")
+def vectors_sink(spark, sf):
+    path = new_path(spark, "vectors")
+    pooled = wv.mean_vectors(doc_words(spark, sf), "words", word_vectors(spark, sf), "doc_id", DIMS)
+    writers.write_table(pooled, path)
+    return long_vectors(readers.read_vectors(spark, path, "doc_id", T.LongType()))
+
+
+@check(f"""WITH {GAUSSIAN}
+SELECT 'gaussian' AS model, 'glove' AS embedding_type, 'true' AS multiclass,
+  round(sum(CASE WHEN label = prediction THEN 1 ELSE 0 END) / count(*), 6) AS accuracy, 2::BIGINT AS n FROM predicted""")
+def metrics_sink(spark, sf):
+    """A fresh metrics table, and one more row added to it."""
+    path = new_path(spark, "metrics")
+    row = metrics_table(spark, sf)
+    writers.append_metrics(row.unionAll(row), path, fresh=True)
+    writers.append_metrics(row, path, fresh=True)
+    writers.append_metrics(row, path)
+    read = spark.read.option("header", True).csv(path)
+    return read.groupBy("model", "embedding_type", "multiclass").agg(
+        F.max(F.col("accuracy").cast("double")).alias("accuracy"), F.count("*").alias("n")
+    )
+
+
+@check(f"""WITH {GAUSSIAN} SELECT doc_id, label, prediction FROM predicted""")
+def predictions_sink(spark, sf):
+    path = new_path(spark, "predictions")
+    writers.write_predictions(gaussian_nb(spark, sf).select("doc_id", "label", "prediction"), path)
+    return spark.read.schema("doc_id long, label int, prediction int").option("header", True).csv(path)
+
+
+@check("SELECT doc_id, lang FROM documents WHERE lang = 'en'")
+def existing_sink(spark, sf):
+    """An output that is there is not written again."""
+    path = new_path(spark, "existing")
+    rows = documents(spark, sf).select("doc_id", "lang")
+    writers.write_table(rows.where("lang = 'en'"), path, mode="ignore")
+    writers.write_table(rows, path, mode="ignore")
+    return spark.read.schema("doc_id long, lang string").parquet(path)
+
+
+@check(r"SELECT regexp_replace(text, '\s+', ' ', 'g') AS line, count(*) AS n FROM documents GROUP BY line")
+def corpus_sink(spark, sf):
+    """The running corpus: one line per text."""
+    path = new_path(spark, "corpus")
+    writers.write_corpus(documents(spark, sf), path)
+    lines = spark.read.text(path).groupBy(F.col("value").alias("line"))
+    return lines.agg(F.count("*").alias("n"))
+
+
+@check("""SELECT CAST(doc_id AS VARCHAR) AS name, text FROM documents WHERE text <> ''""")
+def texts_folder(spark, sf):
+    """A folder with a file per text, as it is read for scoring."""
+    path = new_path(spark, "folder")
+    rows = documents(spark, sf).where("text <> ''").select(F.col("doc_id").alias("name"), F.col("text").alias("value"))
+    rows.repartition("name").write.partitionBy("name").option("lineSep", "\n").text(path)
+    read = readers.read_texts(spark, path)
+    return read.select(
+        F.regexp_extract("file_path", "name=([0-9]+)/", 1).alias("name"),
+        # the writer ends the line
+        F.substring("text", F.lit(1), F.length("text") - 1).alias("text"),
+    )

@@ -21,6 +21,7 @@ from penprint.operators.ordering import row_numbers
 from penprint.operators.rows import unnest_structs
 
 MAX_FEATURES = 10_000
+# a model holds its vocabulary; beyond this, ``joined_tfidf`` does without one
 MOST_FEATURES = 500_000
 
 
@@ -136,7 +137,7 @@ def fit_tfidf(
     at most ``max_features`` rows; applying the model moves no data.
     """
     if max_features > MOST_FEATURES:
-        raise ValueError(f"a model holds at most {MOST_FEATURES} terms")
+        raise ValueError(f"a model holds at most {MOST_FEATURES} terms; use joined_tfidf")
     counts = corpus_counts(with_terms(df, text, low, high), with_total=True)
     total_first = (F.col("term") != "").asc()
     best = counts.orderBy(total_first, F.desc("cf"), F.asc("term")).limit(max_features + 1)
@@ -178,6 +179,34 @@ def tfidf_entries(
     return named.select(*keep, "term", F.col("value").alias("tfidf"))
 
 
+def joined_tfidf(
+    df: DataFrame,
+    keep: list[str],
+    text: str = "text",
+    low: int = 1,
+    high: int = 2,
+    max_features: int | None = None,
+    fit: DataFrame | None = None,
+) -> DataFrame:
+    """``keep, term, tfidf`` for a vocabulary of any size, without a model.
+
+    The vocabulary (all terms of ``fit``, by default of ``df``, or its ``max_features`` most
+    frequent) stays a table that the terms of the texts are joined with. ``keep`` tells
+    texts apart.
+    """
+    fit = df if fit is None else fit
+    counts = corpus_counts(with_terms(fit, text, low, high))
+    terms = counts if max_features is None else top_terms(counts, max_features)
+    documents = fit.agg(F.count("*").alias("n")).scalar()
+    weights = terms.select("term", idf(documents, F.col("df")).alias("idf"))
+    counted = unnest_structs(
+        with_terms(df, text, low, high), tx.term_frequencies(F.col("terms")), keep, "term"
+    )
+    weighted = counted.join(weights, "term").withColumn("x", F.col("n") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy(*keep)))
+    return weighted.select(*keep, "term", (F.col("x") / norm).alias("tfidf"))
+
+
 def class_term_gaps(
     df: DataFrame, model: PipelineModel, vocabulary_rows: list, author: str, output: str = "tfidf"
 ) -> DataFrame:
