@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import sqltext as q
-from checks.registry import check, table
+from checks.registry import check, fixture, table
 from penprint.functions import keys
 from penprint.functions import text as tx
 from penprint.operators import vocabulary as vo
@@ -25,16 +25,14 @@ def doc_words(spark, sf):
     return documents(spark, sf).select("doc_id", "lang", tx.terms(F.col("text")).alias("words"))
 
 
+@fixture
 def word_vectors(spark, sf):
     """A vector table: each term points to an embedding by its hash, about half of them hit one."""
     embeddings = table(spark, sf, "embeddings")
     slots = embeddings.agg((2 * F.count("*")).alias("n")).scalar()
     words = unnest(doc_words(spark, sf), F.col("words"), [], "word").distinct()
     placed = words.withColumn("vec_id", keys.hash_bucket(F.col("word"), slots))
-    return staged(
-        placed.join(embeddings, "vec_id").select("word", F.col("embedding").alias("vec")),
-        "word-vectors",
-    )
+    return placed.join(embeddings, "vec_id").select("word", F.col("embedding").alias("vec"))
 
 
 def long_vectors(df):

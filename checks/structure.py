@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import sqltext as q
-from checks.registry import check, table
+from checks.registry import check, fixture, table
 from penprint.functions import lexicon as lex
 from penprint.functions import text as tx
 from penprint.operators import structure as st
@@ -21,6 +21,7 @@ PATTERNS = (
 )
 
 
+@fixture
 def raw_books(spark, sf):
     """Books made from documents: two parts (en), numbered (fr), plain contents (es), none (de).
 
