@@ -10,6 +10,7 @@ from checks.features import DIMS, doc_words, word_vectors
 from checks.registry import check, table
 from checks.text import CLASSES
 from penprint.functions import keys
+from penprint.functions import lexicon as lex
 from penprint.operators import metrics, reports
 from penprint.operators import vocabulary as vo
 from penprint.operators import wordvectors as wv
@@ -410,3 +411,23 @@ def model_grid_gaussian(spark, sf):
         *[F.round(c, 6).alias(c) for c in ("accuracy", "precision", "recall")],
         F.round("`f1-score`", 6).alias("f1"),
     )
+
+
+@check(f"""WITH {_gaussian_sql(SPOKEN_MEANS, TWO_CLASS)},
+bwords AS (
+  SELECT item_id, unnest({q.lowered(q.no_stop_words(q.raw_tokens(q.clean('text', lex.COMPACT_RULES))))}) AS word FROM benchmark),
+bsums AS (
+  SELECT item_id, dim, sum(CAST(vec[dim + 1] AS DOUBLE)) / count(*) AS value
+  FROM bwords JOIN vectors USING (word), dims GROUP BY item_id, dim),
+bmeans AS (SELECT item_id, dim, coalesce(value, 0) AS value
+  FROM (SELECT item_id, dim FROM benchmark, dims) LEFT JOIN bsums USING (item_id, dim)),
+blogs AS (
+  SELECT item_id, class, any_value(prior) + sum(-0.5 * ln(2 * pi() * var) - (value - mu) * (value - mu) / (2 * var)) AS lp
+  FROM bmeans JOIN stats USING (dim) JOIN priors USING (class) GROUP BY item_id, class)
+SELECT item_id, CAST(arg_max(class, lp) AS INTEGER) AS pred_model0 FROM blogs GROUP BY item_id""")
+def score_new_texts_gaussian(spark, sf):
+    """A Gaussian model fitted on the documents scores the benchmark texts: exact end to end."""
+    features = _features(spark, sf, Settings(), kinds=("glove",))
+    cells = grid.fit_grid(features, 2, ("gaussian",))
+    scorer = score.Scorer(cells, features, word_vectors(spark, sf), DIMS)
+    return scorer.score(table(spark, sf, "benchmark"), "item_id", "text")

@@ -40,7 +40,7 @@ class LinearMachines(Estimator):
     """
 
     def __init__(
-        self, classes: int, iterations: int = 200, reg_param: float = 0.01, tolerance: float = 1e-4
+        self, classes: int, iterations: int = 200, reg_param: float = 0.01, tolerance: float = 1e-3
     ):
         super().__init__()
         self.tolerance = tolerance
@@ -85,7 +85,7 @@ class LinearMachines(Estimator):
 
 
 def svm(
-    dims: int, classes: int, iterations: int = 200, reg_param: float = 0.01, tolerance: float = 1e-4
+    dims: int, classes: int, iterations: int = 200, reg_param: float = 0.01, tolerance: float = 1e-3
 ) -> Estimator:
     """Support vector machine, linear kernel, solved to a tolerance."""
     return LinearMachines(classes, iterations, reg_param, tolerance)

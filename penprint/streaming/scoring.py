@@ -13,7 +13,10 @@ from penprint.functions import text as tx
 
 
 def read_new_texts(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
-    """A stream with one row per new file: ``file_name, text``, prepared for scoring."""
+    """A stream with one row per new file: ``file_path, file_name, text``, prepared for scoring.
+
+    The path tells files apart; names may repeat in different folders.
+    """
     files = (
         spark.readStream.schema("value string")
         .option("pathGlobFilter", pattern)
@@ -21,6 +24,7 @@ def read_new_texts(spark: SparkSession, folder: str, pattern: str = "*.txt") ->
     )
     tokens = tx.word_tokens(tx.clean(F.col("value"), lex.COMPACT_RULES), remove_stopwords=True)
     return files.select(
+        F.col("_metadata.file_path").alias("file_path"),
         keys.path_part(F.col("_metadata.file_path"), 1).alias("file_name"),
         F.array_join(tokens, " ").alias("text"),
     )
@@ -31,7 +35,7 @@ def score_stream(
 ) -> StreamingQuery:
     """Score all files present and stop; run again to go on with later ones."""
     scored = model.transform(texts).select(
-        "file_name", F.col("prediction").cast("int").alias("prediction")
+        "file_path", "file_name", F.col("prediction").cast("int").alias("prediction")
     )
     return (
         scored.writeStream.format("parquet")
