@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -24,10 +23,10 @@ from pyspark.sql.types import LongType
 
 from penprint.llm.common import text_bytes
 from penprint.llm.components import components
+from penprint.llm.shingles import alike_links, of_rows, shingle_hashes, with_prefixes
 from penprint.session import staged
 
 SHINGLE_WORDS = 3
-SEED = 42
 DISTANCE = 2
 CROWD = 64
 _CHUNK = 1 << 16
@@ -35,18 +34,9 @@ _CHUNK = 1 << 16
 
 def fingerprint_of(text: bytes, width: int = SHINGLE_WORDS) -> int:
     """Signed 64-bit fingerprint of a text; zero without words."""
-    words = text.lower().split()
-    if not words:
+    hashes = shingle_hashes(text, width)
+    if not len(hashes):
         return 0
-    flat = b" ".join(words)
-    if len(words) <= width:
-        hashes = np.array([xxhash.xxh64_intdigest(flat, SEED)], np.uint64)
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        starts = np.concatenate([[0], ends[:-1] + 1])
-        digest = xxhash.xxh64_intdigest
-        spans = zip(starts.tolist(), ends[width - 1 :].tolist())
-        hashes = np.fromiter((digest(flat[a:b], SEED) for a, b in spans), np.uint64, len(words) - width + 1)
     set_bits = np.zeros(64, np.int64)
     for i in range(0, len(hashes), _CHUNK):
         raw = hashes[i : i + _CHUNK].astype(">u8").view(np.uint8).reshape(-1, 8)
@@ -141,14 +131,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with the smallest id, with all its columns."""
-    names = [f"_{n}{len(docs.columns)}" for n in ("fp", "row")]
+    """One document of each group of near copies, the one with the smallest id, with all its columns.
+
+    Near copies have sets of five-word shingles with a Jaccard index of 0.8 or more; a
+    group is a chain of them. All such pairs are found; fingerprints would miss most.
+    ``docs`` is as for ``near_duplicates``.
+    """
+    names = [f"_{n}{len(docs.columns)}" for n in ("prefix", "row")]
     while set(names) & set(docs.columns):
         names = ["_" + n for n in names]
-    fp, row = names
-    marked = staged(
-        docs.withColumn(fp, fingerprint("text")).withColumn(row, F.monotonically_increasing_id()), "marked"
-    )
-    prints = marked.select("doc_id", F.col(fp).alias("fp"), F.col(row).alias("row"))
-    first = labelled(prints).select(F.col("first_row").alias(row)).distinct()
-    return marked.join(first, row, "left_semi").select(*docs.columns)
+    prefix, row = names
+    marked = staged(with_prefixes(docs, prefix).withColumn(row, F.monotonically_increasing_id()), "marked")
+    texts = marked.select("doc_id", "text", F.col(prefix).alias("prefix"), F.col(row).alias("row"))
+    roots = staged(components(alike_links(texts)), "components")
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row").alias("own")
+    members = of_rows(texts.select("doc_id", "row"), roots.select(F.col("node").alias("row"), "root"), "inner")
+    members = staged(members.select("root", "row", own), "members")
+    least = members.groupBy("root").agg(F.min("own").alias("least"))
+    others = members.join(least, "root").where(F.col("row") != F.col("least.row")).select(F.col("row").alias(row))
+    return of_rows(marked, staged(others, "others"), "left_anti").select(*docs.columns)

@@ -26,6 +26,7 @@ from penprint.llm import (
     mixing,
     queries,
     secret_scan,
+    shingles,
     simhash,
     toxicity,
     warc,
@@ -717,3 +718,61 @@ def test_batch_slices():
     parts = list(common.slices(batch, "text", 6))
     assert [p.num_rows for p in parts] == [3, 1, 1]
     assert list(common.slices(batch.slice(0, 0), "text", 6)) == []
+
+
+def near_expected(rows):
+    """Ids that are smallest in their component of five-word Jaccard 0.8 or more; (id, text) rows."""
+    sets = []
+    for _, t in rows:
+        words = (t or "").encode().lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set())
+    root = list(range(len(rows)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        both, either = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+        if 5 * both >= 4 * either:
+            root[find(a)] = find(b)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[find(k)] = min(least.get(find(k), i), i)
+    return sorted(least.values())
+
+
+def edited(seed):
+    """Rows of texts with edited copies, of a common passage, and of a chain in which each changes more words."""
+    rng = random.Random(seed)
+
+    def words(n):
+        return [f"w{rng.randrange(5000)}" for _ in range(n)]
+
+    texts, passage = [], words(60)
+    for n in (5, 30, 100, 100, 200, 600):
+        text = words(n)
+        for _ in range(14):
+            copy = list(text)
+            for _ in range(rng.randrange(1 + n // 30)):
+                copy[rng.randrange(n)] = "edit"
+            texts.append(copy[rng.randrange(1 + n // 20) :])
+    texts += [passage + words(rng.randrange(1, 30)) for _ in range(40)]
+    chain = words(120)
+    for k in range(12):
+        chain = [*chain[6:], *words(6)]
+        texts.append(chain)
+    rng.shuffle(texts)
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("frequent", [2, 8, 10**6])
+def test_keep_one_finds_all_edited_copies(spark, docs, texts, monkeypatch, frequent):
+    monkeypatch.setattr(shingles, "FREQUENT", frequent)
+    rows = edited(frequent)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(r.doc_id for r in simhash.keep_one(df).collect())
+    assert kept == near_expected(rows)
+    if frequent == 8:
+        assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == near_expected(list(texts.items()))
