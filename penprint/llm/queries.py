@@ -12,6 +12,7 @@ from penprint.llm import (
     gru_lm,
     language,
     mixing,
+    pivot_kmeans,
     secret_scan,
     simhash,
     toxicity,
@@ -188,6 +189,44 @@ def op10_fm_index(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_pivot_kmeans(spark: SparkSession, folder: str) -> DataFrame:
+    return pivot_kmeans.clustered(table(spark, folder, "embeddings"))
+
+
+def _lloyd_sql(rounds: int) -> str:
+    """The rounds one after the other, every vector measured against every centroid."""
+    parts = [
+        f"""kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({pivot_kmeans.SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = {pivot_kmeans.DIMS} AND len(list_filter(embedding, lambda x: isfinite(x))) = {pivot_kmeans.DIMS}),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS c, v FROM kept
+  ORDER BY sha256('3:' || vec_id), v LIMIT {pivot_kmeans.CLUSTERS})"""
+    ]
+    for k in range(rounds + 1):
+        parts.append(f"""d{k} AS (
+  SELECT vec_id, v, list_transform(cs, lambda w: list_sum(list_transform(range(1, {pivot_kmeans.DIMS + 1}),
+    lambda i: (v[i] - w[i]) * (v[i] - w[i])))) AS d
+  FROM kept, (SELECT list(v ORDER BY c) AS cs FROM c{k})),
+a{k} AS MATERIALIZED (SELECT vec_id, v, list_position(d, list_min(d)) - 1 AS c, list_min(d) AS distance FROM d{k})""")
+        if k < rounds:
+            parts.append(f"""s{k} AS (
+  SELECT c, i, sum(x) AS s, count(*) AS n
+  FROM (SELECT c, unnest(v) AS x, unnest(range({pivot_kmeans.DIMS})) AS i FROM a{k}) GROUP BY c, i),
+c{k + 1} AS MATERIALIZED (
+  SELECT c{k}.c, coalesce(m.v, c{k}.v) AS v FROM c{k} LEFT JOIN (
+    SELECT c, list((CASE WHEN s >= 0 THEN s // n ELSE -((n - 1 - s) // n) END)::BIGINT ORDER BY i) AS v
+    FROM s{k} GROUP BY c) m USING (c))""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, a.c::INTEGER AS cluster, distance::BIGINT AS distance,
+  (sum(distance) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c USING (c)"""
+
+
+OP13_SQL = _lloyd_sql(pivot_kmeans.ROUNDS)
+
+
 QUERIES = {
     "op1_gru_lm": op1_gru_lm,
     "op2_digest_index": op2_digest_index,
@@ -199,8 +238,10 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_warc": op9_warc,
     "op10_fm_index": op10_fm_index,
+    "op13_pivot_kmeans": op13_pivot_kmeans,
 }
 SQL: dict[str, str] = {
     "op2_digest_index": OP2_SQL,
     "op8_mixing": OP8_SQL,
+    "op13_pivot_kmeans": OP13_SQL,
 }
