@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from penprint.llm import (
+    collocations,
     crf_pii,
     digest_index,
     fm_index,
@@ -189,6 +190,45 @@ def op10_fm_index(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.phrases_of(table(spark, folder, "documents"))
+
+
+_UPPER = "".join(map(chr, range(65, 91)))
+OP11_SQL = f"""
+WITH pieces AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS w
+  FROM (SELECT coalesce(lang, '{collocations.NO_LANGUAGE}') AS lang,
+          unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents)),
+counts AS MATERIALIZED (
+  SELECT lang, k, phrase, count(*) AS a FROM (
+    SELECT lang, 1 AS k, unnest(w) AS phrase FROM pieces
+    UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM pieces
+    UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+      FROM pieces)
+  GROUP BY ALL HAVING k = 1 OR count(*) >= {collocations.SUPPORT}),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE k > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, l.a AS l, r.a AS r, (1000000::HUGEINT * c.a * c.a) // (l.a::HUGEINT * r.a) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.cut], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.cut + 1:], ' ')),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+covers AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM candidates WHERE k = 3)
+  GROUP BY lang, phrase),
+kept AS (
+  SELECT weakest.* FROM weakest LEFT JOIN covers USING (lang, phrase)
+  WHERE longer IS NULL OR 100 * longer < {collocations.COVER_PERCENT} * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept),
+sizes AS (SELECT lang, sum(a)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN sizes USING (lang)
+WHERE rank <= {collocations.TOP}
+"""
+
+
 def op13_pivot_kmeans(spark: SparkSession, folder: str) -> DataFrame:
     return pivot_kmeans.clustered(table(spark, folder, "embeddings"))
 
@@ -238,10 +278,12 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_warc": op9_warc,
     "op10_fm_index": op10_fm_index,
+    "op11_collocations": op11_collocations,
     "op13_pivot_kmeans": op13_pivot_kmeans,
 }
 SQL: dict[str, str] = {
     "op2_digest_index": OP2_SQL,
     "op8_mixing": OP8_SQL,
+    "op11_collocations": OP11_SQL,
     "op13_pivot_kmeans": OP13_SQL,
 }
