@@ -67,3 +67,13 @@ def joined_bytes(batch: pa.RecordBatch, column: str = "text") -> tuple[np.ndarra
     buffer = values.buffers()[2]
     data = np.frombuffer(buffer, dtype=np.uint8) if buffer is not None else np.zeros(0, np.uint8)
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def run_sums(data: np.ndarray, lengths: np.ndarray, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
+    """A 64-bit polynomial of each run of bytes; the runs follow each other and none is empty."""
+    if not len(lengths):
+        return np.zeros(0, np.uint64)
+    powers = np.full(int(lengths.max()), base, np.uint64).cumprod(dtype=np.uint64)
+    first = np.cumsum(lengths) - lengths
+    place = np.arange(len(data)) - np.repeat(first, lengths)
+    return np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * powers[place], first)

@@ -12,6 +12,7 @@ from penprint.llm import (
     fm_index,
     gru_lm,
     language,
+    line_quality,
     mixing,
     pivot_kmeans,
     secret_scan,
@@ -229,6 +230,17 @@ WHERE rank <= {collocations.TOP}
 """
 
 
+def op12_line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = line_quality.scored(docs, table(spark, folder, "labels"))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id"), 3, 1).alias("held_out"),
+        "score",
+        (F.col("score") >= line_quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op13_pivot_kmeans(spark: SparkSession, folder: str) -> DataFrame:
     return pivot_kmeans.clustered(table(spark, folder, "embeddings"))
 
@@ -279,6 +291,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_fm_index": op10_fm_index,
     "op11_collocations": op11_collocations,
+    "op12_line_quality": op12_line_quality,
     "op13_pivot_kmeans": op13_pivot_kmeans,
 }
 SQL: dict[str, str] = {
