@@ -66,12 +66,11 @@ def squared(a: list[int], b: list[int]) -> int:
 
 
 def distances_to(values: np.ndarray, wide: dict[int, list[int]], points: list[list[int]]) -> np.ndarray:
-    """Distances of rows to points as doubles; infinite where a row or a point is beyond ``EXACT``."""
-    out = np.full((len(values), len(points)), np.inf)
+    """Distances of rows to points within ``EXACT`` as doubles; infinite for the rows beyond it."""
+    out = np.empty((len(values), len(points)))
     for j, point in enumerate(points):
-        if max(map(abs, point)) <= EXACT:
-            gap = values - np.array(point, np.int64)
-            out[:, j] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+        gap = values - np.array(point, np.int64)
+        out[:, j] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
     out[list(wide)] = np.inf
     return out
 
@@ -82,8 +81,6 @@ def lower_bounds(to_pivots: np.ndarray, centroid_to_pivots: np.ndarray, pivot_ga
     with np.errstate(invalid="ignore", over="ignore"):
         for p, q in itertools.combinations(range(to_pivots.shape[1]), 2):
             gap = pivot_gaps[p, q]
-            if not 0 < gap < np.inf:
-                continue
             one = np.outer(to_pivots[:, p], centroid_to_pivots[:, q])
             two = np.outer(to_pivots[:, q], centroid_to_pivots[:, p])
             bound = (np.abs(one - two) - 1e-12 * (one + two)) / gap * (1 - 1e-12)
@@ -134,7 +131,9 @@ class Rounds:
             rows = np.frombuffer(b"".join(part.column("_x").to_pylist())).reshape(part.num_rows, -1)
             values, wide = whole_numbers(rows, self.scale)
             if self.narrow:
-                stored = np.frombuffer(b"".join(part.column("_pivots").to_pylist())).reshape(part.num_rows, -1)
+                stored = np.zeros((len(values), 0))
+                if self.pivots:
+                    stored = np.frombuffer(b"".join(part.column("_pivots").to_pylist())).reshape(len(values), -1)
                 at, best, _ = nearest(values, stored, self.points, self.to_pivots, self.gaps)
                 best = best.tolist()
                 slow = list(wide)
@@ -277,7 +276,7 @@ def clustered(
     # a bounded number of vectors
     first = kept.orderBy(key, "_x").limit(max(clusters, PIVOT_CHOICE)).collect()
     start = [[scaled(x, scale) for x in r["_x"]] for r in first]
-    chosen = spread_points(start, pivots)
+    chosen = spread_points([x for x in start if max(map(abs, x)) <= EXACT], pivots)
     centroids = start[:clusters]
     kind = dict(kept.dtypes)["_id"]
     if not centroids:
