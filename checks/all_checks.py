@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from checks import corpus, evaluation, features, files, structure, text  # noqa: F401
+from checks import corpus, evaluation, features, files, structure, sweeps, text  # noqa: F401
