@@ -17,7 +17,9 @@ from penprint.functions import text as tx
 from penprint.operators.rows import computed_once, unnest_structs
 
 ENTRY = "struct<section_num:int,chapter_num:int,name:string>"
-HEADER = "struct<section_num:int,chapter_num:int,name:string,start:int,stop:int>"
+PLACE = "struct<start:int,stop:int,start_block:int,start_offset:int,stop_block:int,stop_offset:int>"
+# least characters of a block in which headers are looked for; blocks end at line ends
+BLOCK = 8192
 
 
 def body(raw: Column) -> Column:
@@ -120,45 +122,118 @@ def header_pattern(pattern: Column, name: Column) -> Column:
     return F.concat(F.lit("(?mdiu)"), F.replace(pattern, F.lit("{00}"), quoted))
 
 
-def locate_headers(content: Column, entries: Column, pattern: Column) -> Column:
+def line_blocks(content: Column) -> Column:
+    """The text cut at line ends into pieces of at least ``BLOCK`` characters."""
+    return F.regexp_extract_all(content, F.lit(rf"(?s).{{{BLOCK},}}?(?:\n|\z)|.+\z"), F.lit(0))
+
+
+def locate_headers(blocks: Column, entries: Column, pattern: Column) -> Column:
     """Find the entries one after the other: each search starts behind the last hit.
 
-    Gives the entries with ``start`` and ``stop`` (1-based, ``stop`` behind the
-    header). From the first title that is missing on, both are null.
+    Gives an array with the places of the entries found, which ends before the first title
+    that is missing. ``start`` and ``stop`` (behind the header) count characters of the
+    text from 1; ``block`` and ``offset`` tell the same by block, from 0.
+
+    The text comes in ``blocks``. A step looks for the next title in one block and the
+    one after it and ends with a hit or at the next block, so it costs as much as
+    two blocks, however long the book is; what is handed on are numbers. A header
+    may start anywhere and must end within the block after the one where it starts.
     """
+    none = F.array().cast(f"array<{PLACE}>")
+
+    def step(state, _):
+        block = F.coalesce(F.get(blocks, state["block"]), F.lit(""))
+        rest = F.substring(block, state["offset"] + 1, F.length(block))
+        window = F.concat(rest, F.coalesce(F.get(blocks, state["block"] + 1), F.lit("")))
+        regex = header_pattern(pattern, F.get(entries, F.size(state["hits"]))["name"])
+
+        def look(w):
+            # the text before and after the header; an empty title stands where the search starts
+            return F.when(w["regex"] == header_pattern(F.lit("{00}"), F.lit("")), F.array(F.lit(""), w["window"])).otherwise(
+                F.split(w["window"], w["regex"], 2)
+            )
 
-    def step(state, item):
-        regex = header_pattern(pattern, item["name"])
-        # the text before and after the header; an empty title stands where the search starts
-        parts = F.when(regex == header_pattern(F.lit("{00}"), F.lit("")), F.array(F.lit(""), state["rest"])).otherwise(
-            F.split(state["rest"], regex, 2)
+        def move(w):
+            return tx.bound(F.struct(look(w).alias("parts"), w["window"].alias("window"), w["rest"].alias("rest")), settle)
+
+        def settle(w):
+            before = F.length(F.get(w["parts"], F.lit(0)))
+            last = state["block"] >= F.size(blocks) - 1
+            hit = (F.size(w["parts"]) == 2) & ((before < F.length(w["rest"])) | last | (w["rest"] == w["window"]))
+            stop = F.length(w["window"]) - F.length(F.get(w["parts"], F.lit(1)))
+            over = stop > F.length(w["rest"])
+            size = state["offset"] + F.length(w["rest"])
+
+            def state_of(block, offset, passed, hits):
+                return F.struct(
+                    block.alias("block"), offset.alias("offset"), passed.alias("passed"), hits.alias("hits")
+                )
+
+            place = F.struct(
+                (state["passed"] + state["offset"] + before + 1).alias("start"),
+                (state["passed"] + state["offset"] + stop + 1).alias("stop"),
+                state["block"].alias("start_block"),
+                (state["offset"] + before).alias("start_offset"),
+                F.when(over, state["block"] + 1).otherwise(state["block"]).alias("stop_block"),
+                F.when(over, stop - F.length(w["rest"])).otherwise(state["offset"] + stop).alias("stop_offset"),
+            )
+            return F.when(
+                hit,
+                state_of(
+                    place["stop_block"],
+                    place["stop_offset"],
+                    F.when(over, state["passed"] + size).otherwise(state["passed"]),
+                    F.concat(state["hits"], F.array(place)),
+                ),
+            ).otherwise(state_of(state["block"] + 1, F.lit(0), state["passed"] + size, state["hits"]))
+
+        asked = F.struct(window.alias("window"), rest.alias("rest"), regex.alias("regex"))
+        done = (F.size(state["hits"]) >= F.size(entries)) | (
+            (state["block"] >= F.size(blocks)) & (regex != header_pattern(F.lit("{00}"), F.lit("")))
         )
+        return F.when(done | pattern.isNull(), state).otherwise(tx.bound(asked, move))
 
-        def move(p):
-            hit = F.size(p) == 2
-            start = F.when(hit, state["place"] + F.length(p[0]))
-            stop = F.when(hit, F.length(content) + 1 - F.length(p[1]))
-            found = F.struct(
-                item["section_num"].alias("section_num"),
-                item["chapter_num"].alias("chapter_num"),
-                item["name"].alias("name"),
-                start.alias("start"),
-                stop.alias("stop"),
-            )
-            return F.struct(
-                F.get(p, F.lit(1)).alias("rest"),
-                stop.alias("place"),
-                F.concat(state["hits"], F.array(found)).alias("hits"),
-            )
+    begin = F.struct(F.lit(0).alias("block"), F.lit(0).alias("offset"), F.lit(0).alias("passed"), none.alias("hits"))
+    steps = F.sequence(F.lit(1), F.greatest(F.size(entries) + F.size(blocks), F.lit(1)))
+    return F.aggregate(steps, begin, step, lambda state: state["hits"])
 
-        return tx.bound(parts, move)
 
-    begin = F.struct(
-        content.alias("rest"),
-        F.lit(1).alias("place"),
-        F.array().cast(f"array<{HEADER}>").alias("hits"),
+def _text_from(blocks: Column, place: Column, upto: Column) -> Column:
+    """The text behind the header at ``place`` and before the one at ``upto``, or to the end."""
+    first, last = F.get(blocks, place["stop_block"]), F.get(blocks, upto["start_block"])
+    inner = F.slice(
+        blocks,
+        place["stop_block"] + 2,
+        F.greatest(F.coalesce(upto["start_block"], F.size(blocks)) - place["stop_block"] - 1, F.lit(0)),
+    )
+    head = F.substring(first, place["stop_offset"] + 1, F.length(first))
+    return (
+        F.when(
+            upto["start_block"] == place["stop_block"],
+            F.substring(first, place["stop_offset"] + 1, upto["start_offset"] - place["stop_offset"]),
+        )
+        .when(upto.isNull(), F.concat(F.coalesce(head, F.lit("")), F.array_join(inner, "")))
+        .otherwise(F.concat(head, F.array_join(inner, ""), F.substring(last, F.lit(1), upto["start_offset"])))
     )
-    return F.aggregate(entries, begin, step, lambda state: state["hits"])
+
+
+def _headers(blocks: Column, entries: Column, places: Column) -> Column:
+    """The entries with ``start``, ``stop`` and the ``text`` up to the next header; null from the first missing title on."""
+    complete = F.size(places) == F.size(entries)
+
+    def header(e, i):
+        place, following = F.get(places, i), F.get(places, i + 1)
+        text = F.when(e["chapter_num"] == 0, F.lit("")).otherwise(_text_from(blocks, place, following))
+        return F.struct(
+            e["section_num"].alias("section_num"),
+            e["chapter_num"].alias("chapter_num"),
+            e["name"].alias("name"),
+            place["start"].alias("start"),
+            place["stop"].alias("stop"),
+            F.when(complete, text).alias("text"),
+        )
+
+    return F.transform(entries, header)
 
 
 def _broken(patterns: DataFrame) -> list[str]:
@@ -193,12 +268,14 @@ def find_headers(books: DataFrame, patterns: DataFrame, on: str) -> DataFrame:
             e["name"].alias("name"),
             F.lit(1).alias("start"),
             F.lit(1).alias("stop"),
+            F.col("content").alias("text"),
         ),
     )
-    located = locate_headers(F.col("content"), F.col("entries"), F.col("pattern"))
-    return computed_once(
-        matched, headers=F.when(F.col("has_contents"), located).otherwise(whole)
-    )
+    cut = computed_once(matched, _blocks=F.when(F.col("has_contents"), line_blocks(F.col("content"))))
+    found = computed_once(cut, _places=locate_headers(F.col("_blocks"), F.col("entries"), F.col("pattern")))
+    located = _headers(F.col("_blocks"), F.col("entries"), F.coalesce("_places", F.array().cast(f"array<{PLACE}>")))
+    headers = F.when(F.col("has_contents"), located).otherwise(whole)
+    return computed_once(found, headers=headers).drop("_blocks", "_places")
 
 
 def _complete(headers: Column) -> Column:
@@ -225,21 +302,12 @@ def chapter_array() -> Column:
     A chapter runs from its header to the next one. Sections have an empty
     text, and text before the first chapter of a section is left out.
     """
-    headers, content = F.col("headers"), F.col("content")
+    headers = F.col("headers")
 
-    def chapter(h, i):
-        upto = F.coalesce(F.get(headers, i + 1)["start"], F.length(content) + 1)
-        text = F.when(h["chapter_num"] == 0, F.lit("")).otherwise(
-            F.substring(content, h["stop"], upto - h["stop"])
-        )
-        return F.struct(
-            h["section_num"].alias("section_num"),
-            h["chapter_num"].alias("chapter_num"),
-            h["name"].alias("name"),
-            text.alias("text"),
-        )
+    def chapter(h):
+        return F.struct(*[h[name].alias(name) for name in ("section_num", "chapter_num", "name", "text")])
 
-    return F.when(content.isNotNull() & _complete(headers), F.transform(headers, chapter))
+    return F.when(F.col("content").isNotNull() & _complete(headers), F.transform(headers, chapter))
 
 
 def split_chapters(books: DataFrame, keep: list[str]) -> DataFrame:
