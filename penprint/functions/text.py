@@ -164,3 +164,30 @@ def term_frequencies(terms: Column) -> Column:
         return F.when(F.size(ordered) > 0, bound(starts, count))
 
     return bound(F.sort_array(terms), runs)
+
+
+def term_places(terms: Column) -> Column:
+    """Array of (word, places): each distinct term with the places where it stands, from 0, in order.
+
+    Like :func:`term_frequencies` it sorts the list and cuts it into runs. Null counts as empty.
+    """
+    none = F.array().cast("array<struct<word:string,places:array<int>>>")
+    pairs = F.transform(terms, lambda t, i: F.struct(t.alias("word"), i.alias("place")))
+
+    def runs(ordered):
+        starts = F.filter(
+            F.sequence(F.lit(1), F.size(ordered)),
+            lambda i: (i == 1) | (F.get(ordered, i - 1)["word"] != F.get(ordered, i - 2)["word"]),
+        )
+
+        def cut(starts):
+            def run(start, k):
+                stop = F.coalesce(F.get(starts, k + 1), F.size(ordered) + 1)
+                places = F.transform(F.slice(ordered, start, stop - start), lambda x: x["place"])
+                return F.struct(F.get(ordered, start - 1)["word"].alias("word"), places.alias("places"))
+
+            return F.transform(starts, run)
+
+        return F.when(F.size(ordered) > 0, bound(starts, cut)).otherwise(none)
+
+    return F.coalesce(bound(F.sort_array(pairs), runs), none)

@@ -130,16 +130,21 @@ def weighted_vectors(
 def remove_words(df: DataFrame, text: str, word_list: DataFrame, key: str) -> DataFrame:
     """``key, text``: the terms of each text without the listed words, in order.
 
-    ``key`` tells texts apart; ``word_list`` has one distinct ``word`` per row. Only the
-    distinct words of a text are looked up; its terms are filtered inside the row.
+    ``key`` tells texts apart; ``word_list`` has one distinct ``word`` per row. A text gives
+    one row per distinct term with the places where it stands; the rows of listed words go,
+    and the others are put back in the order of their places. The work grows with the
+    number of terms, whatever the number of listed words.
     """
-    terms = df.select(key, tx.terms(F.col(text)).alias("_terms"))
-    listed = word_counts(terms, "_terms", [key]).join(word_list.select("word"), "word", "left_semi")
-    per_text = listed.groupBy(F.col(key).alias("_key")).agg(F.collect_set("word").alias("_listed"))
-    kept = F.filter("_terms", lambda t: ~F.array_contains("_listed", t))
-    return terms.join(per_text, F.col(key).eqNullSafe(F.col("_key")), "left").select(
-        key,
-        F.array_join(F.when(F.col("_listed").isNull(), F.col("_terms")).otherwise(kept), " ").alias("text"),
+    terms = df.select(F.col(key).alias("_key"), tx.terms(F.col(text)).alias("_terms"))
+    # a row without a word keeps texts that lose all of them
+    own = F.array(F.struct(F.lit(None).cast("string").alias("word"), F.array().cast("array<int>").alias("places")))
+    placed = terms.select("_key", F.inline(F.concat(own, tx.term_places(F.col("_terms")))))
+    kept = placed.join(word_list.select("word"), "word", "left_anti")
+    at = F.transform("places", lambda i: F.struct(i.alias("i"), F.col("word").alias("word")))
+    ordered = F.sort_array(F.flatten(F.collect_list("at")))
+    rows = kept.select("_key", at.alias("at")).groupBy("_key").agg(ordered.alias("_kept"))
+    return rows.select(
+        F.col("_key").alias(key), F.array_join(F.transform("_kept", lambda t: t["word"]), " ").alias("text")
     )
 
 

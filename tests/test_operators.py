@@ -286,3 +286,13 @@ def test_curves_against_brute_force(spark, range_rows):
     )
     area = metrics.roc_auc(df, "score", "label", range_rows=range_rows).first()["auc"]
     assert area == pytest.approx(wins / (positives * (len(data) - positives)))
+
+
+def test_remove_words_from_a_long_text_with_many_listed(spark):
+    # twenty thousand terms, five thousand of the distinct ones listed: one text, linear work
+    words = [f"w{i % 9000:05d}" for i in range(20_000)]
+    listed = {f"w{i:05d}" for i in range(0, 9000, 9)} | {f"w{i:05d}" for i in range(4000)}
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, "w00000 w00009"), (3, None), (4, "")], "id int, text string")
+    rows = spark.createDataFrame([(w,) for w in sorted(listed)], "word string")
+    got = {r["id"]: r["text"] for r in wv.remove_words(docs, "text", rows, "id").collect()}
+    assert got == {1: " ".join(w for w in words if w not in listed), 2: "", 3: "", 4: ""}

@@ -1,5 +1,7 @@
 """Book structure on small hand-written books."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,3 +149,43 @@ def test_chapter_table_and_dump(found):
         f"{pad} SECTION The End {pad}\n{pad} BEGIN CHAPTER A Turn {pad}\nthird text\n"
         f"{pad} END CHAPTER A Turn {pad}\n"
     )
+
+
+def long_book(chapters, words=160):
+    names = [f"Part {i} of the tale" for i in range(chapters)]
+    toc = "\n".join(f"Chapter {i}. {name}" for i, name in enumerate(names, 1))
+    texts = [" ".join(f"word{(i * j) % 97}" for j in range(words)) + ("\nline" * (i % 5)) for i in range(chapters)]
+    body = "".join(f"== {i} ==\n{name.upper()}\n{text}\n" for i, (name, text) in enumerate(zip(names, texts), 1))
+    return book(toc, body), names, texts
+
+
+@pytest.mark.parametrize("block", [1, 40, 700, 1 << 20])
+def test_blocks_of_any_size_give_the_same_chapters(spark, monkeypatch, block):
+    monkeypatch.setattr(st, "BLOCK", block)
+    raw, names, texts = long_book(12, 60)
+    frame = spark.createDataFrame([("b", raw)], "book string, raw string")
+    patterns = spark.createDataFrame([("b", r"^=+ \d+ =+\n{00}\n")], "book string, pattern string")
+    found = st.find_headers(st.read_structure(frame), patterns, "book")
+    if block == 1:
+        # a header over two line ends needs the block after its first one
+        assert {r["reason"] for r in st.rejected_books(found, ["book"]).collect()} <= {f"header not found: {n}" for n in names}
+        return
+    rows = sorted(st.split_chapters(found, ["book"]).collect(), key=lambda r: r["chapter_num"])
+    assert [(r["name"], r["text"].strip()) for r in rows] == list(zip(names, texts))
+    content = found.select("content").first()[0]
+    for h in found.select("headers").first()[0]:
+        assert content[h["start"] - 1 : h["stop"] - 1].endswith(h["name"].upper() + "\n")
+
+
+def test_twice_the_chapters_take_about_twice_the_time(spark):
+    patterns = spark.createDataFrame([("b", r"^=+ \d+ =+\n{00}\n")], "book string, pattern string")
+    seconds = []
+    for chapters in (20, 300, 600):
+        raw, names, texts = long_book(chapters)
+        frame = spark.createDataFrame([("b", raw)], "book string, raw string")
+        start = time.perf_counter()
+        rows = st.split_chapters(st.find_headers(st.read_structure(frame), patterns, "book"), ["book"]).collect()
+        seconds.append(time.perf_counter() - start)
+        assert [r["text"].strip() for r in sorted(rows, key=lambda r: r["chapter_num"])] == texts
+    # quadratic work would take four times as long
+    assert seconds[2] < 3 * seconds[1] + 2
