@@ -9,6 +9,7 @@ from checks.registry import check, table
 from penprint.functions import keys
 from penprint.functions import text as tx
 from penprint.operators import catalog, reports, split
+from penprint.session import staged
 
 AUTHOR_NAMES = {"src0": "Source Zero", "src1": "Source One"}
 
@@ -183,6 +184,30 @@ def book_split(spark, sf):
     return rows.select("source", "doc_id", "is_train")
 
 
+@check("""
+SELECT DISTINCT source AS entry, true AS holds FROM documents
+UNION ALL SELECT 'all books are whole', true UNION ALL SELECT 'within the margin', true
+UNION ALL SELECT 'outside before', true""")
+def book_split_repaired(spark, sf):
+    """Few, large books: the first fill leaves the margin, moves bring it back, every author has a test book."""
+    docs = documents(spark, sf)
+    before = split.test_share(split.split_by_book(docs, "source", "lang"))
+    rows = staged(split.split_by_book(docs, "source", "lang", margin=0.001), "repaired")
+    authors = rows.groupBy(F.col("source").alias("entry")).agg(F.bool_or(~F.col("is_train")).alias("holds"))
+    whole = rows.groupBy("source", "lang").agg((F.count_distinct("is_train") == 1).alias("one"))
+    return (
+        authors.unionByName(whole.agg(F.lit("all books are whole").alias("entry"), F.bool_and("one").alias("holds")))
+        .unionByName(
+            split.test_share(rows).select(
+                F.lit("within the margin").alias("entry"), (F.abs(F.col("test_share") - 0.2) <= 0.001).alias("holds")
+            )
+        )
+        .unionByName(
+            before.select(F.lit("outside before").alias("entry"), (F.abs(F.col("test_share") - 0.2) > 0.001).alias("holds"))
+        )
+    )
+
+
 @check(f"""WITH RECURSIVE {GREEDY_ROLES}
 SELECT round(sum(CASE WHEN test THEN n ELSE 0 END) / sum(n), 6) AS test_share FROM chosen""")
 def book_split_share(spark, sf):

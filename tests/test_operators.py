@@ -1,5 +1,6 @@
 import math
 import random
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -296,3 +297,49 @@ def test_remove_words_from_a_long_text_with_many_listed(spark):
     rows = spark.createDataFrame([(w,) for w in sorted(listed)], "word string")
     got = {r["id"]: r["text"] for r in wv.remove_words(docs, "text", rows, "id").collect()}
     assert got == {1: " ".join(w for w in words if w not in listed), 2: "", 3: "", 4: ""}
+
+
+def nearest_by_hand(sizes, test, goal, margin):
+    """The same search with all moves written out; rows reached at the end."""
+    test = set(test)
+    while True:
+        total, reached = sum(sizes.values()), sum(sizes[b] for b in test)
+        if abs(reached / total - goal) <= margin:
+            return reached
+        gap = round(total * goal) - reached
+        alone = {b for b in test if sum(1 for c in test if c[0] == b[0]) == 1}
+        moves = [(set(), {b}) for b in sizes if b not in test] + [({b}, set()) for b in test - alone]
+        moves += [({a}, {b}) for a in test for b in sizes if b not in test and (a not in alone or a[0] == b[0])]
+        left = [abs(gap - sum(sizes[b] for b in into) + sum(sizes[b] for b in out)) for out, into in moves]
+        if not left or min(left) >= abs(gap):
+            return reached
+        out, into = moves[left.index(min(left))]
+        test = (test - out) | into
+        if min(left) == 0:
+            return sum(sizes[b] for b in test)
+
+
+@pytest.mark.parametrize("case", range(4))
+def test_repair_of_the_book_split(spark, case):
+    rng = random.Random(case)
+    sizes = {(f"a{i}", f"b{j}"): rng.randrange(1, (20, 400, 5, 1)[case] + 1) for i in range(6) for j in range(rng.randrange(1, 5))}
+    counts = spark.createDataFrame([(a, b, n) for (a, b), n in sizes.items()], "author string, book string, n_rows long")
+    first = split.choose_test_books(counts, "author", "book", 0.3)
+    before = {tuple(r) for r in first.collect()}
+    chosen, share = split.repair_test_books(counts, first, "author", "book", 0.3, 0.0005)
+    after, total = {tuple(r) for r in chosen.collect()}, sum(sizes.values())
+    assert {a for a, _ in after} == {a for a, _ in sizes}
+    assert share == pytest.approx(sum(sizes[b] for b in after) / total)
+    # equal moves may be taken in another order, the first distance is the same
+    by_hand = nearest_by_hand(sizes, before, 0.3, 0.0005)
+    assert abs(share - 0.3) <= max(abs(by_hand / total - 0.3), 0.0005) + 1 / total
+
+
+def test_best_exchange_is_the_nearest_of_all():
+    rng = random.Random(3)
+    for _ in range(200):
+        out, into = (sorted(rng.sample(range(1, 60), rng.randrange(0, 8))) for _ in range(2))
+        gap = rng.randrange(-40, 40)
+        got = split.best_exchange(out, into, gap)
+        expected = min(((abs(gap - (b - a)), a, b) for a in out for b in into), default=None)
+        assert (got is None and expected is None) or got[0] == expected[0]
