@@ -8,8 +8,10 @@ support, and the union over the shards holds every frequent phrase.
 A shard is as large as the corpus over a fixed number, so Spark mines it, not a task: the
 tasks send hashed phrases with their counts, which one shuffle adds up per shard. It goes
 level by level: a phrase of three words is only looked at if both its parts of two
-words reached the support in the shard. What a level finds is passed on as a bit
-table of fixed size. Equal hashes can only add candidates, never lose one.
+words reached the support in the shard. A phrase is a candidate if it reached the support
+of a shard, and its counts where it did, with one less than the support for each other
+shard, add up to the support of all. What a level finds is passed on as a bit table, which
+has a bounded size. Equal hashes can only add candidates, never lose one.
 
 The last pass counts all candidates, and the single words in them, over all shards by
 their text, and everything that is reported comes from these counts.
@@ -28,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from penprint.llm.common import joined_bytes
+from penprint.llm.common import joined_bytes, run_sums
 from penprint.session import staged
 
 SHARDS = 4
@@ -37,12 +39,13 @@ LONGEST = 3
 COVER_PERCENT = 50
 TOP = 2000
 NO_LANGUAGE = "und"
-# bits of a table of frequent phrases
-TABLE_BITS = 27
-STRETCH = 4 << 20
+# bits of a table of phrases: so many for each of them, and these at least and at most (as powers of two)
+LOCAL_BITS, CANDIDATE_BITS = 8, 32
+LEAST_BITS, MOST_BITS = 16, 29
+STRETCH = 2 << 20
 _SHARD_BITS = 4
 _SPREAD = 0x5BD1E995
-_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -80,15 +83,9 @@ class Words:
         self.joined = (piece[1:] == piece[:-1]) & (self.text[1:] == self.text[:-1])
         self.letters = data[inside]
 
-    def hashes(self, salt: np.ndarray, base: np.uint64) -> np.ndarray:
+    def hashes(self, salt: np.ndarray, base: int) -> np.ndarray:
         """Hash of each word and the salt of its text."""
-        if not len(self.lengths):
-            return np.zeros(0, np.uint64)
-        powers = np.full(int(self.lengths.max()), base, np.uint64).cumprod(dtype=np.uint64)
-        first = np.cumsum(self.lengths) - self.lengths
-        place = np.arange(len(self.letters)) - np.repeat(first, self.lengths)
-        sums = np.add.reduceat((self.letters.astype(np.uint64) + np.uint64(1)) * powers[place], first)
-        return _mixed(sums + salt[self.text])
+        return _mixed(run_sums(self.letters, self.lengths, base) + salt[self.text])
 
     def runs(self, words: int) -> np.ndarray:
         """Where phrases of so many words start."""
@@ -109,13 +106,12 @@ class Words:
 
 def longer(hashes: np.ndarray, words: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
     """Hashes of the phrases of ``k`` words at ``starts`` from those of one word less."""
-    return _mixed(hashes * _BASES[0] + words[starts + k - 1])
+    return _mixed(hashes * np.uint64(_BASES[0]) + words[starts + k - 1])
 
 
 def stretches(batch: pa.RecordBatch, limit: int = STRETCH) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """Lower-cased bytes, text starts in them, and number of the first text; cut between pieces only."""
     data, offsets = joined_bytes(batch, "_text")
-    data = np.frombuffer(data.tobytes().translate(_LOWER), np.uint8)
     start, size = 0, len(data)
     while start < size:
         stop = start + limit
@@ -131,7 +127,8 @@ def stretches(batch: pa.RecordBatch, limit: int = STRETCH) -> Iterator[tuple[np.
         stop = min(stop, size)
         first = int(np.searchsorted(offsets, start, "right")) - 1
         last = int(np.searchsorted(offsets, stop, "left"))
-        yield data[start:stop], np.maximum(offsets[first:last] - start, 0), first
+        lowered = np.frombuffer(data[start:stop].tobytes().translate(_LOWER), np.uint8)
+        yield lowered, np.maximum(offsets[first:last] - start, 0), first
         start = stop
 
 
@@ -140,15 +137,10 @@ def _salts(langs: list[str]) -> np.ndarray:
     return np.array([known[lang] for lang in langs], np.uint64)
 
 
-def bit_of(hashes: np.ndarray, shard, bits: int = TABLE_BITS) -> np.ndarray:
-    """Place of hashes of a shard in a table."""
+def has(table: np.ndarray, hashes: np.ndarray, shard=0) -> np.ndarray:
+    """Whether the table knows phrases, of a shard if it tells shards apart."""
     moved = (hashes >> np.uint64(_SHARD_BITS)) ^ (np.asarray(shard, np.uint64) * np.uint64(_SPREAD))
-    return (moved & np.uint64((1 << bits) - 1)).astype(np.int64)
-
-
-def has(table: np.ndarray, hashes: np.ndarray, shard) -> np.ndarray:
-    """Whether phrases reached the support in a shard, as the table knows."""
-    place = bit_of(hashes, shard)
+    place = (moved & np.uint64(8 * len(table) - 1)).astype(np.int64)
     return (table[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
 
@@ -210,20 +202,31 @@ def _shard() -> Column:
     return F.col("key").bitwiseAND(F.lit((1 << _SHARD_BITS) - 1))
 
 
-def _table_of(keys: DataFrame) -> np.ndarray:
-    """Bit table of locally frequent keys; the driver gets a long per 64 bits at most."""
+def _table_of(keys: DataFrame, per_key: int) -> np.ndarray:
+    """Bit table of written ``key`` rows; the driver gets a long per 64 bits at most."""
+    bits = min(max((per_key * keys.count()).bit_length(), LEAST_BITS), MOST_BITS)
     moved = F.shiftrightunsigned("key", _SHARD_BITS).bitwiseXOR(_shard() * F.lit(_SPREAD))
-    place = moved.bitwiseAND(F.lit((1 << TABLE_BITS) - 1))
-    rows = keys.select(place.alias("place")).selectExpr(
+    rows = keys.select(moved.bitwiseAND(F.lit((1 << bits) - 1)).alias("place")).selectExpr(
         "shiftright(place, 6) AS at", "shiftleft(1L, cast(place & 63 AS int)) AS bit"
     )
     found = rows.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
-    table = np.zeros(1 << (TABLE_BITS - 6), np.int64)
+    table = np.zeros(1 << (bits - 6), np.int64)
     table[found.column("at").to_numpy()] = found.column("bits").to_numpy()
     return table.view(np.uint8)
 
 
-def _exact_counts(docs: DataFrame, tables: list, shard_count: int) -> DataFrame:
+def _candidates(frequent: DataFrame, parts: list[int], support: int) -> DataFrame:
+    """``key`` (of shard 0) of the locally frequent phrases that may reach the support of all."""
+    more = F.sum(F.col("n") - _least(parts) + 1) + sum(parts) - len(parts)
+    own = frequent.groupBy(F.col("key").bitwiseAND(F.lit(-(1 << _SHARD_BITS))).alias("key"))
+    return own.agg(more.alias("most"), F.count("*")).where(F.col("most") >= support).select("key")
+
+
+def _least(parts: list[int]) -> Column:
+    return F.element_at(F.array(*[F.lit(n) for n in parts]), (_shard() + 1).cast("int"))
+
+
+def _exact_counts(docs: DataFrame, tables: list) -> DataFrame:
     """``lang, words, phrase, n`` of all candidates and the words of such, and ``words`` = 0 for all words."""
 
     def each(words, hashes, salts, shards, langs):
@@ -246,10 +249,8 @@ def _exact_counts(docs: DataFrame, tables: list, shard_count: int) -> DataFrame:
                 before = [_at(h, len(hashes), starts) for h in below]
                 starts = words.runs(k)
                 below = [longer(h[starts], own, starts, k) for h, own in zip(before, first)]
-            frequent = np.zeros(len(starts), bool)
-            for shard in range(shard_count):
-                frequent |= has(tables[k - 1].value, below[0], shard)
-            one, two, found = below[0][frequent], below[1][frequent], starts[frequent]
+            wanted = has(tables[k - 1].value, below[0])
+            one, two, found = below[0][wanted], below[1][wanted], starts[wanted]
             if not len(found):
                 continue
             # both hashes together tell the phrases of a stretch apart
@@ -292,19 +293,22 @@ def counted(
         F.coalesce(F.col(lang), F.lit(NO_LANGUAGE)).alias("_lang"),
         F.pmod(F.xxhash64(F.col(text), F.lit(3)), F.lit(shards)).cast("int").alias("_shard"),
     )
-    sent, least = [], None
+    context, local, wanted, parts = docs.sparkSession.sparkContext, [], [], []
     for level in range(1, longest + 1):
-        local = staged(_local_counts(rows, level, sent), f"phrases-{level}")
+        found = _local_counts(rows, level, local)
         if level == 1:
-            sizes = dict(local.groupBy(_shard()).agg(F.sum("n")).collect())
+            found = staged(found, "words")
+            sizes = dict(found.groupBy(_shard()).agg(F.sum("n")).collect())
             total = sum(sizes.values())
             # proportionally lowered, rounded up
             parts = [max(1, -(-support * sizes.get(k, 0) // total)) if total else 1 for k in range(shards)]
-            least = F.element_at(F.array(*[F.lit(n) for n in parts]), (_shard() + 1).cast("int"))
-        frequent = local.where(F.col("n") >= least)
-        sent.append(docs.sparkSession.sparkContext.broadcast(_table_of(frequent)))
-    counts = staged(_exact_counts(rows, sent, shards), "phrases")
-    for table in sent:
+        frequent = staged(found.where(F.col("n") >= _least(parts)), f"phrases-{level}")
+        if level < longest:
+            local.append(context.broadcast(_table_of(frequent.select("key"), LOCAL_BITS)))
+        candidates = staged(_candidates(frequent, parts, support), f"candidates-{level}")
+        wanted.append(context.broadcast(_table_of(candidates, CANDIDATE_BITS)))
+    counts = staged(_exact_counts(rows, wanted), "phrases")
+    for table in [*local, *wanted]:
         table.destroy()
     return counts.where((F.col("words") == 0) | (F.col("n") >= support))
 

@@ -75,5 +75,9 @@ def run_sums(data: np.ndarray, lengths: np.ndarray, base: int = 0x9E3779B97F4A7C
         return np.zeros(0, np.uint64)
     powers = np.full(int(lengths.max()), base, np.uint64).cumprod(dtype=np.uint64)
     first = np.cumsum(lengths) - lengths
-    place = np.arange(len(data)) - np.repeat(first, lengths)
-    return np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * powers[place], first)
+    place = np.arange(len(data), dtype=np.int32 if len(data) < 1 << 31 else np.int64)
+    place -= np.repeat(first.astype(place.dtype), lengths)
+    terms = powers[place]
+    del place
+    terms *= data.astype(np.uint64) + np.uint64(1)
+    return np.add.reduceat(terms, first)
