@@ -14,7 +14,7 @@ from penprint.functions import lexicon as lex
 from penprint.operators import metrics, reports
 from penprint.operators import vocabulary as vo
 from penprint.operators import wordvectors as wv
-from penprint.plans import grid, models, score
+from penprint.plans import grid, importance, kernels, models, score
 from penprint.session import staged
 from penprint.settings import Settings
 
@@ -230,6 +230,53 @@ def metrics_table(spark, sf):
     return rounded(row, "accuracy", "precision", "recall", "f1-score")
 
 
+@check(f"""WITH {GAUSSIAN},
+places AS (
+  SELECT doc_id, row_number() OVER (ORDER BY md5('42|' || doc_id)) - 1 AS place FROM predicted),
+nexts AS (
+  SELECT a.doc_id, b.doc_id AS other FROM places a JOIN places b ON b.place = (a.place + 1) % (SELECT count(*) FROM places)),
+densities AS (
+  SELECT d.doc_id, d.dim, class, -0.5 * ln(2 * pi() * var) - (o.value - mu) * (o.value - mu) / (2 * var)
+    + 0.5 * ln(2 * pi() * var) + (d.value - mu) * (d.value - mu) / (2 * var) AS change
+  FROM data d JOIN nexts USING (doc_id) JOIN data o ON o.doc_id = nexts.other AND o.dim = d.dim JOIN stats ON stats.dim = d.dim),
+permuted AS (
+  SELECT s.doc_id, dim, any_value(label) AS label, arg_max(s.class, lp + change) AS prediction
+  FROM densities s JOIN logs l ON l.doc_id = s.doc_id AND l.class = s.class GROUP BY s.doc_id, dim),
+whole AS (SELECT avg((label = prediction)::INTEGER) AS accuracy FROM predicted)
+SELECT dim::INTEGER AS feature, round(any_value(accuracy), 6) AS accuracy, round(avg((label = prediction)::INTEGER), 6) AS permuted,
+  round(any_value(accuracy) - avg((label = prediction)::INTEGER), 6) + 0.0 AS importance
+FROM permuted, whole GROUP BY dim""")
+def feature_importance(spark, sf):
+    """What the Gaussian model loses on test rows when one dimension is exchanged between them."""
+    features = text_vectors(spark, sf)
+    model = models.gaussian(DIMS, len(CLASSES)).fit(features.where("is_train"))
+    table = importance.permutation_importance(model, features.where("NOT is_train"), "doc_id", list(range(DIMS)))
+    return table.select(
+        "feature", *[(F.round(c, 6) + 0.0).alias(c) for c in ("accuracy", "permuted", "importance")]
+    )
+
+
+KERNEL_LANDMARKS = 16
+
+
+@check(f"""WITH {q.MEANS},
+data AS (SELECT doc_id, dim, value, {q.bucket('doc_id', '100')} < 80 AS is_train FROM means),
+points AS (
+  SELECT doc_id AS point, row_number() OVER (ORDER BY md5('42|' || doc_id)) - 1 AS landmark
+  FROM (SELECT DISTINCT doc_id FROM data WHERE is_train) ORDER BY md5('42|' || doc_id) LIMIT {KERNEL_LANDMARKS}),
+gamma AS (SELECT 1 / ({DIMS} * var_pop(value)) AS g FROM data WHERE is_train)
+SELECT x.doc_id, landmark, round(tanh(any_value(g) * sum(x.value * z.value)), 6) + 0.0 AS value
+FROM data x JOIN data z USING (dim) JOIN points ON z.doc_id = point, gamma GROUP BY x.doc_id, landmark""")
+def svm_kernel_features(spark, sf):
+    """The sigmoid kernel of every text with the landmarks."""
+    features = text_vectors(spark, sf)
+    train = features.where("is_train")
+    points = kernels.landmarks(train, "doc_id", KERNEL_LANDMARKS)
+    mapped = kernels.KernelMap(points, kernels.scale_gamma(train), 0.0, "features", "kernel").transform(features)
+    rows = mapped.select("doc_id", F.posexplode(vector_to_array("kernel")).alias("landmark", "value"))
+    return rows.select("doc_id", F.col("landmark").cast("long").alias("landmark"), (F.round("value", 6) + 0.0).alias("value"))
+
+
 TEST_ROWS = f"""test AS (
   SELECT doc_id, {CLASS_SQL} AS label, CASE WHEN lang = 'fr' THEN 1 ELSE 0 END AS french
   FROM documents WHERE {q.bucket('doc_id', '100')} >= 80)"""
@@ -277,6 +324,14 @@ def svm(spark, sf):
     return _invariants(_predict("svm", features, dims))
 
 
+@check(INVARIANTS)
+def svm_kernel(spark, sf):
+    """The sigmoid kernel machine on the word vectors."""
+    estimator = kernels.kernel_svm(len(CLASSES), "doc_id")
+    _, predictions = models.fit_and_predict(text_vectors(spark, sf), estimator, ["doc_id"])
+    return _invariants(predictions)
+
+
 @check(INVARIANTS)
 def random_forest(spark, sf):
     features, dims = text_tfidf(spark, sf)

@@ -40,9 +40,15 @@ class LinearMachines(Estimator):
     """
 
     def __init__(
-        self, classes: int, iterations: int = 200, reg_param: float = 0.01, tolerance: float = 1e-3
+        self,
+        classes: int,
+        iterations: int = 200,
+        reg_param: float = 0.01,
+        tolerance: float = 1e-3,
+        features: str = "features",
     ):
         super().__init__()
+        self.features = features
         self.tolerance = tolerance
         self.classes = classes
         self.iterations = iterations
@@ -53,6 +59,7 @@ class LinearMachines(Estimator):
         machines, temporary = [], []
         for k in [1] if two else range(self.classes):
             machine = LinearSVC(
+                featuresCol=self.features,
                 labelCol="_is_class",
                 maxIter=self.iterations,
                 tol=self.tolerance,
