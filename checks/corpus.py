@@ -9,6 +9,7 @@ from checks.registry import check, table
 from penprint.functions import keys
 from penprint.functions import text as tx
 from penprint.operators import catalog, reports, split
+from penprint.operators.rows import with_labels
 from penprint.session import staged
 
 AUTHOR_NAMES = {"src0": "Source Zero", "src1": "Source One"}
@@ -243,7 +244,7 @@ def union_corpora(spark, sf):
 SELECT doc_id, lang, quality, toxic, n_chars FROM documents JOIN labels USING (doc_id)""")
 def features_labels(spark, sf):
     features = documents(spark, sf).select("doc_id", "lang", "n_chars")
-    return features.join(table(spark, sf, "labels"), "doc_id").select(
+    return with_labels(features, table(spark, sf, "labels"), "doc_id").select(
         "doc_id", "lang", "quality", "toxic", "n_chars"
     )
 

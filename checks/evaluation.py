@@ -468,6 +468,29 @@ def model_grid_gaussian(spark, sf):
     )
 
 
+@check(f"""WITH {_gaussian_sql(SPOKEN_MEANS, TWO_CLASS)},
+chances AS (
+  SELECT p.doc_id, p.label, sum(CASE WHEN class = 1 THEN exp(lp - best) ELSE 0 END) / sum(exp(lp - best)) AS p
+  FROM predicted p JOIN logs l ON l.doc_id = p.doc_id GROUP BY p.doc_id, p.label)
+SELECT doc_id, rule, label, (CASE rule WHEN '> 0.5' THEN p > 0.5 WHEN '>= 0.5' THEN p >= 0.5 WHEN '> 0.999' THEN p > 0.999
+  ELSE p >= 0 END)::INTEGER AS prediction
+FROM chances, (VALUES ('> 0.5'), ('>= 0.5'), ('> 0.999'), ('>= 0')) r(rule)""")
+def threshold_predictions(spark, sf):
+    """Class 1 by thresholds of its probability, the threshold itself in or out."""
+    features = _features(spark, sf, Settings(), kinds=("glove",))
+    rules = {"> 0.5": (0.5, False), ">= 0.5": (0.5, True), "> 0.999": (0.999, False), ">= 0": (0.0, True)}
+    out = None
+    for rule, (threshold, inclusive) in rules.items():
+        (cell,) = grid.fit_grid(features, 2, ("gaussian",), threshold=threshold, inclusive=inclusive)
+        rows = cell.predictions.select(
+            F.col("chunk_id").alias("doc_id"),
+            F.lit(rule).alias("rule"),
+            *[F.col(c).cast("int").alias(c) for c in ("label", "prediction")],
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @check(f"""WITH {_gaussian_sql(SPOKEN_MEANS, TWO_CLASS)},
 bwords AS (
   SELECT item_id, unnest({q.lowered(q.no_stop_words(q.raw_tokens(q.clean('text', lex.COMPACT_RULES))))}) AS word FROM benchmark),

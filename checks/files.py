@@ -187,6 +187,20 @@ def metrics_sink(spark, sf):
     )
 
 
+@check("""
+SELECT run, lang, count(*) AS texts, max(n_chars) AS longest FROM documents, (VALUES ('first'), ('second')) r(run)
+GROUP BY run, lang""")
+def metrics_rerun(spark, sf):
+    """Two runs; the first is written again, with its rows in other files, and stays one copy."""
+    path = new_path(spark, "metrics")
+    rows = documents(spark, sf).groupBy("lang").agg(F.count("*").alias("texts"), F.max("n_chars").alias("longest"))
+    writers.write_metrics(rows.where("lang = 'en'"), path, "first")
+    writers.write_metrics(rows, path, "second")
+    writers.write_metrics(rows.repartition(3), path, "first")
+    read = spark.read.schema("lang string, texts long, longest long, run_id string").option("header", True).csv(path)
+    return read.select(F.col("run_id").alias("run"), "lang", "texts", "longest")
+
+
 @check(f"""WITH {GAUSSIAN} SELECT doc_id, label, prediction FROM predicted""")
 def predictions_sink(spark, sf):
     path = new_path(spark, "predictions")

@@ -7,7 +7,7 @@ array. The outer form adds no filter; the empty row is dropped afterwards.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -29,3 +29,20 @@ def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns in such a way that a later filter on them does not compute them again."""
     packed = F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))
     return df.select("*", F.inline_outer(packed))
+
+
+def with_labels(features: DataFrame, labels: DataFrame, key: str) -> DataFrame:
+    """The rows of both tables joined on ``key``; a key that is repeated in either of them is an error.
+
+    Repeats are counted where the join has brought equal keys together anyway. Rows without a
+    partner, and null keys, drop out.
+    """
+    same = Window.partitionBy(key)
+
+    def single(df: DataFrame) -> DataFrame:
+        counted = df.where(F.col(key).isNotNull()).withColumn("_repeats", F.count("*").over(same))
+        message = F.concat(F.lit(f"repeated {key}: "), F.col(key).cast("string"))
+        once = F.when(F.col("_repeats") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+        return counted.where(once).drop("_repeats")
+
+    return single(features).join(single(labels), key)

@@ -126,6 +126,13 @@ def class_at(threshold: float = 0.5, inclusive: bool = False) -> Column:
     return (p >= threshold if inclusive else p > threshold).cast("int")
 
 
+def with_threshold(predictions: DataFrame, threshold: float | None, inclusive: bool = False) -> DataFrame:
+    """``prediction`` of a two-class model by a threshold of its probability; None leaves it as it is."""
+    if threshold is None:
+        return predictions
+    return predictions.withColumn("prediction", class_at(threshold, inclusive).cast("double"))
+
+
 def loss_history(df: DataFrame, model) -> DataFrame:
     """``iteration, loss`` of a fitted network; one row per iteration."""
     losses = [(i, float(x)) for i, x in enumerate(model.summary().objectiveHistory)]

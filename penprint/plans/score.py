@@ -29,10 +29,13 @@ class Scorer:
         tokens = tx.word_tokens(tx.clean(F.col(text), rules), remove_stopwords=True)
         return texts.select(key, F.array_join(tokens, " ").alias("text"))
 
-    def score(self, texts: DataFrame, key: str, text: str) -> DataFrame:
+    def score(
+        self, texts: DataFrame, key: str, text: str, threshold: float | None = None, inclusive: bool = False
+    ) -> DataFrame:
         """``key, pred_model0, pred_model1, ...``: one prediction per fitted model.
 
-        The models are applied to the same rows one after the other.
+        The models are applied to the same rows one after the other. ``threshold`` and
+        ``inclusive`` are those of :func:`grid.fit_grid`, for models of two classes.
         """
         kinds = {cell.feature_type for cell in self.cells}
         ready = self.prepare(texts, key, text)
@@ -53,6 +56,7 @@ class Scorer:
             scored = cell.model.transform(
                 rows.select(*kept, F.col(f"_{cell.feature_type}").alias("features"))
             )
+            scored = models.with_threshold(scored, threshold, inclusive)
             names.append(f"pred_model{i}")
             rows = scored.select(*kept, F.col("prediction").cast("int").alias(names[-1]))
         return rows.select(key, *names)

@@ -17,12 +17,16 @@ CATALOG = (
 )
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A CSV table with a header; quoted fields may hold commas, quotes and line ends."""
+def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
+    """A CSV table with a header; quoted fields may hold commas and quotes.
+
+    With ``multi_line`` they may hold line ends too, and a file is read by one task;
+    without it, large files are split.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .csv(path)
     )
@@ -33,9 +37,9 @@ def read_sources(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, SOURCES)
 
 
-def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """The large catalogue, one row per work."""
-    return read_csv(spark, path, CATALOG)
+def read_catalog(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """The large catalogue, one row per work. Files are split unless titles hold line ends (``multi_line``)."""
+    return read_csv(spark, path, CATALOG, multi_line)
 
 
 def read_texts(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:

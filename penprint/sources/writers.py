@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -11,8 +11,21 @@ def write_chapters(chapters: DataFrame, path: str, mode: str = "overwrite") -> N
     chapters.repartition("author", "book").write.mode(mode).partitionBy("author", "book").parquet(path)
 
 
+def committed(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` has ended: its marker file is there. A folder without it is half written."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Any table, as Parquet. ``mode="ignore"`` skips the work when the output exists."""
+    """Any table, as Parquet. ``mode="ignore"`` skips the work when a finished output exists.
+
+    What a broken run has left there is no output and is written again.
+    """
+    if mode == "ignore":
+        if committed(df.sparkSession, path):
+            return
+        mode = "overwrite"
     df.write.mode(mode).parquet(path)
 
 
@@ -31,6 +44,16 @@ def append_metrics(metrics: DataFrame, path: str, fresh: bool = False) -> None:
     metrics.write.mode("overwrite" if fresh else "append").option("header", True).csv(path)
 
 
+def write_metrics(metrics: DataFrame, path: str, run_id: str) -> None:
+    """Put the rows of a run into the metrics table, one folder per run.
+
+    A run that is written again replaces its own rows and leaves those of other runs alone.
+    """
+    rows = metrics.withColumn("run_id", F.lit(run_id))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run_id").option("header", True).csv(path)
+
+
 def write_predictions(predictions: DataFrame, path: str) -> None:
     """Predictions as CSV with a header."""
     predictions.write.mode("overwrite").option("header", True).csv(path)

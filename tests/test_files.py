@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from penprint.operators.rows import with_labels
 from penprint.sources import readers, writers
 
 
@@ -112,3 +113,39 @@ def test_vectors_and_dataset(spark, tmp_path):
     )
     writers.write_table(data, str(tmp_path / "d"))
     assert readers.read_dataset(spark, str(tmp_path / "d")).collect() == data.collect()
+
+
+def test_half_written_output_is_written_again(spark, tmp_path):
+    target = tmp_path / "half"
+    (target / "_temporary" / "0").mkdir(parents=True)
+    (target / "part-00000.parquet").write_bytes(b"broken")
+    assert not writers.committed(spark, str(target)) and not writers.committed(spark, str(tmp_path / "none"))
+    writers.write_table(spark.range(3), str(target), mode="ignore")
+    assert spark.read.parquet(str(target)).count() == 3 and writers.committed(spark, str(target))
+    writers.write_table(spark.range(9), str(target), mode="ignore")
+    assert spark.read.parquet(str(target)).count() == 3
+
+
+def test_large_catalogue_is_split(spark, tmp_path):
+    header = "id,title,author,authoryearofbirth,authoryearofdeath,language,downloads,subjects,type\n"
+    lines = "".join(f"PG{i},\"A title, {i}\",Someone,1800,1870,['en'],1,none,Text\n" for i in range(20_000))
+    path = tmp_path / "catalogue.csv"
+    path.write_text(header + lines)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+        split, whole = (readers.read_catalog(spark, str(path), multi_line=m) for m in (False, True))
+        assert whole.select(F.spark_partition_id()).distinct().count() == 1
+        assert split.select(F.spark_partition_id()).distinct().count() > 4
+        assert split.count() == whole.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_repeated_keys_are_an_error(spark):
+    one = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (None, "d")], "k int, x string")
+    two = spark.createDataFrame([(1, 0.5), (3, 0.1), (None, 0.0)], "k int, y double")
+    assert [tuple(r) for r in with_labels(one, two, "k").collect()] == [(1, "a", 0.5)]
+    for a, b in ((one.unionAll(one), two), (one, two.unionAll(two))):
+        with pytest.raises(Exception, match="repeated k"):
+            with_labels(a, b, "k").collect()
