@@ -81,3 +81,21 @@ def run_sums(data: np.ndarray, lengths: np.ndarray, base: int = 0x9E3779B97F4A7C
     del place
     terms *= data.astype(np.uint64) + np.uint64(1)
     return np.add.reduceat(terms, first)
+
+
+def bit_table(places: DataFrame, bits: int) -> np.ndarray:
+    """A table of ``2 ** bits`` bits, at least 64, with those at the written ``place`` numbers set.
+
+    The driver gets a long per 64 bits at most.
+    """
+    rows = places.selectExpr("shiftright(place, 6) AS at", "shiftleft(1L, cast(place & 63 AS int)) AS bit")
+    found = rows.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    table = np.zeros(1 << (bits - 6), np.int64)
+    table[found.column("at").to_numpy()] = found.column("bits").to_numpy()
+    return table.view(np.uint8)
+
+
+def in_table(table: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Whether the bits at these places, counted modulo its size, are set."""
+    place = places & np.uint64(8 * len(table) - 1)
+    return (table[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1

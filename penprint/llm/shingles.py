@@ -2,17 +2,22 @@
 
 Shingles are put in one order for all texts, rare ones before frequent ones. Two sets with
 an index of 0.8 share one of the first ``n // 5 + 1`` of their ``n`` shingles, so only
-these are brought together, and every pair of that index is found. Which shingles are
-frequent is taken from a sample of texts; any order finds the same pairs, a good one
-brings fewer other texts together.
-
-In a group that shares a shingle, all are compared with one first. Those that now are in
-its component need no comparison with each other, so a large group of copies costs one
+these are brought together, and every pair of that index is found. The texts that hold a
+shingle are counted over all texts, and the order goes by the power of two that the count reaches. A
+shingle of one text only brings nothing together and is left out. What reaches a power is
+passed on as a bit table of bounded size; where one fills up, a shingle may count as more
+frequent than it is. Any order finds the same pairs, a good one brings fewer other texts together.
+
+In a group that shares a shingle, all are compared with one first: the text with the fewest
+shingles before the shared one, which is the original rather than one of its edited copies. Those that now
+are in its component need no comparison with each other, so a large group of copies costs one
 comparison each; the others are compared with all that are in other components.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -21,16 +26,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, LongType
 
-from penprint.llm.common import text_bytes
+from penprint.llm.common import bit_table, in_table, slices, text_bytes
 from penprint.llm.components import components
 from penprint.session import staged
 
 WIDTH = 5
 SEED = 42
-# texts in the sample for frequent shingles, how many of them have one, and the most that are sent to tasks
-SAMPLE_TEXTS = 20_000
-FREQUENT = 8
-MOST_FREQUENT = 1 << 20
+# powers of two up to this one tell shingles apart by the number of their texts
+LEVELS = 12
+# bits of a table for each shingle in it, and the most it has (as a power of two)
+TABLE_BITS, MOST_BITS = 16, 29
+# shingles that are counted in one group, and bytes of text that a task counts at once
+GROUP = 4_000_000
+SLICE = 4 << 20
+# a shingle of more texts of a slice counts as this many of them
+_REPEATS = 64
 # longs of parity bits per text
 BIT_WORDS = 16
 # row numbers that are copied to all tasks at most; more are joined by a shuffle
@@ -57,15 +67,27 @@ def shingle_set(text: bytes, width: int = WIDTH) -> np.ndarray:
     return np.unique(shingle_hashes(text, width).view(np.int64))
 
 
-def prefix_of(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The first shingles of a sorted set, those of the sorted array ``frequent`` last."""
-    if not len(shingles):
-        return shingles
-    if len(frequent):
-        place = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-        common = frequent[place] == shingles
-        shingles = np.concatenate([shingles[~common], shingles[common]])
-    return shingles[: len(shingles) // 5 + 1]
+def place_of(shingles: np.ndarray) -> np.ndarray:
+    """The upper 44 bits of shingles, by which they are counted."""
+    return shingles.view(np.uint64) >> np.uint64(20)
+
+
+def levels_of(shingles: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
+    """For each shingle the number of tables, from the first on, that know it: 0 if only one text has it."""
+    level = np.zeros(len(shingles), np.int64)
+    left, places = np.arange(len(shingles)), place_of(shingles)
+    for table in tables:
+        left = left[in_table(table, places[left])]
+        level[left] += 1
+    return level
+
+
+def prefix_of(shingles: np.ndarray, tables: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles of a set in the common order that other texts may have, and their places in that order."""
+    level = levels_of(shingles, tables)
+    order = np.lexsort((shingles, level))[: len(shingles) // 5 + 1 if len(shingles) else 0]
+    places = np.flatnonzero(level[order] > 0)
+    return shingles[order[places]], places
 
 
 def parities(shingles: np.ndarray) -> np.ndarray:
@@ -86,36 +108,88 @@ def _sets(text: pa.Array) -> pa.Array:
     return _lists([shingle_set(t) for t in text_bytes(batch)])
 
 
-def _prefixes(frequent):
-    @arrow_udf("struct<n: bigint, first: array<bigint>, bits: array<bigint>>")
+def _prefixes(tables):
+    @arrow_udf("struct<n: bigint, first: array<bigint>, pos: array<bigint>, bits: array<bigint>>")
     def run(text: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([text], ["text"])
-        sizes, firsts, bits = [], [], []
+        sizes, firsts, places, bits = [], [], [], []
         for t in text_bytes(batch):
             shingles = shingle_set(t)
+            first, place = prefix_of(shingles, tables.value)
             sizes.append(len(shingles))
-            firsts.append(prefix_of(shingles, frequent.value))
+            firsts.append(first)
+            places.append(place)
             bits.append(parities(shingles))
         return pa.StructArray.from_arrays(
-            [pa.array(sizes, pa.int64()), _lists(firsts), _lists(bits)], ["n", "first", "bits"]
+            [pa.array(sizes, pa.int64()), _lists(firsts), _lists(places), _lists(bits)], ["n", "first", "pos", "bits"]
         )
 
     return run
 
 
-def frequent_shingles(docs: DataFrame) -> np.ndarray:
-    """Shingles of at least ``FREQUENT`` texts of a sample of about ``SAMPLE_TEXTS``, sorted."""
-    parts = max(1, docs.count() // SAMPLE_TEXTS)
-    sample = docs.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == 0)
-    counts = sample.select(F.explode(_sets("text")).alias("shingle")).groupBy("shingle").count()
-    most = counts.where(F.col("count") >= FREQUENT).orderBy(F.desc("count"), "shingle").limit(MOST_FREQUENT)
-    return np.sort(np.array([r.shingle for r in most.select("shingle").collect()], np.int64))
+def shared_places(docs: DataFrame) -> DataFrame:
+    """``place, level`` of the shingles of two texts or more; the level is the power of two that their number reaches.
+
+    A task counts the shingles of a slice of texts and sends their places, by their groups, in one binary.
+    """
+    # words have two letters and a blank at least in most texts; the number only sets the size of a group
+    letters = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    bits = min(max((letters // 3 // GROUP).bit_length(), 4), 20)
+    down = np.uint64(44 - bits)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", SLICE):
+                sets = [shingle_set(t) for t in text_bytes(part)]
+                places, n = np.unique(place_of(np.concatenate([np.zeros(0, np.int64), *sets])), return_counts=True)
+                places = np.repeat(places, np.minimum(n, _REPEATS))
+                # sorted, so groups follow each other
+                group = (places >> down).astype(np.int64)
+                heads = np.flatnonzero(np.diff(group, prepend=-1))
+                cuts = [*heads.tolist(), len(places)]
+                low = (places & ((np.uint64(1) << down) - np.uint64(1))).astype(np.uint64)
+                low = low.view(np.uint8).reshape(-1, 8)[:, :_width(bits)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(group[heads]), pa.array([low[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())],
+                    ["part", "places"],
+                )
+
+    def merged(table: pa.Table) -> pa.Table:
+        own = np.frombuffer(b"".join(table.column("places").to_pylist()), np.uint8).reshape(-1, _width(bits))
+        whole = np.zeros((len(own), 8), np.uint8)
+        whole[:, : _width(bits)] = own
+        found, n = np.unique(whole.view(np.uint64).ravel(), return_counts=True)
+        found, n = found[n > 1], n[n > 1]
+        found |= np.uint64(table.column("part")[0].as_py()) << down
+        level = np.minimum(np.log2(n).astype(np.int64), LEVELS)
+        return pa.table({"place": pa.array(found.astype(np.int64)), "level": pa.array(level)})
+
+    sent = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(counted, "part bigint, places binary")
+    return sent.groupBy("part").applyInArrow(merged, "place bigint, level bigint")
+
+
+def _width(bits: int) -> int:
+    """Bytes of a place without its first bits."""
+    return -(-(44 - bits) // 8)
+
+
+def level_tables(docs: DataFrame) -> list[np.ndarray]:
+    """A bit table for each level that some shingle reaches, of the shingles that reach it."""
+    found = staged(shared_places(docs), "shared-places")
+    sizes = dict(found.groupBy("level").count().collect())
+    tables = []
+    for level in range(1, max(sizes, default=0) + 1):
+        n = sum(k for own, k in sizes.items() if own >= level)
+        bits = min(max((TABLE_BITS * n).bit_length(), 6), MOST_BITS)
+        place = F.col("place").bitwiseAND(F.lit((1 << bits) - 1))
+        tables.append(bit_table(found.where(F.col("level") >= level).select(place.alias("place")), bits))
+    return tables
 
 
 def with_prefixes(docs: DataFrame, name: str) -> DataFrame:
-    """Add a struct ``name``: the size ``n`` of each text's set, its ``first`` shingles and parity ``bits``."""
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs))
-    return docs.withColumn(name, _prefixes(frequent)("text"))
+    """Add a struct ``name``: the size ``n`` of each text's set, its ``first`` shingles, their ``pos`` and parity ``bits``."""
+    tables = docs.sparkSession.sparkContext.broadcast(level_tables(docs))
+    return docs.withColumn(name, _prefixes(tables)("text"))
 
 
 def of_rows(table: DataFrame, rows: DataFrame, how: str) -> DataFrame:
@@ -167,11 +241,12 @@ def alike_links(texts: DataFrame) -> DataFrame:
     Texts without words are alike.
     """
     entries = (
-        texts.select("row", F.col("prefix.n").alias("n"), F.posexplode("prefix.first").alias("pos", "key"))
+        texts.select("row", F.col("prefix.n").alias("n"), F.inline(F.arrays_zip("prefix.pos", F.col("prefix.first").alias("key"))))
         .select("key", F.struct("row", "n", "pos").alias("own"))
         .repartition("key")  # both sides of the join below read this one shuffle
     )
-    groups = entries.groupBy("key").agg(F.min("own").alias("first"), F.count("*").alias("texts"))
+    nearest = F.min_by("own", F.struct("own.pos", "own.row"))
+    groups = entries.groupBy("key").agg(nearest.alias("first"), F.count("*").alias("texts"))
     shared = staged(entries.join(groups.where("texts > 1"), "key"), "shared")
     own, first = F.col("own"), F.col("first")
     tested = staged(

@@ -767,12 +767,28 @@ def edited(seed):
     return [(i, " ".join(t)) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("frequent", [2, 8, 10**6])
-def test_keep_one_finds_all_edited_copies(spark, docs, texts, monkeypatch, frequent):
-    monkeypatch.setattr(shingles, "FREQUENT", frequent)
-    rows = edited(frequent)
+@pytest.mark.parametrize("levels,most_bits", [(12, 29), (1, 29), (12, 6)])
+def test_keep_one_finds_all_edited_copies(spark, docs, texts, monkeypatch, levels, most_bits):
+    # few levels or full tables give another order, and the same pairs
+    monkeypatch.setattr(shingles, "LEVELS", levels)
+    monkeypatch.setattr(shingles, "MOST_BITS", most_bits)
+    rows = edited(levels + most_bits)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     kept = sorted(r.doc_id for r in simhash.keep_one(df).collect())
     assert kept == near_expected(rows)
-    if frequent == 8:
+    if levels == 1:
         assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == near_expected(list(texts.items()))
+
+
+def test_levels_are_powers_of_two_of_the_counts(spark):
+    rows = [(i, " ".join([f"own{i}", *[f"of{k}" for k in (1, 2, 3, 4, 9, 33) if i < k]])) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    counts = Counter(h for _, t in rows for h in shingles.shingle_set(t.encode()).tolist())
+    keys = np.array(sorted(counts), np.int64)
+    exact = [counts[k].bit_length() - 1 for k in keys.tolist()]
+    found = {r.place: r.level for r in shingles.shared_places(df).collect()}
+    assert found == {p: n for p, n in zip(shingles.place_of(keys).tolist(), exact) if n}
+    # a table may know too much, never too little
+    got = shingles.levels_of(keys, shingles.level_tables(df)).tolist()
+    assert all(a >= b for a, b in zip(got, exact)) and sum(got) <= sum(exact) + len(keys) // 4
+    assert shingles.level_tables(df.limit(0)) == []
