@@ -15,8 +15,9 @@ from penprint.operators import metrics, reports
 from penprint.operators import vocabulary as vo
 from penprint.operators import wordvectors as wv
 from penprint.plans import grid, importance, kernels, models, score
-from penprint.session import staged
+from penprint.session import new_path, staged
 from penprint.settings import Settings
+from penprint.streaming import scoring
 
 SETTINGS = Settings(multiclass=True)
 
@@ -491,7 +492,7 @@ def threshold_predictions(spark, sf):
     return out
 
 
-@check(f"""WITH {_gaussian_sql(SPOKEN_MEANS, TWO_CLASS)},
+SCORED_SQL = f"""WITH {_gaussian_sql(SPOKEN_MEANS, TWO_CLASS)},
 bwords AS (
   SELECT item_id, unnest({q.lowered(q.no_stop_words(q.raw_tokens(q.clean('text', lex.COMPACT_RULES))))}) AS word FROM benchmark),
 bsums AS (
@@ -502,10 +503,26 @@ bmeans AS (SELECT item_id, dim, coalesce(value, 0) AS value
 blogs AS (
   SELECT item_id, class, any_value(prior) + sum(-0.5 * ln(2 * pi() * var) - (value - mu) * (value - mu) / (2 * var)) AS lp
   FROM bmeans JOIN stats USING (dim) JOIN priors USING (class) GROUP BY item_id, class)
-SELECT item_id, CAST(arg_max(class, lp) AS INTEGER) AS pred_model0 FROM blogs GROUP BY item_id""")
+SELECT item_id, CAST(arg_max(class, lp) AS INTEGER) AS pred_model0 FROM blogs GROUP BY item_id"""
+
+
+@check(SCORED_SQL)
 def score_new_texts_gaussian(spark, sf):
     """A Gaussian model fitted on the documents scores the benchmark texts: exact end to end."""
     features = _features(spark, sf, Settings(), kinds=("glove",))
     cells = grid.fit_grid(features, 2, ("gaussian",))
     scorer = score.Scorer(cells, features, word_vectors(spark, sf), DIMS)
     return scorer.score(table(spark, sf, "benchmark"), "item_id", "text")
+
+
+@check(SCORED_SQL)
+def stream_new_texts(spark, sf):
+    """The same model scores the benchmark texts as a stream of files, batch by batch."""
+    features = _features(spark, sf, Settings(), kinds=("glove",))
+    scorer = score.Scorer(grid.fit_grid(features, 2, ("gaussian",)), features, word_vectors(spark, sf), DIMS)
+    folder, output = new_path(spark, "arriving"), new_path(spark, "streamed")
+    texts = table(spark, sf, "benchmark").select("item_id", "text")
+    texts.repartition(3, "item_id").write.parquet(folder)
+    arriving = spark.readStream.schema(texts.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    scoring.score_batches(arriving, scorer, "item_id", "text", output, new_path(spark, "stream-state")).awaitTermination()
+    return spark.read.schema("item_id long, pred_model0 int, batch int").parquet(output).drop("batch")

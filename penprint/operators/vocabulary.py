@@ -175,7 +175,7 @@ def tfidf_entries(
     """``keep, term, tfidf`` for each term of a text that is in the vocabulary."""
     names = vocabulary_table(df, vocabulary_rows).select("idx", "term")
     entries = sparse_entries(model.transform(df), output, keep)
-    named = entries.join(F.broadcast(names), "idx")
+    named = entries.join(names, "idx")
     return named.select(*keep, "term", F.col("value").alias("tfidf"))
 
 
@@ -224,6 +224,6 @@ def class_term_gaps(
     return (
         sums.withColumn("rest", rest)
         .join(sizes, author)
-        .join(F.broadcast(names), "idx")
+        .join(names, "idx")
         .select(author, "term", gap.alias("gap"))
     )

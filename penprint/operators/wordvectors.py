@@ -119,10 +119,14 @@ def weighted_vectors(
     row cancels out in the mean. The idf comes from the texts of ``fit``, by
     default all; words that these do not hold have no weight.
     """
-    fit = df if fit is None else fit
-    documents = fit.agg(F.count("*").alias("n")).scalar()
-    table = staged(vectors.join(word_weights(fit, words, documents), "word"), "weighted-words")
-    known = known_counts(df, words, table, [key])
+    # the words of a text are counted once, for the weights and for the join
+    counted = staged(word_counts(df, words, [key]), "word-counts")
+    if fit is None:
+        documents = df.agg(F.count("*").alias("n")).scalar()
+        weights = counted.groupBy("word").agg(idf(documents, F.count("*")).alias("idf"))
+    else:
+        weights = word_weights(fit, words, fit.agg(F.count("*").alias("n")).scalar())
+    known = counted.join(staged(vectors.join(weights, "word"), "weighted-words"), "word")
     weighted = known.withColumn("weight", F.col("n") * F.col("n") * F.col("idf"))
     return _with_zero_rows(df, _pooled(weighted, key, dims, pool), key, dims)
 

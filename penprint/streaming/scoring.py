@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from penprint.functions import keys
 from penprint.functions import lexicon as lex
 from penprint.functions import text as tx
+from penprint.plans.score import Scorer
 
 
 def read_new_texts(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
@@ -44,3 +45,26 @@ def score_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def score_batches(
+    texts: DataFrame, scorer: Scorer, key: str, text: str, output: str, checkpoint: str
+) -> StreamingQuery:
+    """Score all texts present with any fitted models, word-vector features included, and stop.
+
+    Word vectors are looked up by a join with a static table, so each micro-batch is scored as a
+    table of its own. Its predictions have a folder by the number of the batch: a batch that is
+    repeated after a failure replaces what it wrote before.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        scored = scorer.score(batch, key, text).withColumn("batch", F.lit(number))
+        writer = scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("batch").parquet(output)
+
+    return (
+        texts.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
