@@ -14,7 +14,7 @@ from penprint.functions import lexicon as lex
 from penprint.operators import metrics, reports
 from penprint.operators import vocabulary as vo
 from penprint.operators import wordvectors as wv
-from penprint.plans import grid, importance, kernels, models, score
+from penprint.plans import gated, grid, importance, kernels, models, score
 from penprint.session import new_path, staged
 from penprint.settings import Settings
 from penprint.streaming import scoring
@@ -345,6 +345,27 @@ def mlp(spark, sf):
     return _invariants(_predict("lstm", features, dims))
 
 
+@check(INVARIANTS)
+def gated_unit(spark, sf):
+    """The gated network on the word vectors, ten epochs of mini-batches."""
+    estimator = gated.GatedUnit(len(CLASSES), "doc_id")
+    _, predictions = models.fit_and_predict(text_vectors(spark, sf), estimator, ["doc_id"])
+    return _invariants(predictions)
+
+
+@check(f"SELECT unnest(range(1, {gated.EPOCHS} + 1))::INTEGER AS epoch, true AS finite, true AS below_the_first")
+def gated_loss(spark, sf):
+    """Mean loss of each epoch of the gated network: it stays below that of the first."""
+    model = gated.GatedUnit(len(CLASSES), "doc_id").fit(text_vectors(spark, sf).where("is_train"))
+    losses = [(i, loss) for i, loss in enumerate(model.history, 1)]
+    rows = spark.createDataFrame(losses, "epoch int, loss double")
+    return rows.select(
+        "epoch",
+        (~F.isnan("loss") & (F.col("loss") < 100)).alias("finite"),
+        (F.col("loss") <= F.lit(model.history[0])).alias("below_the_first"),
+    )
+
+
 @check("SELECT true AS ordered, true AS falls, true AS finite")
 def training_loss(spark, sf):
     """Loss per iteration of the network on word vectors: it never rises, and falls."""

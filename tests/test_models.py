@@ -1,13 +1,18 @@
 """Models, the whole workflow, scoring and the stream."""
 
+import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from penprint.plans import grid, models, score, workflow
-from penprint.settings import Settings
+from penprint.operators import chunks
+from penprint.plans import gated, grid, importance, kernels, models, score, workflow
+from penprint.plans import sweep as one_sweep
+from penprint.settings import Settings, sweep
 from penprint.streaming import scoring
 
 AUTHORS = {
@@ -209,3 +214,96 @@ def test_score_new_texts(spark, run, tmp_path):
     assert scored == {"l.txt": 1, "c.txt": 0}
     with pytest.raises(ValueError):
         score.tfidf_scorer(result.features, cells["glove", "svm"])
+
+
+def blobs(spark, n=240, dims=4):
+    """Three classes around three points; ``chunk_id, label, is_train, features``."""
+    rng = np.random.default_rng(7)
+    middles = rng.normal(0, 2, (3, dims))
+    rows = [
+        (f"r{i}", float(i % 3), i % 5 != 0, Vectors.dense(middles[i % 3] + rng.normal(0, 0.5, dims))) for i in range(n)
+    ]
+    return spark.createDataFrame(rows, ["chunk_id", "label", "is_train", "features"]).repartition(3)
+
+
+def test_gradients_of_the_gated_unit():
+    rng = np.random.default_rng(0)
+    weights = gated.start_weights(3, 4, 3)
+    x, label = rng.normal(0, 1, (5, 3)), rng.integers(0, 3, 5)
+    grads, loss = gated.batch_gradients(weights, x, label)
+    for name, values in weights.items():
+        for place in np.ndindex(values.shape):
+            before, values[place] = values[place], values[place] + 1e-6
+            above = gated.batch_gradients(weights, x, label)[1]
+            values[place] = before
+            assert grads[name][place] == pytest.approx((above - loss) / 1e-6, abs=1e-4)
+
+
+def test_gated_unit_learns_and_predicts_as_its_weights_say(spark):
+    rows = blobs(spark)
+    model = gated.GatedUnit(3, "chunk_id", units=8, epochs=6).fit(rows.where("is_train"))
+    assert len(model.history) == 6 and model.history[-1] < 0.5 * model.history[0]
+    scored = model.transform(rows.where("NOT is_train"))
+    assert scored.columns == [*rows.columns, "probability", "prediction"]
+    for r in scored.collect():
+        raw = np.append(r["features"].toArray(), 1) @ model.weights["gates"]
+        a, b, c = raw[:8], raw[8:16], raw[16:]
+        state = np.tanh(np.tanh(b) / (1 + np.exp(-a))) / (1 + np.exp(-c))
+        logits = np.append(state, 1) @ model.weights["classes"]
+        share = np.exp(logits - logits.max()) / np.exp(logits - logits.max()).sum()
+        assert r["probability"].toArray() == pytest.approx(share) and r["prediction"] == share.argmax()
+    right = scored.where("label = prediction").count() / scored.count()
+    assert right > 0.9
+
+
+def test_kernel_map_and_machine(spark):
+    rows = blobs(spark)
+    train = rows.where("is_train")
+    points, gamma = kernels.landmarks(train, "chunk_id", 12), kernels.scale_gamma(train)
+    values = np.array([r["features"].toArray() for r in train.collect()])
+    assert gamma == pytest.approx(1 / (values.shape[1] * values.var())) and points.shape == (12, 4)
+    after = kernels.whitening(points, gamma, 0.1)
+    mapped = kernels.KernelMap(points, gamma, 0.1, "features", "k", after).transform(rows)
+    for r in mapped.collect():
+        own = np.tanh(gamma * points @ r["features"].toArray() + 0.1)
+        assert r["k"].toArray() == pytest.approx(after @ own, rel=1e-6, abs=1e-6)
+    _, scored = models.fit_and_predict(rows, kernels.kernel_svm(3, count=12), ["chunk_id"])
+    assert scored.columns == ["chunk_id", "label", "prediction", "probability"]
+    assert scored.where("label = prediction").count() / scored.count() > 0.9
+
+
+def test_importance_by_hand(spark):
+    rows = blobs(spark)
+    model = models.gaussian(4, 3).fit(rows.where("is_train"))
+    test = rows.where("NOT is_train")
+    got = {r["feature"]: r for r in importance.permutation_importance(model, test, "chunk_id", [0, 2]).collect()}
+    own = sorted(test.collect(), key=lambda r: hashlib.md5(f"42|{r['chunk_id']}".encode()).hexdigest())
+    for feature in (0, 2):
+        changed = []
+        for r, other in zip(own, own[1:] + own[:1]):
+            x = r["features"].toArray().copy()
+            x[feature] = other["features"][feature]
+            changed.append((r["label"], Vectors.dense(x)))
+        scored = model.transform(spark.createDataFrame(changed, ["label", "features"]))
+        assert got[feature]["permuted"] == pytest.approx(scored.where("label = prediction").count() / len(own))
+        assert got[feature]["importance"] == pytest.approx(got[feature]["accuracy"] - got[feature]["permuted"])
+    none = importance.permutation_importance(model, test.limit(0), "chunk_id", [0])
+    assert none.collect() == []
+
+
+def test_sweep_in_one_fit_equals_fitted_models(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text")
+    vectors = spark.createDataFrame([("the", [1.0, 0.2]), ("der", [-1.0, 0.4]), ("la", [0.1, 2.0])], "word string, vec array<float>")
+    runs = {k: v for k, v in sweep().items() if k in ("length_100", "multiclass")}
+    classes = {"de": 0, "en": 1, "es": 2, "fr": 3}
+    table = one_sweep.sweep_metrics(docs, vectors, 2, "doc_id", "lang", runs, classes, "fr", max_features=50)
+    got = {(r["settings_id"], r["embedding_type"]): (r["accuracy"], r["precision"], r["recall"], r["f1-score"]) for r in table.collect()}
+    assert len(got) == 6
+    for name, s in runs.items():
+        pieces = chunks.prepare_chunks(docs, s, "text", ["doc_id", "lang"]).where("text != ''")
+        pieces = pieces.withColumn("chunk_id", F.concat_ws("/", "doc_id", "chunk"))
+        features = grid.make_features(grid.labelled(pieces, s, "lang", classes, "fr"), vectors, 2, s, max_features=50)
+        cells = grid.fit_grid(features, 4 if s.multiclass else 2, ("gaussian",))
+        for r in grid.metrics_table(cells, s).collect():
+            expected = (r["accuracy"], r["precision"], r["recall"], r["f1-score"])
+            assert got[name, r["embedding_type"]] == pytest.approx(expected, abs=0.02)
