@@ -232,18 +232,27 @@ def metrics_table(spark, sf):
 
 
 @check(f"""WITH {GAUSSIAN},
-places AS (
-  SELECT doc_id, row_number() OVER (ORDER BY md5('42|' || doc_id)) - 1 AS place FROM predicted),
-nexts AS (
+moments AS MATERIALIZED (SELECT * FROM stats),
+tested AS MATERIALIZED (SELECT doc_id, label, dim, value FROM data WHERE NOT is_train),
+places AS MATERIALIZED (
+  SELECT doc_id, row_number() OVER (ORDER BY md5('42|' || doc_id)) - 1 AS place FROM tested WHERE dim = 0),
+nexts AS MATERIALIZED (
   SELECT a.doc_id, b.doc_id AS other FROM places a JOIN places b ON b.place = (a.place + 1) % (SELECT count(*) FROM places)),
-densities AS (
-  SELECT d.doc_id, d.dim, class, -0.5 * ln(2 * pi() * var) - (o.value - mu) * (o.value - mu) / (2 * var)
-    + 0.5 * ln(2 * pi() * var) + (d.value - mu) * (d.value - mu) / (2 * var) AS change
-  FROM data d JOIN nexts USING (doc_id) JOIN data o ON o.doc_id = nexts.other AND o.dim = d.dim JOIN stats ON stats.dim = d.dim),
+densities AS MATERIALIZED (
+  SELECT doc_id, label, dim, class, value, -0.5 * ln(2 * pi() * var) - (value - mu) * (value - mu) / (2 * var) AS density
+  FROM tested JOIN moments USING (dim)),
+odds AS MATERIALIZED (
+  SELECT doc_id, class, any_value(label) AS label, any_value(prior) + sum(density) AS lp
+  FROM densities JOIN priors USING (class) GROUP BY doc_id, class),
+exchanged AS MATERIALIZED (
+  SELECT nexts.doc_id, d.dim, d.class, d.density FROM nexts JOIN densities d ON d.doc_id = nexts.other),
 permuted AS (
-  SELECT s.doc_id, dim, any_value(label) AS label, arg_max(s.class, lp + change) AS prediction
-  FROM densities s JOIN logs l ON l.doc_id = s.doc_id AND l.class = s.class GROUP BY s.doc_id, dim),
-whole AS (SELECT avg((label = prediction)::INTEGER) AS accuracy FROM predicted)
+  SELECT e.doc_id, e.dim, any_value(o.label) AS label, arg_max(e.class, lp - d.density + e.density) AS prediction
+  FROM exchanged e JOIN densities d ON d.doc_id = e.doc_id AND d.dim = e.dim AND d.class = e.class
+  JOIN odds o ON o.doc_id = e.doc_id AND o.class = e.class GROUP BY e.doc_id, e.dim),
+whole AS (
+  SELECT avg((label = prediction)::INTEGER) AS accuracy
+  FROM (SELECT any_value(label) AS label, arg_max(class, lp) AS prediction FROM odds GROUP BY doc_id))
 SELECT dim::INTEGER AS feature, round(any_value(accuracy), 6) AS accuracy, round(avg((label = prediction)::INTEGER), 6) AS permuted,
   round(any_value(accuracy) - avg((label = prediction)::INTEGER), 6) + 0.0 AS importance
 FROM permuted, whole GROUP BY dim""")
@@ -261,13 +270,14 @@ KERNEL_LANDMARKS = 16
 
 
 @check(f"""WITH {q.MEANS},
-data AS (SELECT doc_id, dim, value, {q.bucket('doc_id', '100')} < 80 AS is_train FROM means),
-points AS (
+data AS MATERIALIZED (SELECT doc_id, dim, value, {q.bucket('doc_id', '100')} < 80 AS is_train FROM means),
+points AS MATERIALIZED (
   SELECT doc_id AS point, row_number() OVER (ORDER BY md5('42|' || doc_id)) - 1 AS landmark
   FROM (SELECT DISTINCT doc_id FROM data WHERE is_train) ORDER BY md5('42|' || doc_id) LIMIT {KERNEL_LANDMARKS}),
-gamma AS (SELECT 1 / ({DIMS} * var_pop(value)) AS g FROM data WHERE is_train)
-SELECT x.doc_id, landmark, round(tanh(any_value(g) * sum(x.value * z.value)), 6) + 0.0 AS value
-FROM data x JOIN data z USING (dim) JOIN points ON z.doc_id = point, gamma GROUP BY x.doc_id, landmark""")
+gamma AS (SELECT 1 / ({DIMS} * var_pop(value)) AS g FROM data WHERE is_train),
+marks AS MATERIALIZED (SELECT landmark, dim, value FROM data JOIN points ON doc_id = point)
+SELECT doc_id, landmark, round(tanh(any_value(g) * sum(data.value * marks.value)), 6) + 0.0 AS value
+FROM data JOIN marks USING (dim), gamma GROUP BY doc_id, landmark""")
 def svm_kernel_features(spark, sf):
     """The sigmoid kernel of every text with the landmarks."""
     features = text_vectors(spark, sf)
