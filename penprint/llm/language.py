@@ -6,9 +6,12 @@ products of their probabilities; a forward pass over its letters gives it. A tex
 probability is that of its words, and the share of the languages in the training rows is
 the prior. Expectation maximisation fits the probabilities.
 
+A letter outside the vocabulary has the same small share in all languages, so such letters
+do not decide between them. Sums are rescaled on the way, so a word may be of any length.
+
 Fitting reads a bounded sample: about ``TRAIN_ROWS`` rows over all languages, evenly,
-chosen by a hash of the id. Prediction reads every text where it lies, whole; words met
-before in a task are looked up.
+chosen by a hash of the id, of which the tasks send the counts of words of up to ``STRETCH``
+letters. Prediction reads every text where it lies, whole; words met before in a task are looked up.
 """
 
 from __future__ import annotations
@@ -28,13 +31,17 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 TRAIN_ROWS = 6_000
 ROUNDS = 3
 SMOOTH = 0.05
-# a run of letters that is longer is scored in stretches of this length
+# share of all letters outside the vocabulary
+UNKNOWN_SHARE = 1e-7
+# longer words are not learned, and are scored one by one
 STRETCH = 48
+# letters after which sums are rescaled
+_RESCALE = 8
 MARK = "▁"
 UNKNOWN = "und"
 _KEPT_WORDS = 400_000
 _BLOCK_WORDS = 50_000
-_LETTERS = re.compile(rf"[^\W\d_]{{1,{STRETCH}}}")
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def load_pieces(path: str = PIECES) -> dict[str, int]:
@@ -102,6 +109,41 @@ def backward(lattice: Lattice, table: np.ndarray) -> np.ndarray:
     return out
 
 
+def word_logs(lattice: Lattice, table: np.ndarray) -> np.ndarray:
+    """Log probability of each word (rows) by language."""
+    out = np.zeros((lattice.length + 1, len(lattice.number), table.shape[1]))
+    logs, scaled = np.zeros(out.shape[1:]), 0
+    out[0] = 1
+    for i, j, number in lattice.steps():
+        if i >= scaled + _RESCALE:
+            # nothing reaches further than the widest piece yet
+            scaled, factor = i, out[i].copy()
+            out[i : i + lattice.widest] /= factor
+            logs += np.log(factor)
+        out[j] += out[i] * table[number]
+    return logs + np.log(out[-1])
+
+
+def long_word_log(word: str, pieces: dict[str, int], longest: int, table: np.ndarray) -> np.ndarray:
+    """Log probability of one word by language, with no more kept than the widest piece needs."""
+    marked, get = MARK + word, pieces.get
+    size, logs = longest + 1, np.zeros(table.shape[1])
+    ring = np.zeros((size, table.shape[1]))
+    ring[0] = 1
+    for i in range(len(marked)):
+        here = ring[i % size].copy()
+        if i % _RESCALE == 0:
+            logs += np.log(here)
+            ring /= here
+            here[:] = 1
+        ring[i % size] = 0
+        for j in range(i + 1, min(i + longest, len(marked)) + 1):
+            number = get(marked[i:j], 0 if j == i + 1 else -1)
+            if number >= 0:
+                ring[j % size] += here * table[number]
+    return logs + np.log(ring[len(marked) % size])
+
+
 def by_length(words: list[str]) -> Iterator[list[str]]:
     for _, same in groupby(sorted(words, key=len), key=len):
         same = list(same)
@@ -128,7 +170,10 @@ def fit(counts: dict[str, Counter], pieces: dict[str, int], rounds: int = ROUNDS
                     expected += np.bincount(number, weight, size + 1)[:size] if number.min() >= 0 else np.bincount(
                         number[number >= 0], weight[number >= 0], size
                     )
-            own = expected / expected.sum()
+            # all letters that no piece has count as little in every language
+            expected[0] = 0
+            own = expected / expected.sum() * (1 - UNKNOWN_SHARE)
+            own[0] = UNKNOWN_SHARE
         table[:size, column] = own
     return table
 
@@ -149,11 +194,16 @@ class Scorer:
         fresh = list({w for own in words for w in own} - self.place.keys())
         parts = [self.logs]
         known = len(self.place)
-        for block in by_length(fresh):
-            parts.append(np.log(forward(Lattice(block, self.pieces, self.longest), self.table)[-1]))
+        for block in by_length([w for w in fresh if len(w) <= STRETCH]):
+            parts.append(word_logs(Lattice(block, self.pieces, self.longest), self.table))
             for w in block:
                 self.place[w] = known
                 known += 1
+        for w in fresh:
+            if len(w) > STRETCH:
+                parts.append(long_word_log(w, self.pieces, self.longest, self.table)[None])
+                self.place[w] = known
+                known += 1
         if len(parts) > 1:
             self.logs = np.concatenate(parts)
         get = self.place.__getitem__
@@ -164,12 +214,33 @@ class Scorer:
         return out
 
 
-def sample_words(rows: list[tuple[str, str]]) -> dict[str, Counter]:
-    """Word counts by language of (language, text) rows, languages in order."""
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts: Counter = Counter()
+
+    def rows():
+        langs, words = zip(*counts)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(list(counts.values()), pa.int64())],
+            ["lang", "word", "n"],
+        )
+
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            counts.update((lang, w) for w in letter_words(text) if len(w) <= STRETCH)
+            if len(counts) > _KEPT_WORDS:
+                yield rows()
+                counts.clear()
+    if counts:
+        yield rows()
+
+
+def sample_words(rows: DataFrame) -> dict[str, Counter]:
+    """Word counts by language of rows with ``lang`` and ``text``; languages and words in order."""
+    part = rows.select("lang", "text").mapInArrow(_count_words, "lang string, word string, n bigint")
     counts: dict[str, Counter] = {}
-    for lang, text in rows:
-        counts.setdefault(lang, Counter()).update(letter_words(text))
-    return {lang: counts[lang] for lang in sorted(counts)}
+    for lang, word, n in sorted(map(tuple, part.groupBy("lang", "word").agg(F.sum("n").alias("n")).collect())):
+        counts.setdefault(lang, Counter())[word] = n
+    return counts
 
 
 def train(docs: DataFrame, use: Column, pieces: dict[str, int], train_rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -183,9 +254,7 @@ def train(docs: DataFrame, use: Column, pieces: dict[str, int], train_rows: int
     for lang, n in shares.items():
         least = F.when(F.col("lang") == lang, F.lit(int((1 << 30) * min(1.0, each / n)))).otherwise(least)
     draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(0)), F.lit(11)), F.lit(1 << 30))
-    rows = own.where(draw < least).select("lang", "text").collect()
-    counts = sample_words([(r.lang, r.text) for r in rows])
-    counts = {lang: words for lang, words in counts.items() if words}
+    counts = sample_words(own.where(draw < least))
     langs = list(counts)
     logs = np.log(np.array([shares[x] for x in langs]) / sum(shares.values())) if langs else np.zeros(0)
     return langs, logs, fit(counts, pieces)

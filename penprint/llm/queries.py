@@ -173,7 +173,7 @@ FROM placed WHERE start < quota
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     history = warc.archive(table(spark, folder, "pages"))
     return history.select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured"
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "capture_order"
     )
 
 

@@ -149,7 +149,7 @@ def parse_records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
         lines = data[at:end].decode().split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError(f"no record at {at}")
-        headers = dict(line.split(": ", 1) for line in lines[1:])
+        headers = {k.strip(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
         start = end + 4
         stop = start + int(headers["Content-Length"])
         if data[stop : stop + 4] != b"\r\n\r\n":
@@ -158,17 +158,34 @@ def parse_records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
         at = stop + 4
 
 
+def inflated(raw: bytes) -> bytes:
+    """The records of an archive that is plain or has any number of gzip members."""
+    if not raw.startswith(b"\x1f\x8b"):
+        return raw
+    parts = []
+    while raw:
+        member = zlib.decompressobj(31)
+        parts += [member.decompress(raw), member.flush()]
+        if not member.eof:
+            raise ValueError("a gzip member has no end")
+        # anything but another member is padding
+        raw = member.unused_data if member.unused_data.startswith(b"\x1f\x8b") else b""
+    return b"".join(parts)
+
+
 def _capture(file: str, at: int, headers: dict[str, str], block: bytes) -> tuple:
     head, _, payload = block.partition(b"\r\n\r\n")
-    digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
+    digest = headers.get("WARC-Payload-Digest", "")
+    digest = digest.removeprefix("sha256:") if digest.startswith("sha256:") else None
     kind = headers["WARC-Type"]
     if kind == "response":
         found = hashlib.sha256(payload).hexdigest()
-        if found != digest:
+        if digest is not None and found != digest:
             raise ValueError(f"{file} at {at}: payload does not match its digest")
-        size = len(payload)
+        size, digest = len(payload), found
     else:
-        size = int(re.search(rb"Content-Length: (\d+)", head)[1])
+        length = re.search(rb"(?i)Content-Length: *(\d+)", head)
+        size = int(length[1]) if length else None
     page, first, url = headers.get("WARC-Page"), headers.get("WARC-Refers-To-Page"), headers.get("WARC-Target-URI")
     return (
         int(page) if page is not None else None, url, url_key(url), headers["WARC-Date"], kind,
@@ -186,9 +203,9 @@ def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column(0), batch.column(1)):
             file = path.as_py().rsplit("/", 1)[-1]
-            raw = content.as_py()
-            data = zlib.decompress(raw, 47) if raw else b""
-            run = [_capture(file, *record) for record in parse_records(data)]
+            # archives of other writers hold further kinds of records
+            found = parse_records(inflated(content.as_py()))
+            run = [_capture(file, *record) for record in found if record[1]["WARC-Type"] in ("response", "revisit")]
             run.sort(key=lambda row: order_of(row, places))
             if run:
                 yield pa.RecordBatch.from_arrays(
@@ -197,7 +214,11 @@ def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The captures in all archives of a folder; those of one file are a sorted run."""
+    """The captures in all archives of a folder; those of one file are a sorted run.
+
+    Archives may be plain or compressed, by record or as a whole. Records that are no
+    captures are left out. Digests are SHA-256; a revisit with another kind of digest has none.
+    """
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(_read_files, _CAPTURE_DDL)
 

@@ -287,6 +287,52 @@ def test_forward_sums_all_segmentations():
         assert language.backward(lattice, table)[0][0] == pytest.approx(expected)
 
 
+def segmentations(word, pieces):
+    marked = "▁" + word
+    for cuts in itertools.product([0, 1], repeat=len(marked) - 1):
+        edges = [0, *[i + 1 for i, c in enumerate(cuts) if c], len(marked)]
+        numbers = [pieces.get(marked[a:b], 0 if b == a + 1 else -1) for a, b in zip(edges, edges[1:])]
+        if min(numbers) >= 0:
+            yield numbers
+
+
+def test_language_fit_and_score_by_all_segmentations():
+    pieces = {"▁": 1, "▁a": 2, "ab": 3, "b": 4, "a": 5, "▁ab": 6, "ba": 7}
+    counts = {"x": Counter({"abab": 3, "b": 2, "ac": 1}), "y": Counter({"ba": 4, "bab": 1})}
+    got = language.fit(counts, pieces, rounds=2)
+    for column, words in enumerate(counts.values()):
+        own = np.full(8, 1 / 8)
+        for _ in range(2):
+            expected = np.full(8, language.SMOOTH)
+            for word, n in words.items():
+                ways = list(segmentations(word, pieces))
+                chances = np.array([np.prod(own[way]) for way in ways])
+                for way, chance in zip(ways, chances / chances.sum()):
+                    np.add.at(expected, way, n * chance)
+            expected[0] = 0
+            own = expected / expected.sum() * (1 - language.UNKNOWN_SHARE)
+            own[0] = language.UNKNOWN_SHARE
+        assert got[:8, column] == pytest.approx(own)
+    scorer = language.Scorer(pieces, got)
+    texts = [["abab", "cab"], [], ["b", "b", "abcba"]]
+    expected = [[sum(np.log(sum(np.prod(got[way, k]) for way in segmentations(w, pieces))) for w in t) for k in (0, 1)] for t in texts]
+    assert scorer.texts(texts) == pytest.approx(np.array(expected, float))
+
+
+def test_language_of_long_and_unknown_words():
+    pieces = {"▁": 1, "▁a": 2, "ab": 3, "b": 4, "a": 5, "▁ab": 6, "ba": 7}
+    table = language.fit({"x": Counter({"abab": 3}), "y": Counter({"ba": 4, "bab": 1})}, pieces)
+    for word in ("a", "abcab" * 3, "ab" * 20):
+        whole = language.word_logs(language.Lattice([word], pieces, 3), table)[0]
+        assert language.long_word_log(word, pieces, 3, table) == pytest.approx(whole)
+    scorer = language.Scorer(pieces, table)
+    unknown, mixed, plain = scorer.texts([["ж" * 10_000], ["ababab", "ж" * 46, "漢字" * 500], ["ababab"]])
+    assert np.isfinite([unknown, mixed, plain]).all()
+    # letters that no language knows tell nothing: what is left is the mark of each word
+    mark = scorer.texts([["ж"]])[0]
+    assert mixed - plain == pytest.approx(2 * mark + np.log(language.UNKNOWN_SHARE) * (46 + 1000 - 2))
+
+
 def test_language_held_out(spark, docs, sf):
     got = queries.op4_language(spark, sf).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert sum(r.lang_pred == r.lang for r in got) / len(got) > 0.95
@@ -606,6 +652,28 @@ def test_warc_files_are_archives(spark):
         assert len(list(own)) <= 2
 
 
+def test_archives_of_other_writers(spark, tmp_path):
+    import gzip
+
+    def record(kind, body, **more):
+        head = [f"WARC-Type:{kind}", "WARC-Record-ID: <urn:uuid:1>", "WARC-Date: 2020-01-01T00:00:00Z"]
+        head += [f"{k.replace('_', '-')}: {v}" for k, v in more.items()] + [f"Content-Length: {len(body)}"]
+        return ("WARC/1.0\r\n" + "\r\n".join(head) + "\r\n\r\n").encode() + body + b"\r\n\r\n"
+
+    answer = b"HTTP/1.1 200 OK\r\nContent-Length: 2\r\n\r\nhi"
+    own = [record("warcinfo", b"x: y"), *[record("response", answer, WARC_Target_URI=f"http://a.org/{i}") for i in range(3)]]
+    own.append(record("revisit", b"HTTP/1.1 200 OK\r\n\r\n", WARC_Payload_Digest="sha1:ABC"))
+    (tmp_path / "members.warc.gz").write_bytes(b"".join(map(gzip.compress, own)))
+    (tmp_path / "one.warc.gz").write_bytes(gzip.compress(b"".join(own)))
+    (tmp_path / "plain.warc").write_bytes(b"".join(own))
+    (tmp_path / "empty.warc").write_bytes(b"")
+    got = Counter((r.file, r.record_type) for r in warc.read_archives(spark, str(tmp_path)).collect())
+    names = ("members.warc.gz", "one.warc.gz", "plain.warc")
+    assert got == {**{(n, "response"): 3 for n in names}, **{(n, "revisit"): 1 for n in names}}
+    with pytest.raises(ValueError):
+        warc.inflated(gzip.compress(b"x" * 100)[:-9])
+
+
 @pytest.mark.parametrize("k", [0, 1, 2, 3, 7, 16])
 def test_loser_tree(k):
     rng = random.Random(k)
@@ -704,7 +772,7 @@ def test_fm_index():
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_same_rows_as_sql(spark, sf, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels", "benchmark"):
+    for t in ("documents", "pages", "labels", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     result = con.execute(queries.SQL[name])
     columns = [c[0] for c in result.description]
