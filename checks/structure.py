@@ -15,7 +15,7 @@ ROMAN = "I II III IV V VI VII VIII IX X XI XII XIII XIV XV XVI XVII XVIII XIX XX
 
 # how the headers of each kind of book look; the kind is the language
 PATTERNS = (
-    ("en", r"^(PART|CHAPTER) \w+\n\n{00}"),
+    ("en", r"^~ \w+ \w+ ~\n{00}"),
     ("fr", r"^=+ \d+ =+\n{00}\n"),
     ("es", r"{00}"),
 )
@@ -46,8 +46,8 @@ def raw_books(spark, sf):
         return F.concat(part, F.lit("CHAPTER "), number(i), F.lit(". "), t, F.lit(" 12\n"))
 
     def body_en(x, i):
-        part = F.when(i == F.col("half"), F.lit("PART II\n\nThe Close\n\n")).otherwise(F.lit(""))
-        head = F.concat(part, F.lit("CHAPTER "), number(i), F.lit("\n\n"), F.get("titles", i))
+        part = F.when(i == F.col("half"), F.lit("~ Part Two ~\nThe Close\n\n")).otherwise(F.lit(""))
+        head = F.concat(part, F.lit("~ Chapter "), number(i), F.lit(" ~\n"), F.get("titles", i))
         return F.concat(head, F.lit("\n"), x, F.lit("\n\n"))
 
     def toc_fr(t, i):
@@ -71,7 +71,7 @@ def raw_books(spark, sf):
                 F.lit("Contents\n\nPART I. The Opening\n"),
                 join(F.transform("titles", toc_en)),
                 gap,
-                F.lit("PART I\n\nThe Opening\n\n"),
+                F.lit("~ Part One ~\nThe Opening\n\n"),
                 join(F.transform("lines", body_en)),
             ),
         )
@@ -125,10 +125,10 @@ content AS (
       || array_to_string(list_transform(t, lambda x, i:
            CASE WHEN i - 1 = half THEN 'PART II. The Close' || {_NL} ELSE '' END
            || 'CHAPTER ' || {_ROMAN}[(i - 1) % 20 + 1] || '. ' || x || ' 12' || {_NL}), '')
-      || repeat({_NL}, 5) || 'PART I' || repeat({_NL}, 2) || 'The Opening' || repeat({_NL}, 2)
+      || repeat({_NL}, 5) || '~ Part One ~' || {_NL} || 'The Opening' || repeat({_NL}, 2)
       || array_to_string(list_transform(l, lambda x, i:
-           CASE WHEN i - 1 = half THEN 'PART II' || repeat({_NL}, 2) || 'The Close' || repeat({_NL}, 2) ELSE '' END
-           || 'CHAPTER ' || {_ROMAN}[(i - 1) % 20 + 1] || repeat({_NL}, 2) || t[i] || {_NL} || x || repeat({_NL}, 2)), '')
+           CASE WHEN i - 1 = half THEN '~ Part Two ~' || {_NL} || 'The Close' || repeat({_NL}, 2) ELSE '' END
+           || '~ Chapter ' || {_ROMAN}[(i - 1) % 20 + 1] || ' ~' || {_NL} || t[i] || {_NL} || x || repeat({_NL}, 2)), '')
     WHEN 'fr' THEN 'CONTENTS' || {_NL}
       || array_to_string(list_transform(t, lambda x, i: CAST(i AS VARCHAR) || '. ' || x || {_NL}), '')
       || repeat({_NL}, 5)

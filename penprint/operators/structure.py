@@ -330,6 +330,7 @@ def section_dump(
 
     Made inside the row of the book; ``prepare`` is applied to each chapter.
     """
+    # fixed values: the frame of a chapter in the dump, which readers of it rely on
     pad = "-" * 25
 
     def line(before, name):
