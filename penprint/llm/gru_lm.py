@@ -9,7 +9,8 @@ So probabilities sum to one over all training words and the unknown ones.
 
 Training is truncated backpropagation: a window of words at a time, with the state
 carried on to the next window of the same text. Scoring carries the state in the
-same way, so a text is scored whole, whatever its length.
+same way, so a text is scored whole, whatever its length. Texts are turned into codes
+once, and training and scoring read these.
 
 All training texts are read: word counts come from a shuffle, and the network is
 trained in rounds. In a round each task trains on its own texts from the common
@@ -46,6 +47,7 @@ SCORE_LANES = 1024
 SCORE_WINDOW = 32
 TRAIN_DOCS = 4096
 SCORE_BYTES = 32 << 20
+ENCODE_BYTES = 1 << 20
 RATE = 0.01
 # share of the training texts, in eighths, that each round reads; together all of them
 ROUNDS = (1, 3, 4)
@@ -238,25 +240,28 @@ def _with_one(states: np.ndarray) -> np.ndarray:
     return np.concatenate([states, np.ones((len(states), 1), np.float32)], 1)
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(1, keepdims=True))
+def _exps(logits: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Exponentials of the rows up to a factor, in place, their sums, and the log share of one column of each row."""
+    logits -= logits.max(1, keepdims=True)
+    own = logits[np.arange(len(logits)), column]
+    np.exp(logits, out=logits)
+    sums = logits.sum(1)
+    return logits, sums, own - np.log(sums)
 
 
 def word_log_probs(weights: dict, states: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log of P(class) * P(learned word | class) for each state and its target code."""
     one = _with_one(states)
-    rows = np.arange(len(target))
-    out = _log_softmax(one @ weights["classes"])[rows, _CLASS[target]].astype(np.float64)
+    out = _exps(one @ weights["classes"], _CLASS[target])[2].astype(np.float64)
     for k, at in _by_class(target):
-        out[at] += _log_softmax(one[at] @ weights["words"][k])[np.arange(len(at)), target[at] % CLASS_WORDS]
+        out[at] += _exps(one[at] @ weights["words"][k], target[at] % CLASS_WORDS)[2]
     return out
 
 
 def _by_class(target: np.ndarray):
     """Rows whose target is a learned word, class by class."""
     at = np.flatnonzero(target < LEARNED)
-    classes = target[at] // CLASS_WORDS
+    classes = (target[at] // CLASS_WORDS).astype(np.int16)
     order = np.argsort(classes, kind="stable")
     at, classes = at[order], classes[order]
     edges = np.searchsorted(classes, np.arange(_WORD_CLASSES + 1))
@@ -276,22 +281,19 @@ def gradients(weights: dict, state, read, target, live, keep):
     one = _with_one(flat[use])
     scale = np.float32(1 / max(len(use), 1))
     out = {k: np.zeros_like(v) for k, v in weights.items()}
-    log_p = _log_softmax(one @ weights["classes"])
-    rows = np.arange(len(use))
-    loss = -log_p[rows, _CLASS[goal]].sum(dtype=np.float64)
-    error = np.exp(log_p)
-    error[rows, _CLASS[goal]] -= 1
-    error *= scale
+    error, sums, log_p = _exps(one @ weights["classes"], _CLASS[goal])
+    loss = -log_p.sum(dtype=np.float64)
+    error *= (scale / sums)[:, None]
+    error[np.arange(len(use)), _CLASS[goal]] -= scale
     out["classes"] = one.T @ error
     back = error @ weights["classes"][:-1].T
     for k, at in _by_class(goal):
-        log_p = _log_softmax(one[at] @ weights["words"][k])
-        inside = np.arange(len(at))
-        loss -= log_p[inside, goal[at] % CLASS_WORDS].sum(dtype=np.float64)
-        error = np.exp(log_p)
-        error[inside, goal[at] % CLASS_WORDS] -= 1
-        error *= scale
-        out["words"][k] = one[at].T @ error
+        own, column = one[at], goal[at] % CLASS_WORDS
+        error, sums, log_p = _exps(own @ weights["words"][k], column)
+        loss -= log_p.sum(dtype=np.float64)
+        error *= (scale / sums)[:, None]
+        error[np.arange(len(at)), column] -= scale
+        out["words"][k] = own.T @ error
         back[at] += error @ weights["words"][k][:-1].T
     to_state = np.zeros((steps * lanes, hidden), np.float32)
     to_state[use] = back
@@ -312,7 +314,8 @@ def gradients(weights: dict, state, read, target, live, keep):
         out["carry"] += before.T @ d_u
         carried = (g * update + d_u @ weights["carry"].T) * keep[t]
     words = read.reshape(-1)
-    order = np.argsort(words, kind="stable")
+    # codes are small, and short integers are sorted in linear time
+    order = np.argsort(words.astype(np.int16), kind="stable")
     ordered = words[order]
     starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
     out["gates"][ordered[starts]] = np.add.reduceat(at_gates.reshape(-1, 3 * hidden)[order], starts)
@@ -392,16 +395,28 @@ def windows(codes: list[np.ndarray], width: int):
 
 
 def encoder(vocab: Vocabulary):
-    """Function from the words of a text to head numbers (-1: not in the head) and codes."""
-    get, shape, code = vocab.head.get, vocab.shape, vocab.code
-
-    def encode(words: list[bytes]):
-        numbers = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
+    """Function from the words of texts that follow each other to head numbers (-1: not in the head), codes, and places of rare words."""
+    get, code = vocab.head.get, vocab.code
+    shapes: dict[bytes, int] = {}
+
+    def shape(word: bytes) -> int:
+        # words of equal last bytes end alike, unless they are all marks
+        last = word[-4:]
+        found = shapes.get(last)
+        if found is None:
+            found = vocab.shape(word)
+            if len(word) > 4 and last.rstrip(_MARKS)[1:] and len(shapes) < _MOST_COUNTED:
+                shapes[last] = found
+        return found
+
+    def encode(words: list[bytes], ends: np.ndarray):
+        numbers = np.fromiter(map(get, words, repeat(-1)), np.int32, len(words))
         codes = code[numbers] if len(code) else np.zeros(len(words), np.int32)
-        rare = np.flatnonzero(numbers < 0)[:-1]  # the last is the end
-        for i in rare.tolist():
-            codes[i] = LEARNED + shape(words[i])
-        codes[-1] = _ENDING
+        unknown = numbers < 0
+        unknown[ends] = False
+        rare = np.flatnonzero(unknown)
+        codes[rare] = [LEARNED + shape(words[i]) for i in rare.tolist()]
+        codes[ends] = _ENDING
         return numbers, codes, rare
 
     return encode
@@ -414,12 +429,72 @@ def grouped(lengths: np.ndarray) -> Iterator[np.ndarray]:
         yield order[i : i + SCORE_LANES]
 
 
-def _train_task(vocab, weights):
+_ENCODED = (
+    "row long, doc_id long, held_out boolean, n_tokens long, known long, log_counts double, extra double, "
+    "rare array<struct<word: binary, n: int>>, codes binary"
+)
+
+
+def _encode_task(vocab, ends: int):
+    """Codes of the texts, and all of their scores that does not need the network."""
+
     def run(batches):
-        trainer, encode = Trainer(weights.value), encoder(Vocabulary(**vocab.value))
+        v = Vocabulary(**vocab.value)
+        encode = encoder(v)
+        log_count = np.log10(v.count + 1.0) if len(v.count) else np.zeros(1)
+        in_shape = v.code >= LEARNED
+        shape_log = np.log10(v.shape_weight)
+        end_log = math.log10(ends + 1)
+        for batch in batches:
+            for part in slices(batch, "text", ENCODE_BYTES):
+                words, lengths = [], []
+                for text in text_bytes(part):
+                    own = tokens(text)
+                    lengths.append(len(own))
+                    words += own
+                stops = np.cumsum(lengths)
+                firsts = stops - lengths
+                numbers, codes, rare = encode(words, stops - 1)
+                known = numbers >= 0
+                logs = np.where(known, log_count[numbers], 0)
+                shaped = np.where(known & in_shape[numbers], logs, 0) if len(in_shape) else np.zeros(len(words))
+                of_shape = (codes >= LEARNED) & (codes < _ENDING)
+                shaped[of_shape] -= shape_log[codes[of_shape] - LEARNED]
+                # each text ends with a token, so no sum is of nothing
+                summed = [np.add.reduceat(x, firsts) for x in (known.astype(np.int64), logs, shaped)]
+                texts = np.searchsorted(stops, rare, "right").tolist()
+                found = Counter(zip(texts, map(words.__getitem__, rare.tolist())))
+                per_text = np.zeros(len(lengths) + 1, np.int32)
+                order = sorted(found, key=lambda pair: pair[0])
+                np.add.at(per_text, np.array([t + 1 for t, _ in order], np.int64), 1)
+                pairs = pa.StructArray.from_arrays(
+                    [pa.array([w for _, w in order], pa.binary()), pa.array([found[k] for k in order], pa.int32())], ["word", "n"]
+                )
+                flat = codes.astype(np.int16)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0), part.column(1), part.column(2), pa.array(lengths, pa.int64()),
+                        pa.array(summed[0] + (ends > 0)), pa.array(summed[1] + end_log), pa.array(summed[2]),
+                        pa.ListArray.from_arrays(pa.array(np.cumsum(per_text, dtype=np.int32)), pairs),
+                        pa.array([flat[a:b].tobytes() for a, b in zip(firsts.tolist(), stops.tolist())], pa.binary()),
+                    ],
+                    ["row", "doc_id", "held_out", "n_tokens", "known", "log_counts", "extra", "rare", "codes"],
+                )
+
+    return run
+
+
+def _codes(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(c, np.int16) for c in text_bytes(batch, "codes")]
+
+
+def _train_task(weights):
+    def run(batches):
+        trainer = Trainer(weights.value)
         for batch in batches:
             for start in range(0, batch.num_rows, TRAIN_DOCS):
-                trainer.texts([encode(tokens(t))[1] for t in text_bytes(batch.slice(start, TRAIN_DOCS))])
+                for part in slices(batch.slice(start, TRAIN_DOCS), "codes", SCORE_BYTES):
+                    trainer.texts(_codes(part))
         if trainer.seen:
             flat = np.concatenate([v.reshape(-1) for v in trainer.weights.values()]).astype(np.float64)
             yield pa.RecordBatch.from_arrays(
@@ -430,15 +505,15 @@ def _train_task(vocab, weights):
     return run
 
 
-def train(texts: DataFrame, key: Column, vocab, start: dict, rounds=ROUNDS) -> dict:
-    """Weights after all rounds. ``vocab``: the broadcast fields of a vocabulary."""
+def train(texts: DataFrame, key: Column, start: dict, rounds=ROUNDS) -> dict:
+    """Weights after all rounds over the ``codes`` of texts."""
     spark = texts.sparkSession
     weights, low = start, 0
     slot = F.pmod(F.xxhash64(key), F.lit(sum(rounds)))
     for share in rounds:
         sent = spark.sparkContext.broadcast(weights)
-        part = texts.where((slot >= low) & (slot < low + share)).select("text")
-        sums = part.mapInArrow(_train_task(vocab, sent), "at long, weighted double, seen long")
+        part = texts.where((slot >= low) & (slot < low + share)).select("codes")
+        sums = part.mapInArrow(_train_task(sent), "at long, weighted double, seen long")
         rows = sums.groupBy("at").agg((F.sum("weighted") / F.sum("seen")).alias("w")).collect()
         low += share
         if rows:
@@ -455,12 +530,6 @@ def train(texts: DataFrame, key: Column, vocab, start: dict, rounds=ROUNDS) -> d
 
 # --- scores -----------------------------------------------------------------
 
-_SCORED = (
-    "row long, doc_id long, held_out boolean, n_tokens long, known long, log_counts double, "
-    "model double, rare array<struct<word: binary, n: int>>"
-)
-
-
 def score_codes(weights: dict, codes: list[np.ndarray]) -> np.ndarray:
     """Natural log of P(class) * P(learned word | class) of whole texts."""
     out = np.zeros(len(codes))
@@ -477,39 +546,18 @@ def score_codes(weights: dict, codes: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _score_task(vocab, weights, ends: int):
+_KEPT = ("row", "doc_id", "held_out", "n_tokens", "known", "log_counts")
+_SCORED = "row long, doc_id long, held_out boolean, n_tokens long, known long, log_counts double, model double"
+
+
+def _score_task(weights):
     def run(batches):
-        v, w = Vocabulary(**vocab.value), weights.value
-        encode = encoder(v)
-        log_count = np.log10(v.count + 1.0) if len(v.count) else np.zeros(1)
-        in_shape = v.code >= LEARNED
-        shape_log = np.log10(v.shape_weight)
-        end_log = math.log10(ends + 1)
         for batch in batches:
-            for part in slices(batch, "text", SCORE_BYTES):
-                all_codes, n_tokens, known, logs, extra, rare_words = [], [], [], [], [], []
-                for text in text_bytes(part):
-                    words = tokens(text)
-                    numbers, codes, rare = encode(words)
-                    own = numbers[numbers >= 0]
-                    shaped = own[in_shape[own]] if len(own) else own
-                    all_codes.append(codes)
-                    n_tokens.append(len(words))
-                    known.append(len(own) + (ends > 0))
-                    logs.append(float(log_count[own].sum()) + end_log)
-                    by_shape = np.bincount(codes[(codes >= LEARNED) & (codes < _ENDING)] - LEARNED, minlength=SHAPES)
-                    extra.append(float(log_count[shaped].sum() - by_shape @ shape_log))
-                    rare_words.append([{"word": x, "n": n} for x, n in Counter(words[i] for i in rare.tolist()).items()])
-                model = score_codes(w, all_codes) / math.log(10) + np.array(extra)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0), part.column(1), part.column(2),
-                        pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(logs, pa.float64()),
-                        pa.array(model, pa.float64()),
-                        pa.array(rare_words, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))),
-                    ],
-                    ["row", "doc_id", "held_out", "n_tokens", "known", "log_counts", "model", "rare"],
-                )
+            for part in slices(batch, "codes", SCORE_BYTES):
+                extra = part.column(part.schema.get_field_index("extra")).to_numpy()
+                model = score_codes(weights.value, _codes(part)) / math.log(10) + extra
+                kept = [part.column(part.schema.get_field_index(c)) for c in _KEPT]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(model, pa.float64())], [*_KEPT, "model"])
 
     return run
 
@@ -528,14 +576,15 @@ def score_texts(docs: DataFrame, held_out: Column, rounds=ROUNDS, head_words: in
     counts = staged(word_counts(training), "lm-counts")
     vocab, ends = vocabulary(counts, head_words), end_count(counts)
     sent = spark.sparkContext.broadcast(vars(vocab))
-    weights = train(training, F.col("doc_id"), sent, start_weights(vocab), rounds)
-    sent_weights = spark.sparkContext.broadcast(weights)
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
-    scored = staged(numbered.mapInArrow(_score_task(sent, sent_weights, ends), _SCORED), "lm-scored")
+    encoded = staged(numbered.mapInArrow(_encode_task(sent, ends), _ENCODED), "lm-codes")
+    weights = train(encoded.where(~F.col("held_out")), F.col("doc_id"), start_weights(vocab), rounds)
+    sent_weights = spark.sparkContext.broadcast(weights)
+    scored = encoded.drop("rare").mapInArrow(_score_task(sent_weights), _SCORED)
 
     # rarer words: one row per text and word, looked up by a join
     outside = (F.col("n") < vocab.least) | (F.length("word") > HEAD_BYTES)
-    rare = scored.select("row", F.inline("rare").alias("word", "n"))
+    rare = encoded.select("row", F.inline("rare").alias("word", "n"))
     found = rare.join(
         counts.where(outside & (F.length("word") > 0)).select("word", F.col("n").alias("c")), "word"
     )
@@ -544,7 +593,7 @@ def score_texts(docs: DataFrame, held_out: Column, rounds=ROUNDS, head_words: in
     )
     rare_log = F.coalesce("rare_log", F.lit(0.0))
     whole = math.log10(vocab.total + vocab.types + 1)
-    return scored.drop("rare").join(per_row, "row", "left").select(
+    return scored.join(per_row, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
