@@ -343,3 +343,26 @@ def test_best_exchange_is_the_nearest_of_all():
         got = split.best_exchange(out, into, gap)
         expected = min(((abs(gap - (b - a)), a, b) for a in out for b in into), default=None)
         assert (got is None and expected is None) or got[0] == expected[0]
+
+
+@pytest.mark.parametrize("by_idf", [False, True])
+@pytest.mark.parametrize("block_pairs", [1, 7, 1000])
+def test_means_by_blocks_of_texts(spark, by_idf, block_pairs):
+    # repeated and null keys, a text without words, a word with two vectors
+    texts = [(1, "a a b x"), (2, "c d"), (2, "c c"), (3, ""), (4, None), (None, "a"), *[(i, "a b c " * i) for i in range(5, 20)]]
+    df = spark.createDataFrame(texts, "id long, text string").select("id", F.split("text", " ").alias("words"))
+    known = [("a", [1.0, 0.0], 1.5), ("b", [0.0, 2.0], 0.5), ("b", [4.0, 2.0], 0.25), ("c", [8.0, -1.0], 2.0)]
+    vectors = spark.createDataFrame(known, "word string, vec array<float>, idf double")
+    counted = wv.counted_texts(df, "words", ["id"])
+    got = wv.weighted_means(counted, vectors, ["id"], 2, by_idf, block_pairs).collect()
+    expected = []
+    for key, _ in texts:
+        total, sums = 0.0, [0.0, 0.0]
+        for own, text in texts:
+            words = (text or "").split(" ")
+            for word, vec, idf in known:
+                n = words.count(word) if own == key and key is not None else 0
+                weight = n * n * idf if by_idf else n
+                total, sums = total + weight, [s + weight * v for s, v in zip(sums, vec)]
+        expected.append((key, [round(s / total, 9) if total else 0.0 for s in sums]))
+    assert sorted([(r.id, [round(x, 9) for x in r.vector]) for r in got], key=str) == sorted(expected, key=str)
