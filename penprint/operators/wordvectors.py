@@ -126,8 +126,10 @@ def _block_means(keep: list[str], dims: int, power: int):
         if texts.num_rows and words.num_rows:
             # what a word adds for each of its occurrences; a word with several vectors adds all of them
             gain = words.column("weight").to_numpy().copy()
-            values = words.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-            values = values.reshape(words.num_rows, dims).astype(np.float64) * gain[:, None]
+            vec = words.column("vec").combine_chunks()
+            if vec.null_count or vec.flatten().null_count or (np.diff(vec.offsets.to_numpy()) != dims).any():
+                raise ValueError(f"a word vector is null, holds a null or has not {dims} values")
+            values = vec.flatten().to_numpy().reshape(-1, dims).astype(np.float64) * gain[:, None]
             coded = words.column("word").combine_chunks().dictionary_encode()
             if len(coded.dictionary) < words.num_rows:
                 code = coded.indices.to_numpy()
