@@ -10,7 +10,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from penprint.operators import chunks
-from penprint.plans import gated, grid, importance, kernels, models, score, workflow
+from penprint.plans import gated, grid, importance, kernels, models, network, score, workflow
 from penprint.plans import sweep as one_sweep
 from penprint.settings import Settings, sweep
 from penprint.streaming import scoring
@@ -307,3 +307,81 @@ def test_sweep_in_one_fit_equals_fitted_models(spark, sf):
         for r in grid.metrics_table(cells, s).collect():
             expected = (r["accuracy"], r["precision"], r["recall"], r["f1-score"])
             assert got[name, r["embedding_type"]] == pytest.approx(expected, abs=0.02)
+
+
+def test_network_gradient():
+    rng = np.random.default_rng(1)
+    layers = [6, 3, 4]
+    flat = network.start_weights(layers, 2) + 0.1
+    used, label = np.array([0, 2, 5]), np.array([0, 3, 1, 1, 2])
+    x = rng.standard_normal((5, 3))
+
+    def loss(w):
+        return network.block_gradient(network.layers_of(w, layers), label, used, x)[0]
+
+    got = np.zeros(len(flat))
+    sums = network.layers_of(got, layers)
+    first, *others = network.block_gradient(network.layers_of(flat, layers), label, used, x)[1]
+    sums[0][used] += first
+    for s, g in zip(sums[1:], others):
+        s += g
+    step = 1e-6 * np.eye(len(flat))
+    assert np.allclose(got, [(loss(flat + e) - loss(flat - e)) / 2e-6 for e in step], atol=1e-6)
+
+
+def test_network_blocks_hold_used_dimensions_only(spark):
+    dims, rng = 50_000, random.Random(3)
+    rows = []
+    for i in range(600):
+        places = sorted({i % 2, *(rng.randrange(2, 40) for _ in range(5))})
+        rows.append((i, float(i % 2), i % 5 > 0, Vectors.sparse(dims, places, [1.0] * len(places))))
+    df = spark.createDataFrame(rows, ["id", "label", "is_train", "features"])
+    blocks = network.pack(df, dims, 2, 3).collect()
+    assert max(len(b["columns"]) // 4 for b in blocks) <= 40
+    assert sum(len(b["labels"]) // 4 for b in blocks) == 600
+    estimator = models.mlp(dims, 2, hidden=4, iterations=30)
+    model, predictions = models.fit_and_predict(df, estimator, ["id"])
+    assert predictions.where("label = prediction").count() == 120
+    assert model.history[-1] < 0.05 < model.history[0] and model.history == sorted(model.history, reverse=True)
+
+
+def test_network_is_the_same_on_dense_rows(spark):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((90, 3)).round(3)
+    x[:, 1] = 0
+    label = (x[:, 0] > 0).astype(float) + (x[:, 2] > 0.5)
+    dense = spark.createDataFrame([(float(y), Vectors.dense(v)) for y, v in zip(label, x)], ["label", "features"])
+    sparse = spark.createDataFrame(
+        [(float(y), Vectors.sparse(3, [0, 2], [v[0], v[2]])) for y, v in zip(label, x)], ["label", "features"]
+    )
+    mixed = dense.limit(40).unionAll(sparse)
+    one, two = (models.mlp(3, 3, hidden=5, iterations=5).fit(d) for d in (dense, sparse))
+    assert np.allclose(one.history, two.history, rtol=1e-4)
+    assert models.mlp(3, 3, hidden=5, iterations=2).fit(mixed).history[0] > 0
+    # Spark's model has the weights of the solver, in its own order
+    hidden, bias, out, out_bias = network.layers_of(one.weights.toArray(), [3, 5, 3])
+    logits = 1 / (1 + np.exp(-(x @ hidden + bias))) @ out + out_bias
+    assert [r[0] for r in one.transform(dense).select("prediction").collect()] == logits.argmax(1).tolist()
+
+
+@pytest.mark.parametrize("label,features", [(None, [0.0, 1.0]), (2.0, [0.0, 1.0]), (0.0, [0.0]), (0.0, [0.0, float("nan")]), (1.0, None)])
+def test_network_refuses_broken_rows(spark, label, features):
+    good = [(float(i % 2), Vectors.dense(i % 2, 1.0)) for i in range(4)]
+    rows = [*good, (label, Vectors.dense(features) if features else None)]
+    with pytest.raises(Exception, match="null|whole numbers|finite"):
+        models.mlp(2, 2, hidden=2).fit(spark.createDataFrame(rows, ["label", "features"]))
+    with pytest.raises(ValueError, match="no rows"):
+        models.mlp(2, 2, hidden=2).fit(spark.createDataFrame(good, ["label", "features"]).limit(0))
+
+
+def test_network_stops_when_the_latest_losses_are_near():
+    scale = np.geomspace(1, 1e-4, 8)
+
+    def loss(w):
+        return float(1 + (scale * (w - 1) ** 2).sum()), 2 * scale * (w - 1)
+
+    found, losses = network.minimise(loss, np.zeros(8), 500, 1e-4)
+    # as Spark's solver: over the last 20 values, and by the first one
+    ends = [abs(losses[i] - max(losses[max(i - 19, 0) : i + 1])) <= 1e-4 * losses[0] for i in range(1, len(losses))]
+    assert (ends[-1] and not any(ends[:-1])) or np.linalg.norm(loss(found)[1]) <= 1e-4 * losses[-1]
+    assert losses == sorted(losses, reverse=True) and len(network.minimise(loss, np.zeros(8), 3, 0.0)[1]) == 4
