@@ -232,10 +232,11 @@ def texts_folder(spark, sf):
     """A folder with a file per text, as it is read for scoring."""
     path = new_path(spark, "folder")
     rows = documents(spark, sf).where("text <> ''").select(F.col("doc_id").alias("name"), F.col("text").alias("value"))
-    rows.repartition("name").write.partitionBy("name").option("lineSep", "\n").text(path)
+    writers.write_texts(rows, path)
     read = readers.read_texts(spark, path)
     return read.select(
-        F.regexp_extract("file_path", "name=([0-9]+)/", 1).alias("name"),
+        # the name of the file, or of its folder
+        F.regexp_extract("file_path", r"/(?:name=)?([0-9]+)(?:\.txt|/[^/]*)$", 1).alias("name"),
         # the writer ends the line
         F.substring("text", F.lit(1), F.length("text") - 1).alias("text"),
     )

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,3 +80,58 @@ def write_corpus(chapters: DataFrame, path: str) -> None:
 def write_catalog(catalog: DataFrame, path: str) -> None:
     """The filtered catalogue as CSV."""
     catalog.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+def _local_root(spark: SparkSession, path: str) -> str | None:
+    """``path`` on the mounted file system that it is on; None where Spark reaches it in another way."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toUri()
+    return whole.getPath() if whole.getScheme() == "file" else None
+
+
+def _one_file_each(root: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a task that is run again writes the same files again
+        folder = os.path.join(root, f"part-{TaskContext.get().partitionId():05d}")
+        os.makedirs(folder, exist_ok=True)
+        half = os.path.join(folder, f"_half-{uuid.uuid4().hex}")
+        open_name, file, n = None, None, 0
+
+        def close() -> None:
+            file.close()
+            os.replace(half, os.path.join(folder, open_name))
+
+        for batch in batches:
+            for name, value in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+                if file is None or name != open_name:
+                    if file is not None:
+                        close()
+                    open_name, file, n = name, open(half, "wb"), n + 1
+                file.write((value or b"") + b"\n")
+        if file is not None:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array([n])], ["files"])
+
+    return run
+
+
+def write_texts(texts: DataFrame, path: str) -> None:
+    """A file ``<name>.txt`` for each ``name`` with the lines ``value`` of its rows; a null is an empty line.
+
+    Names are letters, digits and, not at the start, underscores; rows without one share a file. On a mounted file system the tasks
+    write the files themselves, a folder per task: Spark's writer makes a folder, a checksum and calls of
+    the system's ``chmod`` for each. Elsewhere it does the work, and the name is that of the folder ``name=<name>``.
+    """
+    spark = texts.sparkSession
+    root = _local_root(spark, path)
+    rows = texts.select(F.col("name").cast("string").alias("name"), "value").repartition("name")
+    if root is None:
+        rows.write.partitionBy("name").option("lineSep", "\n").text(path)
+        return
+    if os.path.exists(root):
+        raise FileExistsError(root)
+    file = F.concat(F.coalesce(F.nullif("name", F.lit("")), F.lit("-")), F.lit(".txt")).alias("file")
+    sorted_rows = rows.select(file, "value").sortWithinPartitions("file")
+    sorted_rows.mapInArrow(_one_file_each(root), "files long").agg(F.sum("files")).collect()
+    os.makedirs(root, exist_ok=True)
+    open(os.path.join(root, "_SUCCESS"), "w").close()

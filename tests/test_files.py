@@ -149,3 +149,27 @@ def test_repeated_keys_are_an_error(spark):
     for a, b in ((one.unionAll(one), two), (one, two.unionAll(two))):
         with pytest.raises(Exception, match="repeated k"):
             with_labels(a, b, "k").collect()
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_a_file_for_each_text(spark, tmp_path, monkeypatch, mounted):
+    if not mounted:
+        monkeypatch.setattr(writers, "_local_root", lambda spark, path: None)
+    rows = [("7", "ä\n\nb"), ("8", ""), ("9", None), ("7", "ä\n\nb"), (None, "x"), (None, "x")]
+    path = f"{tmp_path}/texts"
+    writers.write_texts(spark.createDataFrame(rows, "name string, value string"), path)
+    assert writers.committed(spark, path)
+    read = readers.read_texts(spark, path)
+    name = F.regexp_extract("file_path", r"/(?:name=)?([0-9]+)(?:\.txt|/[^/]*)$", 1)
+    got = sorted(tuple(r) for r in read.select(name, "text").collect())
+    assert got == [("", "x\nx\n"), ("7", "ä\n\nb\nä\n\nb\n"), ("8", "\n"), ("9", "\n")]
+
+
+def test_files_of_texts_have_no_folders_of_their_own(spark, tmp_path):
+    rows = spark.range(300).select(F.col("id").alias("name"), F.lit("x").alias("value"))
+    writers.write_texts(rows, f"{tmp_path}/texts")
+    files = [f for f in (tmp_path / "texts").rglob("*") if f.is_file()]
+    assert sorted(f.name for f in files) == sorted(["_SUCCESS", *[f"{i}.txt" for i in range(300)]])
+    assert len([f for f in (tmp_path / "texts").rglob("*") if f.is_dir()]) <= 8
+    with pytest.raises(FileExistsError):
+        writers.write_texts(rows, f"{tmp_path}/texts")
