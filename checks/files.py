@@ -62,11 +62,11 @@ FROM (SELECT doc_id, list_filter(string_split_regex(text, '\s+'), lambda x: x <>
 def token_files(spark, sf):
     """One file per document, one token per line."""
     rows = documents(spark, sf).select(
-        F.concat(F.lit("PG"), F.col("doc_id").cast("string"), F.lit("_tokens")).alias("file"),
+        F.concat(F.lit("PG"), F.col("doc_id").cast("string"), F.lit("_tokens")).alias("name"),
         F.array_join(tx.space_words(F.col("text")), "\n").alias("value"),
     )
     path = new_path(spark, "tokens")
-    rows.repartition("file").write.partitionBy("file").text(path)
+    writers.write_texts(rows, path)
     return readers.read_token_files(spark, path).select(
         "pg_code",
         F.size("tokens").cast("long").alias("n_tokens"),
