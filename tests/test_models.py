@@ -385,3 +385,29 @@ def test_network_stops_when_the_latest_losses_are_near():
     ends = [abs(losses[i] - max(losses[max(i - 19, 0) : i + 1])) <= 1e-4 * losses[0] for i in range(1, len(losses))]
     assert (ends[-1] and not any(ends[:-1])) or np.linalg.norm(loss(found)[1]) <= 1e-4 * losses[-1]
     assert losses == sorted(losses, reverse=True) and len(network.minimise(loss, np.zeros(8), 3, 0.0)[1]) == 4
+
+
+def test_frequent_terms_keep_the_ties_of_the_last_place(spark):
+    rows = [("p", "a", 9), ("p", "b", 4), ("p", "c", 4), ("p", "d", 1), ("q", "a", 1)]
+    counts = spark.createDataFrame(rows, "prepared string, term string, cf long")
+    for n, expected in ((1, "a"), (2, "abc"), (3, "abc"), (4, "abcd"), (9, "abcd")):
+        got = one_sweep._frequent(counts, n).where("prepared = 'p'").collect()
+        assert sorted(r["term"] for r in got) == list(expected)
+
+
+def test_sweep_sums_and_gains_by_hand(spark):
+    schema = "prepared string, chunk_id string, kind string, at array<int>, x array<double>"
+    features = [("p", "1", "tfidf", [0, 2], [3.0, 1.0]), ("p", "2", "tfidf", [2], [2.0]), ("p", "3", "tfidf", [1], [1.0]),
+                ("p", "4", "tfidf", [0, 1], [2.5, 0.1]), ("p", "5", "tfidf", [2], [2.0]), ("p", "1", "glove", None, [0.5, 0.0, 1.0])]
+    marked = [("r", "p", "1", 0, True), ("r", "p", "2", 1, True), ("r", "p", "3", 1, True), ("r", "p", "4", 0, False),
+              ("r", "p", "5", 0, False), ("r", "p", "9", None, True)]
+    features = spark.createDataFrame(features, schema).repartition(3)
+    marked = spark.createDataFrame(marked, "settings_id string, prepared string, chunk_id string, label int, is_train boolean")
+    dims = {("r", "tfidf"): 3, ("r", "glove"): 3}
+    train = features.join(marked.where("is_train AND label IS NOT NULL"), ["prepared", "chunk_id"])
+    sums = {k: [x.tolist() for x in v] for k, v in one_sweep.class_sums(train, dims).items()}
+    assert sums == {
+        ("r", "tfidf", 0): [[3, 0, 1], [9, 0, 1]], ("r", "tfidf", 1): [[0, 1, 2], [0, 1, 4]], ("r", "glove", 0): [[0.5, 0, 1], [0.25, 0, 1]],
+    }
+    got = one_sweep.gaussian_predictions(features, marked.where("label IS NOT NULL"), dims).where("kind = 'tfidf'").collect()
+    assert {r["chunk_id"]: (r["label"], r["prediction"]) for r in got}["5"] == (0, 1)
