@@ -234,11 +234,16 @@ def _alike(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return _both(close, staged(sets, "sets")).where(9 * shared >= 4 * (F.size("x") + F.size("y"))).select("a", "b")
 
 
-def alike_links(texts: DataFrame) -> DataFrame:
+def checked_links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of the ``pairs`` of rows, columns ``a`` and ``b``, that have an index of 0.8 or more."""
+    return _alike(staged(pairs.select(*_pairs(F.col("a"), F.col("b"))).distinct(), "pairs"), texts)
+
+
+def alike_links(texts: DataFrame, known: DataFrame) -> DataFrame:
     """Links ``a``, ``b`` of rows, with the components of all pairs of an index of 0.8 or more.
 
-    ``texts`` is a written table with ``row``, ``text`` and ``prefix`` (see ``with_prefixes``).
-    Texts without words are alike.
+    ``texts`` is a written table with ``row``, ``text`` and ``prefix`` (see ``with_prefixes``), ``known`` one of
+    checked links: texts that these bring together are not compared with each other. Texts without words are alike.
     """
     entries = (
         texts.select("row", F.col("prefix.n").alias("n"), F.inline(F.arrays_zip("prefix.pos", F.col("prefix.first").alias("key"))))
@@ -249,11 +254,13 @@ def alike_links(texts: DataFrame) -> DataFrame:
     groups = entries.groupBy("key").agg(nearest.alias("first"), F.count("*").alias("texts"))
     shared = staged(entries.join(groups.where("texts > 1"), "key"), "shared")
     own, first = F.col("own"), F.col("first")
-    tested = staged(
-        shared.where((own.row != first.row) & _may_be_alike(own, first)).select(*_pairs(own.row, first.row)).distinct(),
-        "pairs",
-    )
-    links = staged(_alike(tested, texts), "alike")
+    near = shared.where((own.row != first.row) & _may_be_alike(own, first)).select(*_pairs(own.row, first.row)).distinct()
+    group = staged(components(known), "components")
+    for end in ("a", "b"):
+        near = near.join(group.select(F.col("node").alias(end), F.col("root").alias(f"{end}_group")), end, "left")
+    apart = F.coalesce("a_group", "a") != F.coalesce("b_group", "b")
+    tested = staged(near.where(apart).select("a", "b"), "pairs")
+    links = staged(known.select("a", "b").union(_alike(tested, texts)), "alike")
 
     # what is left: pairs across components, at least one of them not in that of the first
     roots = staged(components(links), "components")

@@ -23,7 +23,7 @@ from pyspark.sql.types import LongType
 
 from penprint.llm.common import text_bytes
 from penprint.llm.components import components
-from penprint.llm.shingles import alike_links, of_rows, shingle_hashes, with_prefixes
+from penprint.llm.shingles import alike_links, checked_links, of_rows, shingle_hashes, with_prefixes
 from penprint.session import staged
 
 SHINGLE_WORDS = 3
@@ -130,20 +130,38 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def fingerprint_links(texts: DataFrame) -> DataFrame:
+    """Links ``a``, ``b`` of rows that fingerprints bring together and whole sets of shingles confirm.
+
+    ``texts``: a written table with ``row``, ``fp``, ``text`` and ``prefix`` (see ``shingles.with_prefixes``). Each text
+    is compared with the first one of the group that fingerprints within two bits put it in.
+    """
+    prints = texts.select("fp", "row")
+    roots = staged(components(near_links(prints.select("fp").distinct())), "components")
+    rooted = prints.join(roots, prints["fp"] == roots["node"], "left")
+    rooted = staged(rooted.select("row", F.coalesce("root", "fp").alias("root")), "rooted")
+    least = rooted.groupBy("root").agg(F.min("row").alias("a"))
+    pairs = rooted.join(least, "root").where(F.col("row") != F.col("a")).select("a", F.col("row").alias("b"))
+    return checked_links(pairs, texts)
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id, with all its columns.
 
     Near copies have sets of five-word shingles with a Jaccard index of 0.8 or more; a
-    group is a chain of them. All such pairs are found; fingerprints would miss most.
+    group is a chain of them. Fingerprints find the nearest of them first, and whole sets
+    confirm these; the shingles find all other pairs, among texts that are not together yet.
     ``docs`` is as for ``near_duplicates``.
     """
-    names = [f"_{n}{len(docs.columns)}" for n in ("prefix", "row")]
+    names = [f"_{n}{len(docs.columns)}" for n in ("prefix", "row", "fp")]
     while set(names) & set(docs.columns):
         names = ["_" + n for n in names]
-    prefix, row = names
-    marked = staged(with_prefixes(docs, prefix).withColumn(row, F.monotonically_increasing_id()), "marked")
-    texts = marked.select("doc_id", "text", F.col(prefix).alias("prefix"), F.col(row).alias("row"))
-    roots = staged(components(alike_links(texts)), "components")
+    prefix, row, fp = names
+    added = {row: F.monotonically_increasing_id(), fp: fingerprint("text")}
+    marked = staged(with_prefixes(docs, prefix).withColumns(added), "marked")
+    texts = marked.select("doc_id", "text", *[F.col(own).alias(name) for own, name in ((prefix, "prefix"), (row, "row"), (fp, "fp"))])
+    known = staged(fingerprint_links(texts), "fingerprint-links")
+    roots = staged(components(alike_links(texts, known)), "components")
     own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row").alias("own")
     members = of_rows(texts.select("doc_id", "row"), roots.select(F.col("node").alias("row"), "root"), "inner")
     members = staged(members.select("root", "row", own), "members")

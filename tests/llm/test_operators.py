@@ -860,3 +860,30 @@ def test_levels_are_powers_of_two_of_the_counts(spark):
     got = shingles.levels_of(keys, shingles.level_tables(df)).tolist()
     assert all(a >= b for a, b in zip(got, exact)) and sum(got) <= sum(exact) + len(keys) // 4
     assert shingles.level_tables(df.limit(0)) == []
+
+
+def test_keep_one_links_by_fingerprints_first(spark, monkeypatch):
+    words = [f"w{i * 7919 % 1009}" for i in range(900)]
+    other = [f"v{i * 7919 % 1009}" for i in range(900)]
+    rows = [(5, " ".join(words)), (6, " ".join([*words[:899], "last"])), (7, " ".join(other)), (8, "short one"), (9, None)]
+    assert 0 < (simhash.fingerprint_of(rows[0][1].encode()) ^ simhash.fingerprint_of(rows[1][1].encode())).bit_count() <= 2
+    found, compared = [], []
+    real, alike = simhash.fingerprint_links, shingles._alike
+
+    def spied(texts):
+        ids = {r["row"]: r["doc_id"] for r in texts.select("row", "doc_id").collect()}
+        links = real(texts)
+        found.extend(sorted((ids[a], ids[b])) for a, b in links.collect())
+        compared.clear()
+        return links
+
+    def counted(pairs, texts):
+        compared.append(pairs.count())
+        return alike(pairs, texts)
+
+    monkeypatch.setattr(simhash, "fingerprint_links", spied)
+    monkeypatch.setattr(shingles, "_alike", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.keep_one(df).collect()) == [5, 7, 8, 9]
+    # the fingerprints' pair is confirmed once and not compared again
+    assert found == [[5, 6]] and sum(compared) == 0
