@@ -411,3 +411,16 @@ def test_sweep_sums_and_gains_by_hand(spark):
     }
     got = one_sweep.gaussian_predictions(features, marked.where("label IS NOT NULL"), dims).where("kind = 'tfidf'").collect()
     assert {r["chunk_id"]: (r["label"], r["prediction"]) for r in got}["5"] == (0, 1)
+
+
+def test_sweep_with_repeated_chunks(spark):
+    schema = "prepared string, chunk_id string, kind string, at array<int>, x array<double>"
+    rows = [("p", i, "tfidf", [at], [1.0]) for i, at in (("1", 0), ("1", 0), ("3", 1), ("4", 0), ("5", 1))]
+    marked = [("r", "p", "1", 0, True), ("r", "p", "1", 0, True), ("r", "p", "3", 1, True), ("r", "p", "5", 1, False)]
+    got = one_sweep.gaussian_predictions(
+        spark.createDataFrame(rows, schema),
+        spark.createDataFrame(marked, "settings_id string, prepared string, chunk_id string, label int, is_train boolean"),
+        {("r", "tfidf"): 2},
+    )
+    # the variance of class 0 is below zero; its score stays a number
+    assert [(r["chunk_id"], r["prediction"]) for r in got.collect()] == [("5", 1)]
