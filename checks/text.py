@@ -234,8 +234,8 @@ occurrences AS (
   UNION ALL SELECT doc_id, unnest({q.grams('w', 3)}) FROM words)
 SELECT term, count(*) AS cf, count(DISTINCT doc_id) AS df FROM occurrences GROUP BY term""")
 def ngram_counts(spark, sf):
-    rows = vocabulary.with_terms(documents(spark, sf), "text", 1, 3)
-    return vocabulary.corpus_counts(rows)
+    rows = vocabulary.with_terms(documents(spark, sf), "text", 1, 1)
+    return vocabulary.corpus_counts(rows, low=1, high=3)
 
 
 def _sweep_sql():

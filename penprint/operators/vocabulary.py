@@ -14,9 +14,11 @@ from pyspark.ml.feature import (
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from penprint.functions import lexicon as lex
 from penprint.functions import text as tx
+from penprint.operators import grams
 from penprint.operators.ordering import row_numbers
 from penprint.operators.rows import unnest_structs
 
@@ -27,26 +29,28 @@ MOST_FEATURES = 500_000
 
 def with_terms(df: DataFrame, text: str, low: int = 1, high: int = 2) -> DataFrame:
     """Add ``terms``, the n-grams of a text."""
+    if (low, high) == (1, 1):
+        return df.withColumn("terms", tx.terms(F.col(text)))
     words = df.withColumn("_words", tx.terms(F.col(text)))
     return words.withColumn("terms", tx.ngrams(F.col("_words"), low, high)).drop("_words")
 
 
-def corpus_counts(df: DataFrame, terms: str = "terms", with_total: bool = False) -> DataFrame:
-    """``term, cf, df``: occurrences and texts per term.
+def corpus_counts(
+    df: DataFrame, terms: str = "terms", with_total: bool = False, low: int = 1, high: int = 1
+) -> DataFrame:
+    """``term, cf, df``: occurrences and texts per term, or per n-gram of ``low`` to ``high`` terms.
 
-    A text gives one row per distinct term, already counted, so both figures
-    need one shuffle, after adding up inside each task. ``with_total`` adds a
-    row for the empty term, whose ``df`` is the number of texts.
+    Tasks count the terms of many texts at once, so a row per term of such a part is moved, in
+    one shuffle. N-grams should be made here, of terms without blanks: ``terms`` that hold them
+    already cost more. ``with_total`` adds a row for the empty term, whose ``df`` is the number
+    of texts.
     """
-    pairs = tx.term_frequencies(F.col(terms))
-    if with_total:
-        own = F.array(F.struct(F.lit("").alias("term"), F.lit(1).alias("n")))
-        none = F.array().cast("array<struct<term:string,n:int>>")
-        pairs = F.concat(own, F.coalesce(pairs, none))
-    counted = unnest_structs(df, pairs, [], "term")
-    return counted.groupBy("term").agg(
-        F.sum("n").alias("cf"), F.count("*").alias("df")
+    counted = df.select(terms).mapInArrow(
+        grams.counts_task(max(low, 1), high, with_total), "term string, cf long, df long"
     )
+    # added up after the move: most n-grams of a task are rare, and a table of them would not fit
+    moved = counted.repartition("term").groupBy("term")
+    return moved.agg(F.sum("cf").alias("cf"), F.sum("df").alias("df"))
 
 
 def top_terms(counts: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
@@ -145,7 +149,7 @@ def fit_tfidf(
     """
     if max_features > MOST_FEATURES:
         raise ValueError(f"a model holds at most {MOST_FEATURES} terms; use joined_tfidf")
-    counts = corpus_counts(with_terms(df, text, low, high), with_total=True)
+    counts = corpus_counts(with_terms(df, text, 1, 1), with_total=True, low=low, high=high)
     total_first = (F.col("term") != "").asc()
     best = counts.orderBy(total_first, F.desc("cf"), F.asc("term")).limit(max_features + 1)
     found = best.collect()
@@ -201,8 +205,10 @@ def joined_tfidf(
     frequent) stays a table that the terms of the texts are joined with. ``keep`` tells
     texts apart.
     """
+    if fit is None and max_features is None:
+        return _block_tfidf(with_terms(df, text, 1, 1).select(*keep, "terms"), keep, low, high)
     fit = df if fit is None else fit
-    counts = corpus_counts(with_terms(fit, text, low, high))
+    counts = corpus_counts(with_terms(fit, text, 1, 1), low=low, high=high)
     terms = counts if max_features is None else top_terms(counts, max_features)
     documents = fit.agg(F.count("*").alias("n")).scalar()
     weights = terms.select("term", idf(documents, F.col("df")).alias("idf"))
@@ -214,6 +220,30 @@ def joined_tfidf(
     return weighted.select(*keep, "term", (F.col("x") / norm).alias("tfidf"))
 
 
+def _block_tfidf(words: DataFrame, keep: list[str], low: int, high: int, block_words: int = grams.PART_WORDS) -> DataFrame:
+    """``keep, term, tfidf`` of all n-grams of ``words`` (``keep, terms``), by blocks of texts.
+
+    A block sends each of its terms once, and gets back a number for those that other blocks
+    hold too; so neither terms nor weights are moved for every text that holds them.
+    """
+    texts, total = words.agg(F.count("*"), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
+    blocks = max(1, -(-total // block_words))
+    joined = F.array_join("terms", " ").alias("terms")
+    dealt = words.select(F.pmod(F.xxhash64(*keep), F.lit(blocks)).alias("_block"), *keep, joined)
+    asked = dealt.groupBy("_block").applyInArrow(
+        grams.asked_task(max(low, 1), high, blocks),
+        "_bucket long, _block long, words int, names string, texts array<int>",
+    )
+    answers = asked.groupBy("_bucket").applyInArrow(
+        grams.answers_task, "_of long, bucket long, words int, places array<int>, texts array<int>"
+    )
+    schema = T.StructType(
+        [*words.select(*keep).schema.fields, T.StructField("term", T.StringType()), T.StructField("tfidf", T.DoubleType())]
+    )
+    together = dealt.groupBy("_block").cogroup(answers.groupBy("_of"))
+    return together.applyInArrow(grams.tfidf_task(keep, max(low, 1), high, blocks, texts), schema)
+
+
 def class_term_gaps(
     df: DataFrame, model: PipelineModel, vocabulary_rows: list, author: str, output: str = "tfidf"
 ) -> DataFrame:

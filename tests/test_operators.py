@@ -2,11 +2,12 @@ import math
 import random
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from penprint.functions import text as tx
-from penprint.operators import catalog, chunks, metrics, ordering, reports, split
+from penprint.operators import catalog, chunks, grams, metrics, ordering, reports, split
 from penprint.operators import vocabulary as vo
 from penprint.operators import wordvectors as wv
 from penprint.settings import Settings, sweep
@@ -366,3 +367,43 @@ def test_means_by_blocks_of_texts(spark, by_idf, block_pairs):
                 total, sums = total + weight, [s + weight * v for s, v in zip(sums, vec)]
         expected.append((key, [round(s / total, 9) if total else 0.0 for s in sums]))
     assert sorted([(r.id, [round(x, 9) for x in r.vector]) for r in got], key=str) == sorted(expected, key=str)
+
+
+def _texts(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_ngrams_are_counted_by_parts_of_the_texts(spark):
+    rows = _texts(spark, [(1, "ab cd ab cd"), (2, "cd ab"), (3, None), (4, ""), (5, "ab cd")]).coalesce(1)
+    words = vo.with_terms(rows, "text", 1, 1)
+    got = {r["term"]: (r["cf"], r["df"]) for r in vo.corpus_counts(words, low=1, high=3, with_total=True).collect()}
+    assert got == {
+        "": (5, 5), "ab": (4, 3), "cd": (4, 3), "ab cd": (3, 2), "cd ab": (2, 2), "ab cd ab": (1, 1), "cd ab cd": (1, 1)
+    }
+    # the rows that tasks hand on are terms of a part, not of a text
+    handed = words.select("terms").mapInArrow(grams.counts_task(1, 1, False), "term string, cf long, df long")
+    assert handed.count() == 2
+
+
+def test_parts_hold_whole_lists_and_all_of_them():
+    lists = pa.array([["a"] * n for n in (3, 1, 0, 7, 2, 0)], pa.list_(pa.string()))
+    batches = [pa.record_batch([lists.slice(i, 3)], ["terms"]) for i in (0, 3)]
+    got = [p.to_pylist() for p in grams.parts(iter(batches), most=4)]
+    assert [x for p in got for x in p] == lists.to_pylist() and len(got) > 1
+
+
+@pytest.mark.parametrize("block_words", [1_000_000, 3, 1])
+def test_tfidf_by_blocks_is_that_of_joined_terms(spark, block_words):
+    rows = _texts(
+        spark, [(1, "ab cd ab ef"), (2, "cd ab"), (2, "gh gh"), (None, "ab cd"), (None, "ab"), (3, None), (4, ""), (5, "ab cd ef")]
+    )
+    joined = vo.joined_tfidf(rows, ["doc_id"], high=3, fit=rows)
+    blocks = vo._block_tfidf(vo.with_terms(rows, "text", 1, 1).select("doc_id", "terms"), ["doc_id"], 1, 3, block_words)
+    both = [sorted((str(r["doc_id"]), r["term"], round(r["tfidf"], 12)) for r in df.collect()) for df in (joined, blocks)]
+    assert both[0] == both[1] and len(both[0]) > 20
+
+
+def test_tfidf_of_all_terms_moves_no_row_per_text_and_term(spark):
+    rows = _texts(spark, [(i, "ab cd ef") for i in range(40)])
+    plan = vo.joined_tfidf(rows, ["doc_id"], high=3)._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" in plan and "Generate" not in plan and "Join" not in plan
