@@ -189,3 +189,15 @@ def test_twice_the_chapters_take_about_twice_the_time(spark):
         assert [r["text"].strip() for r in sorted(rows, key=lambda r: r["chapter_num"])] == texts
     # quadratic work would take four times as long
     assert seconds[2] < 3 * seconds[1] + 2
+
+
+def test_books_are_not_moved_by_their_kind(spark, tmp_path):
+    names = [f"b{i}" for i in range(40)]
+    rows = [("one", n, f"*** START OF THE PROJECT GUTENBERG EBOOK X ***\n{n} body\n*** END OF THE PROJECT GUTENBERG EBOOK X ***\n") for n in names]
+    spark.createDataFrame(rows, "kind string, book string, raw string").repartition(4).write.parquet(str(tmp_path / "books"))
+    books = spark.read.parquet(str(tmp_path / "books"))
+    patterns = spark.createDataFrame([("one", "{00}"), ("two", "x")], "kind string, pattern string")
+    dump = st.section_dump(st.find_headers(st.read_structure(books), patterns, "kind"), ["book"])
+    assert {r["book"] for r in dump.collect()} == set(names)
+    plan = dump._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
