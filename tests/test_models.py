@@ -387,6 +387,32 @@ def test_network_stops_when_the_latest_losses_are_near():
     assert losses == sorted(losses, reverse=True) and len(network.minimise(loss, np.zeros(8), 3, 0.0)[1]) == 4
 
 
+def test_network_blocks_hold_rows_of_the_same_dimensions(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(1024):
+        # two kinds of rows in turn, each with a word of its own that all its rows hold
+        places = sorted({100 * (i % 2), *(100 * (i % 2) + rng.randrange(1, 100) for _ in range(8))})
+        rows.append((1.0, Vectors.sparse(200, places, [float(i + 1)] * len(places))))
+    df = spark.createDataFrame(rows, ["label", "features"]).coalesce(1)
+    blocks = network.pack(df, 200, 2, 2).collect()
+    assert sum(len(b["labels"]) // 4 for b in blocks) == 1024
+    assert max(len(b["columns"]) // 4 for b in blocks) <= 100
+    found = []
+    for b in blocks:
+        label, used, at, x = (np.frombuffer(b[c], k) for c, k in (("labels", "<i4"), ("columns", "<i4"), ("at", "<i4"), ("x", "<f4")))
+        row, place = np.divmod(at, len(used))
+        for r in range(len(label)):
+            found.append((float(label[r]), sorted(zip(used[place[row == r]].tolist(), x[row == r].tolist()))))
+    assert sorted(found) == sorted((y, [(int(i), v) for i, v in zip(f.indices, f.values)]) for y, f in rows)
+
+
+def test_network_scales_dimensions_by_their_values():
+    assert np.allclose(network.scales(np.array([16.0, 0.0, 1.0, 256.0])) ** -4, np.array([16, 91, 1, 256]) / 91)
+    assert network.scales(np.zeros(3)).tolist() == [1, 1, 1]
+    assert network.scales(np.array([1.0, 1e-300, 0.0])).max() == network.MOST_SCALE
+
+
 def test_frequent_terms_keep_the_ties_of_the_last_place(spark):
     rows = [("p", "a", 9), ("p", "b", 4), ("p", "c", 4), ("p", "d", 1), ("q", "a", 1)]
     counts = spark.createDataFrame(rows, "prepared string, term string, cf long")
