@@ -57,7 +57,7 @@ def run_workflow(
 ) -> Run:
     """Raw books to chunks, features, fitted models and metrics."""
     chapters, rejected = book_chapters(books, patterns)
-    chunks = _with_id(ck.prepare_chunks(chapters, settings, "text", CHAPTER_KEY))
+    chunks = staged(_with_id(ck.prepare_chunks(chapters, settings, "text", CHAPTER_KEY)), "chunks")
     rows = grid.labelled(chunks, settings, "author", classes, target)
     features = grid.make_features(
         rows, vectors, vector_dims, settings, max_features=max_features

@@ -1,7 +1,7 @@
 import math
 import random
-import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -369,6 +369,28 @@ def test_means_by_blocks_of_texts(spark, by_idf, block_pairs):
     assert sorted([(r.id, [round(x, 9) for x in r.vector]) for r in got], key=str) == sorted(expected, key=str)
 
 
+@pytest.mark.parametrize("by_idf", [False, True])
+def test_means_do_not_depend_on_the_words_sent_to_the_tasks(spark, by_idf, monkeypatch):
+    texts = [(i, "often " * (i % 3 + 1) + f"some{i % 4} " * 2 + f"own{i} none") for i in range(40)]
+    df = spark.createDataFrame(texts, "id long, text string").select("id", F.split("text", " ").alias("words"))
+    rows = [("often", [1.0, 0.0]), ("often", [0.5, 3.0]), *[(f"some{i}", [float(i), 1.0]) for i in range(3)]]
+    rows += [(f"own{i}", [0.0, float(i)]) for i in range(30)]
+    vectors = spark.createDataFrame(rows, "word string, vec array<float>")
+    weights = spark.createDataFrame([(w, 1 + len(w) / 4) for w, _ in rows[1:]], "word string, idf double")
+    counted = wv.counted_texts(df, "words", ["id"])
+    joined = vectors.join(weights, "word") if by_idf else vectors
+    got = []
+    for frequent in (0, 1, 3, 100):
+        means = [wv.weighted_means(counted, joined, ["id"], 2, by_idf, 30, frequent)]
+        if by_idf:
+            means.append(wv.weighted_means(counted, vectors, ["id"], 2, by_idf, 30, frequent, weights))
+        got += [sorted((r["id"], *(round(x, 9) for x in r["vector"])) for r in m.collect()) for m in means]
+    assert len(got[0]) == 40 and all(g == got[0] for g in got[1:])
+    # vectors of words that most texts hold are not moved for each block
+    listed, place, gain, values = wv._frequent_words(counted, vectors.withColumn("weight", F.lit(1.0)), None, 2, 2)
+    assert listed.to_pylist()[0] == "none" and len(place) == 3 and len(values) == len(gain) <= 2
+
+
 def _texts(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, text string")
 
@@ -407,3 +429,21 @@ def test_tfidf_of_all_terms_moves_no_row_per_text_and_term(spark):
     rows = _texts(spark, [(i, "ab cd ef") for i in range(40)])
     plan = vo.joined_tfidf(rows, ["doc_id"], high=3)._jdf.queryExecution().executedPlan().toString()
     assert "CoGroup" in plan and "Generate" not in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("n", [1, 4, 9, 30])
+def test_most_frequent_ngrams_without_counting_all(spark, n):
+    rng = np.random.default_rng(n)
+    rows = [(i, " ".join(f"w{min(int(x), 40):02d}" for x in rng.zipf(1.4, 30))) for i in range(60)] + [(60, None), (61, "")]
+    texts = _texts(spark, rows).repartition(3)
+    words = vo.with_terms(texts, "text", 1, 1)
+    every = vo.corpus_counts(words, low=1, high=3, with_total=True)
+    best = sorted(every.collect(), key=lambda r: (r["term"] != "", -r["cf"], r["term"]))[: n + 1]
+    _, found = vo.fit_tfidf(texts, high=3, max_features=n)
+    assert [(r["term"], r["cf"], r["df"]) for r in found] == sorted((r["term"], r["cf"], r["df"]) for r in best[1:])
+    counted = vo.frequent_counts(words, 3, n)
+    assert {(r["term"], r["cf"], r["df"]) for r in best} <= {tuple(r) for r in counted.collect()}
+    if n <= 9:
+        assert counted.count() < every.count() / 10
+    # with fewer words than places all n-grams may be needed
+    assert vo.frequent_counts(words, 3, 100) is None
