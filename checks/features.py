@@ -163,8 +163,8 @@ FROM (SELECT sum(n) AS u FROM doc_words ANTI JOIN vectors USING (word)),
   (SELECT sum(greatest(len(w) - 1, 0) + greatest(len(w) - 2, 0)) AS b FROM words)""")
 def oov_rate_ngrams(spark, sf):
     """Pairs and triples never have a vector, so they all count as unknown."""
-    rows = vo.with_terms(documents(spark, sf), "text", 1, 3)
-    rate = wv.unknown_word_rate(rows, "terms", word_vectors(spark, sf))
+    rows = vo.with_terms(documents(spark, sf), "text", 1, 1)
+    rate = wv.unknown_word_rate(rows, "terms", word_vectors(spark, sf), 1, 3)
     return rate.withColumn("unknown_per_text", F.round("unknown_per_text", 6))
 
 

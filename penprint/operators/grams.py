@@ -204,6 +204,46 @@ def likely_task(high: int, sent):
     return run
 
 
+def phrase_slots(high: int):
+    """Task that gives the counters of word lists that are n-grams of two to ``high`` words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lists in parts(batches):
+            rows, code, crc = _places(lists)
+            sizes = sizes_of(lists)
+            for n, at, slots in _slots_of(rows, code, crc, high):
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(slots[sizes[rows[at]] == n]), pa.int64())], ["slot"])
+
+    return run
+
+
+def sought_task(low: int, high: int, sent):
+    """Task that counts the n-grams of ``low`` to ``high`` words as ``term, cf``, those that are surely not sought without their names.
+
+    An n-gram of two words or more may be sought if its counter is marked; a row without a term counts all others.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch(names, occurrences):
+            return pa.RecordBatch.from_arrays([names, pa.array(occurrences, pa.int64())], ["term", "cf"])
+
+        for lists in parts(batches):
+            if low <= 1:
+                for grams in grams_of(lists, 1, 1):
+                    yield batch(grams.names, np.bincount(grams.ids, minlength=len(grams.names)))
+            rows, code, crc = _places(lists)
+            names = lists.flatten()
+            for n, at, slots in _slots_of(rows, code, crc, high):
+                if n >= low:
+                    likely = at[sent.value[slots]]
+                    yield batch(pa.nulls(1, pa.string()), [len(at) - len(likely)])
+                    words = [names.take(pa.array(likely + k)) for k in range(n)]
+                    found = pc.value_counts(pc.binary_join_element_wise(*words, " "))
+                    yield batch(found.field("values"), found.field("counts"))
+
+    return run
+
+
 def _cut(values: pa.Array, edges: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), values)
 

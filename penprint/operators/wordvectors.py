@@ -60,11 +60,27 @@ def unknown_occurrences(df: DataFrame, words: str, vectors: DataFrame, keep: lis
     return unknown.select(*keep, F.explode(F.array_repeat("word", F.col("n").cast("int"))).alias("word"))
 
 
-def unknown_word_rate(df: DataFrame, words: str, vectors: DataFrame) -> DataFrame:
-    """One row: unknown occurrences and their mean per text."""
-    unknown = unknown_counts(df, words, vectors, []).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("unknown_words")
-    )
+def _sought_counts(df: DataFrame, words: str, vectors: DataFrame, low: int, high: int) -> DataFrame:
+    """``term, cf`` of the n-grams that may have a vector, by parts of the texts; all others are counted without a term."""
+    phrases = vectors.where(F.contains("word", F.lit(" "))).select(F.split("word", " ").alias("words"))
+    marked = np.zeros(grams.SLOTS, bool)
+    marked[[r["slot"] for r in phrases.mapInArrow(grams.phrase_slots(high), "slot long").distinct().collect()]] = True
+    sent = df.sparkSession.sparkContext.broadcast(marked)
+    return df.select(words).mapInArrow(grams.sought_task(low, high, sent), "term string, cf long")
+
+
+def unknown_word_rate(df: DataFrame, words: str, vectors: DataFrame, low: int = 1, high: int = 1) -> DataFrame:
+    """One row: unknown occurrences and their mean per text.
+
+    N-grams of ``low`` to ``high`` words should be made here, of ``words`` without blanks: tasks count them by parts of
+    the texts, and only those that may have a vector are looked up by their text.
+    """
+    if (low, high) == (1, 1):
+        unknown = unknown_counts(df, words, vectors, [])
+    else:
+        counted = _sought_counts(df, words, vectors, low, high).withColumnRenamed("cf", "n")
+        unknown = counted.join(vectors.select(F.col("word").alias("term")), "term", "left_anti")
+    unknown = unknown.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("unknown_words"))
     texts = df.agg(F.count("*").alias("n")).scalar()
     return unknown.select(
         "unknown_words", F.try_divide("unknown_words", texts).alias("unknown_per_text")

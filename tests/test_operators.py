@@ -447,3 +447,19 @@ def test_most_frequent_ngrams_without_counting_all(spark, n):
         assert counted.count() < every.count() / 10
     # with fewer words than places all n-grams may be needed
     assert vo.frequent_counts(words, 3, 100) is None
+
+
+def test_rate_of_unknown_ngrams_is_that_of_their_list(spark):
+    rows = [(1, "ab cd ab cd ef"), (2, "cd ab"), (3, None), (4, ""), (5, "ef ef ef gh")]
+    words = vo.with_terms(_texts(spark, rows), "text", 1, 1)
+    listed = vo.with_terms(_texts(spark, rows), "text", 1, 3)
+    # phrases have vectors too, as long as an n-gram or longer
+    known = ["ab", "cd ab", "ef ef ef", "ab cd ab cd", "zz", "gh zz"]
+    for some in (known, known[:1], known[3:]):
+        vectors = spark.createDataFrame([(w,) for w in some], "word string")
+        expected = wv.unknown_word_rate(listed, "terms", vectors).first()
+        assert wv.unknown_word_rate(words, "terms", vectors, 1, 3).first() == expected
+    # what tasks hand on: words, and phrases that have a vector; the others only as numbers
+    handed = wv._sought_counts(words.coalesce(1), "terms", spark.createDataFrame([("cd ab",)], "word string"), 1, 3).collect()
+    assert sorted(r["term"] for r in handed if r["term"]) == ["ab", "cd", "cd ab", "ef", "gh"]
+    assert sum(r["cf"] for r in handed if r["term"] is None) == 11
