@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import threading
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from penprint.operators import chunks
+from penprint.operators import chunks, vocabulary
 from penprint.plans import gated, grid, importance, kernels, models, network, score, workflow
 from penprint.plans import sweep as one_sweep
 from penprint.settings import Settings, sweep
@@ -127,6 +128,22 @@ def test_failing_cell_keeps_its_error(run, monkeypatch):
         grid.pr_curves(cells[:1], 2)
 
 
+def test_cells_are_fitted_at_the_same_time_and_kept_in_order(run, monkeypatch):
+    result, _, _ = run
+    features = result.features
+    together = threading.Barrier(2, timeout=60)
+
+    def waiting(dims, classes, **options):
+        together.wait()
+        return models.gaussian(dims, classes)
+
+    monkeypatch.setitem(models.MODELS, "rf", waiting)
+    monkeypatch.setitem(models.MODELS, "svm", waiting)
+    only = grid.Features({k: features.tables[k] for k in ("glove", "tfidf")}, features.dims, features.tfidf, [])
+    cells = grid.fit_grid(only, 2, ("rf", "svm"))
+    assert [(c.feature_type, c.name, c.error) for c in cells] == [(k, m, None) for k in ("glove", "tfidf") for m in ("rf", "svm")]
+
+
 def test_options_reach_the_models(run):
     result, _, _ = run
     features = result.features
@@ -421,6 +438,21 @@ def test_frequent_terms_keep_the_ties_of_the_last_place(spark):
         assert sorted(r["term"] for r in got) == list(expected)
 
 
+def test_sweep_counts_words_and_pairs_that_may_be_among_the_most_frequent(spark):
+    rng = random.Random(8)
+    rows = [(p, f"{p}{i}", " ".join(f"{p}{min(int(rng.paretovariate(0.7)), 60)}0" for _ in range(20))) for p in "ab" for i in range(40)]
+    texts = spark.createDataFrame([*rows, ("c", "c0", "few words")], "prepared string, chunk_id string, text string")
+    got = one_sweep._likely(texts, ["a", "b", "c"], 5).collect()
+    for name in "ab":
+        words = vocabulary.with_terms(texts.where(F.col("prepared") == name), "text", 1, 1)
+        every = vocabulary.corpus_counts(words, low=1, high=2).collect()
+        best = sorted(every, key=lambda r: (-r["cf"], r["term"]))[:5]
+        own = {(r["term"], r["cf"], r["df"]) for r in got if r["prepared"] == name}
+        assert {tuple(r) for r in best} <= own and len(own) < len(every) / 3
+    # a preparation with fewer words than places has all its terms
+    assert {r["term"] for r in got if r["prepared"] == "c"} == {"few", "words", "few words"}
+
+
 def test_sweep_sums_and_gains_by_hand(spark):
     schema = "prepared string, chunk_id string, kind string, at array<int>, x array<double>"
     features = [("p", "1", "tfidf", [0, 2], [3.0, 1.0]), ("p", "2", "tfidf", [2], [2.0]), ("p", "3", "tfidf", [1], [1.0]),
